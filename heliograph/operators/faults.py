@@ -15,22 +15,24 @@ EVENT_TYPE = "FAULT_DETECTED"
 ACTION = "Inspect Panel Immediately"
 
 
-def compare_with_peers(readings: DataFrame, bucket: str | None = None, leave_one_out: bool = False) -> DataFrame:
-    """Add `avg_power` of the peers and the absolute `deviation` of `power_dc_w` from it.
+def _with_peer_time(readings: DataFrame, bucket: str | None) -> DataFrame:
+    time = F.window(schemas.EVENT_TIME, bucket)["start"] if bucket else F.col(schemas.EVENT_TIME)
+    return readings.withColumn("peer_time", time)
 
-    Peers report at the very same time, or in the same time `bucket` such as "1 hour". The mean includes the panel
-    itself unless `leave_one_out`.
-    """
-    if bucket:
-        rows = readings.withColumn("peer_time", F.window(schemas.EVENT_TIME, bucket)["start"])
-    else:
-        rows = readings.withColumn("peer_time", F.col(schemas.EVENT_TIME))
-    groups = rows.groupBy("peer_time").agg(
-        F.sum("power_dc_w").alias("_sum"),
-        F.count("power_dc_w").alias("_known"),
+
+def _peer_groups(rows: DataFrame) -> DataFrame:
+    power = F.col("power_dc_w")
+    return rows.groupBy("peer_time").agg(
+        F.sum(power).alias("_sum"),
+        F.count(power).alias("_known"),
         F.count(F.lit(1)).alias("_rows"),
+        F.max(power).alias("_high"),
+        F.min(power).alias("_low"),
     )
-    peers = skew.attach_group_values(rows, groups, ["peer_time"], "_rows")
+
+
+def _compared(rows: DataFrame, groups: DataFrame, leave_one_out: bool) -> DataFrame:
+    peers = skew.attach_group_values(rows, groups.drop("_high", "_low"), ["peer_time"], "_rows")
     power = F.col("power_dc_w")
     if leave_one_out:
         mean = F.try_divide(F.col("_sum") - power, F.col("_known") - 1)
@@ -43,14 +45,35 @@ def compare_with_peers(readings: DataFrame, bucket: str | None = None, leave_one
     )
 
 
+def compare_with_peers(readings: DataFrame, bucket: str | None = None, leave_one_out: bool = False) -> DataFrame:
+    """Add `avg_power` of the peers and the absolute `deviation` of `power_dc_w` from it.
+
+    Peers report at the very same time, or in the same time `bucket` such as "1 hour". The mean includes the panel
+    itself unless `leave_one_out`. The means are computed when this is called (see `skew.attach_group_values`).
+    """
+    rows = _with_peer_time(readings, bucket)
+    return _compared(rows, _peer_groups(rows), leave_one_out)
+
+
 def detect_faults(
     readings: DataFrame,
     bucket: str | None = None,
     leave_one_out: bool = False,
     threshold: float = THRESHOLD_W,
 ) -> DataFrame:
-    """Readings that deviate from their peers by more than `threshold` watts."""
-    return compare_with_peers(readings, bucket, leave_one_out).where(F.col("deviation") > threshold)
+    """Readings that deviate from their peers by more than `threshold` watts.
+
+    The largest deviation of a group follows from its highest and lowest power. Only groups where that reaches the
+    threshold (less a margin for rounding) are looked at reading by reading.
+    """
+    rows = _with_peer_time(readings, bucket)
+    mean = F.try_divide(F.col("_sum"), F.col("_known"))
+    widest = F.greatest(F.col("_high") - mean, mean - F.col("_low"))
+    if leave_one_out:
+        widest = widest * F.try_divide(F.col("_known"), F.col("_known") - 1)
+    margin = 1e-6 * (abs(threshold) + F.abs("_high") + F.abs("_low"))
+    groups = _peer_groups(rows).where(widest + margin > threshold)
+    return _compared(rows, groups, leave_one_out).where(F.col("deviation") > threshold)
 
 
 def fault_summary(faults: DataFrame) -> DataFrame:

@@ -7,7 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1 / HOT_SHARES of all rows. Fewer than HOT_SHARES keys can do so.
+from heliograph import session
+
+# Up to this many groups are broadcast. A group is a key and a few numbers, so this is some tens of megabytes.
+BROADCAST_GROUPS = 500_000
+
+# Beyond that, a key is hot when it holds more than 1 / HOT_SHARES of all rows. Fewer than HOT_SHARES keys can do so.
 HOT_SHARES = 10_000
 
 
@@ -15,19 +20,25 @@ def _same(rows: DataFrame, groups: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(groups[f"_{k}"]) for k in keys])
 
 
-def attach_group_values(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
-    """Add the columns of `groups` (one row per key, with its row count in `size`) to every row of `rows`.
+def attach_group_values(
+    rows: DataFrame, groups: DataFrame, keys: list[str], size: str, broadcast_groups: int = BROADCAST_GROUPS
+) -> DataFrame:
+    """Add the columns of `groups` (one row per key, its row count in `size`) to the rows with that key.
 
-    Stands in for a whole-partition window function, which would bring each group into one task. Rows of hot keys
-    stay where they are and meet a broadcast of fewer than `HOT_SHARES` group rows. The other rows are shuffled by key,
-    where no key holds more than 1 / `HOT_SHARES` of them. NULL keys match each other, as in a window function.
+    Stands in for a whole-partition window function, which would bring each group into one task. The groups are
+    aggregated once, into a table in the shared folder, and counted. Few groups are broadcast, and the rows are not
+    shuffled. With more groups than `broadcast_groups`, rows of hot keys still meet a broadcast, of fewer than
+    `HOT_SHARES` group rows, and the other rows are shuffled by key, where no key holds more than 1 / `HOT_SHARES` of
+    them. NULL keys match each other, as in a window function.
     """
-    renamed = groups.withColumnsRenamed({k: f"_{k}" for k in keys})
     key_copies = [f"_{k}" for k in keys]
-    total = groups.agg(F.sum(size)).scalar()
-    hot = renamed.where(F.col(size) * HOT_SHARES > total)
-    cold = renamed.where(F.col(size) * HOT_SHARES <= total)
+    groups = session.materialise(groups.withColumnsRenamed(dict(zip(keys, key_copies))), "groups")
+    n_groups, n_rows = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    if n_groups <= broadcast_groups:
+        return rows.join(F.broadcast(groups), _same(rows, groups, keys)).drop(*key_copies)
 
+    is_hot = F.col(size) * HOT_SHARES > n_rows
+    hot, cold = groups.where(is_hot), groups.where(~is_hot)
     on_hot = _same(rows, hot, keys)
     from_hot = rows.join(F.broadcast(hot), on_hot).drop(*key_copies)
     others = rows.join(F.broadcast(hot.select(*key_copies)), on_hot, "left_anti")

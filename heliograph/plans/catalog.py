@@ -469,7 +469,9 @@ def _drained(writer, spark: SparkSession, name: str) -> DataFrame:
     """Run a stream over everything there is and read the table it wrote."""
     base = session.run_dir(spark, name)
     query = writer.option("checkpointLocation", f"{base}/checkpoint").outputMode("append").format("parquet")
-    query.trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    with session.state_settings(spark):
+        running = query.trigger(availableNow=True).start(f"{base}/out")
+    running.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 
@@ -496,7 +498,7 @@ def _closed_windows(spark, sf_dir, name) -> tuple[str, brokers.Folder]:
     folder = brokers.Folder(f"{base}/topics")
     text = stats.to_messages(stats.window_stats(_enriched_stream(spark, sf_dir)))
     topic = schemas.TOPICS["window_stats"]
-    folder.start(text, topic, f"{base}/checkpoints/windows", availableNow=True).awaitTermination()
+    jobs.send(text, folder, topic, f"{base}/checkpoints/windows", availableNow=True).awaitTermination()
     return base, folder
 
 

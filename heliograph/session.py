@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Applied to any session handed to us. Event times are instants, and hour-of-day and day windows are read in UTC.
 RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
+# State of streaming queries: kept outside the heap, with one store per join side instead of two.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
 DEFAULT_SETTINGS = {
     **RUNTIME_SETTINGS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.ui.enabled": "false",
 }
 
@@ -63,7 +70,38 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Run `df` now, into a table in the shared folder, and read that table.
+
+    For results used more than once. The table outlives lost executors, and its size is known to the planner.
+    """
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Point `DataFrame.checkpoint()` and long model fits at the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/rdd")
+
+
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings for a streaming query started inside the block; the session gets its own back afterwards.
+
+    The number of state partitions is fixed by the first start of a checkpoint. It is taken from
+    `spark.sql.shuffle.partitions` when that was chosen for the cluster, and is the number of cores when that still has
+    Spark's default of 200.
+    """
+    wanted = dict(STATE_SETTINGS)
+    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        wanted["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

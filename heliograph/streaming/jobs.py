@@ -1,8 +1,8 @@
 """The streaming jobs: enriched features, window statistics, panel status, fault alerts, tilt control.
 
 Each `start_*` function takes a source and a sink from `heliograph.sources.brokers` and a folder for checkpoints, and
-returns the running query. `trigger` arguments are those of `DataStreamWriter.trigger`. The number of state partitions
-is `spark.sql.shuffle.partitions` at the first start of a checkpoint, so size it for the cluster before that.
+returns the running query. `trigger` arguments are those of `DataStreamWriter.trigger`. State settings, among them the
+number of state partitions, are those of `session.state_settings`.
 """
 
 from __future__ import annotations
@@ -38,10 +38,16 @@ def window_stats_stream(spark: SparkSession, source: Broker) -> DataFrame:
     return stats.from_messages(source.stream(spark, schemas.TOPICS["window_stats"]))
 
 
+def send(messages: DataFrame, sink: Broker, topic: str | None, checkpoint: str, **trigger) -> StreamingQuery:
+    """Stream messages to a topic, or to the topic each row names."""
+    with session.state_settings(messages.sparkSession):
+        return sink.start(messages, topic, checkpoint, **trigger)
+
+
 def start_enriched(spark: SparkSession, source: Broker, sink: Broker, checkpoints: str, **trigger) -> StreamingQuery:
     """Enriched readings as JSON messages."""
     messages = wire.encode(enriched_stream(spark, source), key="panel_id")
-    return sink.start(messages, schemas.TOPICS["enriched"], f"{checkpoints}/enriched", **trigger)
+    return send(messages, sink, schemas.TOPICS["enriched"], f"{checkpoints}/enriched", **trigger)
 
 
 def start_window_stats(
@@ -49,17 +55,17 @@ def start_window_stats(
 ) -> StreamingQuery:
     """Window statistics as JSON messages, each window once, when the watermark has passed its end."""
     messages = stats.to_messages(stats.window_stats(enriched_stream(spark, source), width))
-    return sink.start(messages, schemas.TOPICS["window_stats"], f"{checkpoints}/window_stats", **trigger)
+    return send(messages, sink, schemas.TOPICS["window_stats"], f"{checkpoints}/window_stats", **trigger)
 
 
 def start_panel_changes(
     spark: SparkSession, source: Broker, path: str, checkpoints: str, **trigger
 ) -> StreamingQuery:
     """Change log of panel status from keyed state, as a parquet table."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", session.ROCKSDB)
     changes = panel_state.panel_changes(window_stats_stream(spark, source))
     writer = changes.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _start(writer.option("checkpointLocation", f"{checkpoints}/panel_changes"), trigger)
+    with session.state_settings(spark):
+        return _start(writer.option("checkpointLocation", f"{checkpoints}/panel_changes"), trigger)
 
 
 def start_panel_status(spark: SparkSession, source: Broker, base: str, checkpoints: str, **trigger) -> StreamingQuery:
@@ -111,7 +117,7 @@ def start_tilt_control(
 
 def start_fan_out(readings: DataFrame, sink: Broker, checkpoints: str, **trigger) -> StreamingQuery:
     """Wide readings as one message per measurement kind, each in its own topic."""
-    return sink.start(telemetry.fan_out(readings), None, f"{checkpoints}/fan_out", **trigger)
+    return send(telemetry.fan_out(readings), sink, None, f"{checkpoints}/fan_out", **trigger)
 
 
 def training_history(
@@ -147,7 +153,8 @@ def _held(report: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int]
 
 
 def _for_each(stream: DataFrame, work: Callable, checkpoint: str, trigger: dict) -> StreamingQuery:
-    return _start(stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint), trigger)
+    with session.state_settings(stream.sparkSession):
+        return _start(stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint), trigger)
 
 
 def _start(writer, trigger: dict) -> StreamingQuery:
