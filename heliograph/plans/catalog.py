@@ -21,6 +21,9 @@ QUERIES: dict[str, Query] = {}
 
 MINUTE, DAY, HOUR = "1 minute", "1 day", "1 hour"
 
+# Added before rounding, here and in the SQL.
+NUDGE = 3.17e-8
+
 # Status tables are cut at this time: the windows before it make the current table, the later ones update it.
 CUT = "2024-01-20 00:00:00"
 
@@ -41,8 +44,11 @@ def _query(function: Query) -> Query:
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    """Sums in another order differ in the last digits; six decimals are compared."""
-    return df.withColumns({name: F.round(name, 6) for name in names})
+    """Six decimals, as sums in another order differ in the last digits.
+
+    The nudge moves means that end on a 5 in the seventh place off the edge, where those digits would decide.
+    """
+    return df.withColumns({name: F.round(F.col(name) + NUDGE, 6) for name in names})
 
 
 def _averages(df: DataFrame) -> DataFrame:
@@ -54,7 +60,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats(spark: SparkSession, sf_dir: str, width: str) -> DataFrame:
-    return stats.window_stats(_enriched(spark, sf_dir), width)
+    return _averages(stats.window_stats(_enriched(spark, sf_dir), width))
 
 
 def _status(spark: SparkSession, sf_dir: str, width: str = DAY) -> DataFrame:
@@ -91,12 +97,12 @@ def enriched_resent(spark, sf_dir):
 
 @_query
 def window_stats_1m(spark, sf_dir):
-    return _averages(_stats(spark, sf_dir, MINUTE))
+    return _stats(spark, sf_dir, MINUTE)
 
 
 @_query
 def window_stats_1d(spark, sf_dir):
-    return _averages(_stats(spark, sf_dir, DAY))
+    return _stats(spark, sf_dir, DAY)
 
 
 @_query
@@ -110,7 +116,7 @@ def window_stats_resent(spark, sf_dir):
 def window_stats_messages(spark, sf_dir):
     """Daily statistics as JSON messages and back."""
     text = stats.to_messages(_stats(spark, sf_dir, DAY))
-    return _averages(stats.from_messages(text))
+    return stats.from_messages(text)
 
 
 @_query
@@ -157,7 +163,10 @@ def _faults(spark, sf_dir, bucket=None, leave_one_out=False) -> DataFrame:
 
 @_query
 def peer_faults_exact(spark, sf_dir):
-    return _rounded(_faults(spark, sf_dir), "avg_power", "deviation")
+    """Peers by exact time; the readings are stamped on the hour, as panels read on a schedule are."""
+    on_hour = F.date_trunc("hour", "timestamp")
+    rows = _readings(spark, sf_dir).select("panel_id", on_hour.alias("timestamp"), "irradiance_w_m2", "power_dc_w")
+    return _rounded(faults.detect_faults(rows), "avg_power", "deviation")
 
 
 @_query
@@ -217,7 +226,7 @@ def panel_health_1m(spark, sf_dir):
 @_query
 def panel_timeline(spark, sf_dir):
     """Status of every panel after each minute it reported in."""
-    return _averages(health.timeline(_stats(spark, sf_dir, MINUTE)).drop("from_start"))
+    return health.timeline(_stats(spark, sf_dir, MINUTE)).drop("from_start")
 
 
 @_query
@@ -228,12 +237,12 @@ def status_transitions(spark, sf_dir):
 
 @_query
 def panel_status_latest(spark, sf_dir):
-    return _averages(_status(spark, sf_dir, MINUTE))
+    return _status(spark, sf_dir, MINUTE)
 
 
 @_query
 def panel_status_daily(spark, sf_dir):
-    return _averages(_status(spark, sf_dir))
+    return _status(spark, sf_dir)
 
 
 def _cut_stats(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -246,14 +255,14 @@ def _cut_stats(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def status_upsert(spark, sf_dir):
     """Status of the later windows merged into that of the earlier ones, rows replaced whole."""
     earlier, later = _cut_stats(spark, sf_dir)
-    return _averages(health.upsert_status(health.latest_status(earlier), health.latest_status(later)))
+    return health.upsert_status(health.latest_status(earlier), health.latest_status(later))
 
 
 @_query
 def status_advance(spark, sf_dir):
     """Status table advanced by the later windows; equals the status of all windows at once."""
     earlier, later = _cut_stats(spark, sf_dir)
-    return _averages(health.advance_status(health.latest_status(earlier), later))
+    return health.advance_status(health.latest_status(earlier), later)
 
 
 @_query
@@ -263,7 +272,7 @@ def status_table(spark, sf_dir):
     base = session.run_dir(spark, "status_table")
     tables.write_version(health.latest_status(earlier), base, 1)
     tables.write_version(health.advance_status(tables.read_version(spark, base, 1), later), base, 2)
-    return _averages(tables.read_status(spark, base))
+    return tables.read_status(spark, base)
 
 
 # --- questions about the fleet
@@ -271,17 +280,17 @@ def status_table(spark, sf_dir):
 
 @_query
 def panel_page(spark, sf_dir):
-    return _averages(fleet.list_panels(_status(spark, sf_dir), skip=5, limit=20))
+    return fleet.list_panels(_status(spark, sf_dir), skip=5, limit=20)
 
 
 @_query
 def panel_lookup(spark, sf_dir):
-    return _averages(fleet.get_panel(_status(spark, sf_dir), "panel-7"))
+    return fleet.get_panel(_status(spark, sf_dir), "panel-7")
 
 
 @_query
 def broken_panels(spark, sf_dir):
-    return _averages(fleet.broken_panels(_status(spark, sf_dir)))
+    return fleet.broken_panels(_status(spark, sf_dir))
 
 
 @_query
@@ -410,7 +419,7 @@ def best_candidates(spark, sf_dir):
 def top_candidates(spark, sf_dir):
     """The 25 best-scored candidates of all requests."""
     requests = tilt.valid_requests(_requests(spark, sf_dir), feed.no_time())
-    scored = tilt.candidates(requests).withColumn("prediction", F.round(_light(F.col("tilt_deg")), 6))
+    scored = _rounded(tilt.candidates(requests).withColumn("prediction", _light(F.col("tilt_deg"))), "prediction")
     return tilt.ranked_candidates(scored, 25).select("event_id", "tilt_deg", "prediction")
 
 
@@ -496,7 +505,7 @@ def _closed_windows(spark, sf_dir, name) -> tuple[str, brokers.Folder]:
     """Window statistics messages made by a stream, in a folder."""
     base = session.run_dir(spark, name)
     folder = brokers.Folder(f"{base}/topics")
-    text = stats.to_messages(stats.window_stats(_enriched_stream(spark, sf_dir)))
+    text = stats.to_messages(_averages(stats.window_stats(_enriched_stream(spark, sf_dir))))
     topic = schemas.TOPICS["window_stats"]
     jobs.send(text, folder, topic, f"{base}/checkpoints/windows", availableNow=True).awaitTermination()
     return base, folder
@@ -508,7 +517,7 @@ def stream_panel_changes(spark, sf_dir):
     base, folder = _closed_windows(spark, sf_dir, "stream_panel_changes")
     path = f"{base}/changes"
     jobs.start_panel_changes(spark, folder, path, f"{base}/checkpoints", availableNow=True).awaitTermination()
-    return _averages(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 @_query
@@ -517,7 +526,7 @@ def stream_panel_status(spark, sf_dir):
     base, folder = _closed_windows(spark, sf_dir, "stream_panel_status")
     path = f"{base}/status"
     jobs.start_panel_status(spark, folder, path, f"{base}/checkpoints", availableNow=True).awaitTermination()
-    return _averages(tables.read_status(spark, path))
+    return tables.read_status(spark, path)
 
 
 @_query

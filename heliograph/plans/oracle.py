@@ -18,6 +18,11 @@ wide AS (
          event_id, event_type, value, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k
   FROM events)"""
 
+def _r(value: str) -> str:
+    """Six decimals; the nudge is the one of the query catalog."""
+    return f"round({value} + 3.17e-8, 6)"
+
+
 _GAPS = {
     "irr": ("irradiance_w_m2", "value <= 200"),
     "ac": ("power_ac_w", "k >= 3"),
@@ -60,7 +65,8 @@ def _stats(base: str, width: str) -> str:
 stats AS (
   SELECT panel_id, time_bucket(INTERVAL '{width}', "timestamp") AS window_start,
          time_bucket(INTERVAL '{width}', "timestamp") + INTERVAL '{width}' AS window_end,
-         avg(efficiency) AS avg_efficiency, avg(temperature_c) AS avg_temp, avg(irradiance_w_m2) AS avg_irradiance
+         {_r("avg(efficiency)")} AS avg_efficiency, {_r("avg(temperature_c)")} AS avg_temp,
+         {_r("avg(irradiance_w_m2)")} AS avg_irradiance
   FROM enriched GROUP BY ALL)"""
 
 
@@ -75,8 +81,7 @@ mark AS (
                (SELECT max("timestamp") FROM orient)) - INTERVAL '10 seconds' AS t),
 stats AS (SELECT * FROM all_stats WHERE window_end <= (SELECT t FROM mark))"""
 
-_STATS_COLUMNS = """panel_id, window_start, window_end, round(avg_efficiency, 6) AS avg_efficiency,
-  round(avg_temp, 6) AS avg_temp, round(avg_irradiance, 6) AS avg_irradiance"""
+_STATS_COLUMNS = "panel_id, window_start, window_end, avg_efficiency, avg_temp, avg_irradiance"
 
 
 def _health(stats: str) -> str:
@@ -118,13 +123,11 @@ status AS (
   WHERE place = 1)"""
 
 
-_STATUS_COLUMNS = """panel_id, is_broken, round(avg_efficiency, 6) AS avg_efficiency,
-  round(avg_temperature, 6) AS avg_temperature, round(avg_irradiance, 6) AS avg_irradiance, last_updated,
-  broken_since, reason"""
+_STATUS_COLUMNS = """panel_id, is_broken, avg_efficiency, avg_temperature, avg_irradiance, last_updated, broken_since,
+  reason"""
 
-_TIMELINE_COLUMNS = """panel_id, window_start, window_end, round(avg_efficiency, 6) AS avg_efficiency,
-  round(avg_temperature, 6) AS avg_temperature, round(avg_irradiance, 6) AS avg_irradiance, is_broken, reason_code,
-  broken_since, reason, change"""
+_TIMELINE_COLUMNS = """panel_id, window_start, window_end, avg_efficiency, avg_temperature, avg_irradiance, is_broken,
+  reason_code, broken_since, reason, change"""
 
 CUT = "TIMESTAMP '2024-01-20 00:00:00'"
 _EARLIER = _timeline(
@@ -150,8 +153,8 @@ found AS (SELECT * FROM deviations WHERE deviation > 50)"""
 
 
 _HOUR = "time_bucket(INTERVAL '1 hour', \"timestamp\")"
-_FAULT_COLUMNS = """panel_id, "timestamp", irradiance_w_m2, power_dc_w, peer_time, round(avg_power, 6) AS avg_power,
-  round(deviation, 6) AS deviation"""
+_FAULT_COLUMNS = """panel_id, "timestamp", irradiance_w_m2, power_dc_w, peer_time, round(avg_power + 3.17e-8, 6) AS avg_power,
+  round(deviation + 3.17e-8, 6) AS deviation"""
 
 
 def _to_fixed(name: str, places: int) -> str:
@@ -252,20 +255,24 @@ SQL: dict[str, str] = {
     "expected_power": _with(
         WIDE,
         """SELECT panel_id, "timestamp", irradiance_w_m2, tilt_deg, power_dc_w, expected_power_w,
-  round(expected_power_w - power_dc_w, 6) AS shortfall_w
+  round(expected_power_w - power_dc_w + 3.17e-8, 6) AS shortfall_w
 FROM (SELECT *, CAST(printf('%.2f', greatest(0.0::DOUBLE, irradiance_w_m2 * (1.6::DOUBLE * 0.18::DOUBLE
         * greatest(0.5::DOUBLE, cos(radians(tilt_deg)))))) AS DOUBLE) AS expected_power_w FROM wide)""",
     ),
     "angle_helpers": _with(
         WIDE,
         """SELECT panel_id, "timestamp",
-  round(least(90.0, greatest(0.0, tilt_deg * temperature_c / 20 - 30)), 6) AS clamped_tilt,
-  round(azimuth_deg * temperature_c - 9000 - 360 * floor((azimuth_deg * temperature_c - 9000) / 360), 6)
+  round(least(90.0, greatest(0.0, tilt_deg * temperature_c / 20 - 30)) + 3.17e-8, 6) AS clamped_tilt,
+  round(azimuth_deg * temperature_c - 9000 - 360 * floor((azimuth_deg * temperature_c - 9000) / 360) + 3.17e-8, 6)
     AS wrapped_azimuth,
-  round(phase, 6) AS day_phase, round(greatest(0.0, sin(pi() * phase)) * 1000, 6) AS clear_sky_w_m2
+  round(phase + 3.17e-8, 6) AS day_phase, round(greatest(0.0, sin(pi() * phase)) * 1000 + 3.17e-8, 6) AS clear_sky_w_m2
 FROM (SELECT *, epoch_us("timestamp") % 86400000000 / 86400000000.0::DOUBLE AS phase FROM wide)""",
     ),
-    "peer_faults_exact": _with(_peers('"timestamp"'), f"SELECT {_FAULT_COLUMNS} FROM found"),
+    "peer_faults_exact": _with(
+        _peers(_HOUR),
+        """SELECT panel_id, peer_time AS "timestamp", irradiance_w_m2, power_dc_w, peer_time,
+  round(avg_power + 3.17e-8, 6) AS avg_power, round(deviation + 3.17e-8, 6) AS deviation FROM found""",
+    ),
     "peer_faults_hourly": _with(_peers(_HOUR), f"SELECT {_FAULT_COLUMNS} FROM found"),
     "peer_faults_leave_one_out": _with(
         _peers(
@@ -277,19 +284,19 @@ FROM (SELECT *, epoch_us("timestamp") % 86400000000 / 86400000000.0::DOUBLE AS p
     ),
     "peer_deviation_daily": _with(
         _peers("time_bucket(INTERVAL '1 day', \"timestamp\")"),
-        """SELECT panel_id, "timestamp", power_dc_w, peer_time, round(avg_power, 6) AS avg_power,
-  round(deviation, 6) AS deviation FROM deviations""",
+        """SELECT panel_id, "timestamp", power_dc_w, peer_time, round(avg_power + 3.17e-8, 6) AS avg_power,
+  round(deviation + 3.17e-8, 6) AS deviation FROM deviations""",
     ),
     "fault_count": _with(_peers(_HOUR), "SELECT count(*) AS fault_count FROM found"),
     "fault_preview": _with(
         _peers(_HOUR),
-        "SELECT panel_id, power_dc_w, round(avg_power, 6) AS avg_power, round(deviation, 6) AS deviation FROM found",
+        "SELECT panel_id, power_dc_w, round(avg_power + 3.17e-8, 6) AS avg_power, round(deviation + 3.17e-8, 6) AS deviation FROM found",
     ),
     "fault_alerts": _with(
         _peers(_HOUR),
         f"""SELECT panel_id AS key, 'FAULT_DETECTED' AS event_type, panel_id, {ISO} AS "timestamp",
   'Inspect Panel Immediately' AS action_required, power_dc_w AS current_power,
-  round(avg_power, 6) AS average_others, round(deviation, 6) AS deviation, 50.0::DOUBLE AS threshold FROM found""",
+  round(avg_power + 3.17e-8, 6) AS average_others, round(deviation + 3.17e-8, 6) AS deviation, 50.0::DOUBLE AS threshold FROM found""",
     ),
     "panel_health": _with(
         _health(DAY_STATS), "SELECT panel_id, window_start, window_end, reason_code, is_broken FROM health"
@@ -318,8 +325,8 @@ SELECT {_STATUS_COLUMNS} FROM merged""",
     "broken_panels": _with(_timeline(DAY_STATS), f"SELECT {_STATUS_COLUMNS} FROM status WHERE is_broken"),
     "fleet_statistics": _with(
         _timeline(DAY_STATS),
-        f"""SELECT {_FLEET}, round(avg(avg_efficiency), 6) AS average_efficiency,
-  round(avg(avg_temperature), 6) AS average_temperature FROM status""",
+        f"""SELECT {_FLEET}, round(avg(avg_efficiency) + 3.17e-8, 6) AS average_efficiency,
+  round(avg(avg_temperature) + 3.17e-8, 6) AS average_temperature FROM status""",
     ),
     "panel_report": _with(
         _timeline(DAY_STATS),
@@ -376,15 +383,15 @@ FROM wide CROSS JOIN generate_series(0, 60, 5) AS t(tilt)""",
     ),
     "best_tilt": _with(
         _SCORED,
-        "SELECT event_id, panel_id, tilt_deg AS optimal_tilt, round(prediction, 6) AS predicted_power FROM best",
+        "SELECT event_id, panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power FROM best",
     ),
     "best_candidates": _with(
-        _SCORED, "SELECT event_id, panel_id, hour, tilt_deg, round(prediction, 6) AS prediction FROM best"
+        _SCORED, "SELECT event_id, panel_id, hour, tilt_deg, round(prediction + 3.17e-8, 6) AS prediction FROM best"
     ),
     "top_candidates": _with(
         _SCORED,
-        """SELECT event_id, tilt_deg, round(prediction, 6) AS prediction FROM scored
-ORDER BY round(prediction, 6) DESC, tilt_deg, panel_id, "timestamp" LIMIT 25""",
+        """SELECT event_id, tilt_deg, round(prediction + 3.17e-8, 6) AS prediction FROM scored
+ORDER BY round(prediction + 3.17e-8, 6) DESC, tilt_deg, panel_id, "timestamp" LIMIT 25""",
     ),
     "control_commands": _with(
         _SCORED,
@@ -394,7 +401,7 @@ FROM best WHERE send_to_kafka""",
     ),
     "prediction_responses": _with(
         _SCORED,
-        f"""SELECT panel_id, tilt_deg AS optimal_tilt, round(prediction, 6) AS predicted_power, {ISO} AS "timestamp",
+        f"""SELECT panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power, {ISO} AS "timestamp",
   send_to_kafka AS kafka_sent FROM best""",
     ),
     "retrain_status": _with(_TRAINING, "SELECT 'retrained' AS status, count(*) AS num_records FROM records"),
@@ -405,7 +412,7 @@ FROM best WHERE send_to_kafka""",
     "stream_faults": _with(
         _peers(_HOUR),
         f"""SELECT panel_id AS key, panel_id, {ISO} AS "timestamp", power_dc_w AS current_power,
-  round(avg_power, 6) AS average_others, round(deviation, 6) AS deviation FROM found""",
+  round(avg_power + 3.17e-8, 6) AS average_others, round(deviation + 3.17e-8, 6) AS deviation FROM found""",
     ),
     "stream_fanout": _with(_stats(WHOLE, "1 day"), f"SELECT {_STATS_COLUMNS} FROM stats"),
 }

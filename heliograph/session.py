@@ -30,14 +30,14 @@ DEFAULT_SETTINGS = {
 
 
 def build_session(app: str = "heliograph", master: str | None = None, **settings: str) -> SparkSession:
-    """Create a session; `settings` use underscores for dots and win over the defaults."""
+    """Create a session; `settings` (name to value) win over the defaults."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in DEFAULT_SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in settings.items():
-        builder = builder.config(key.replace("_", "."), value)
+        builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
 
