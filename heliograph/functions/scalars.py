@@ -53,41 +53,35 @@ def tilt_factor(tilt: Column) -> Column:
 def expected_dc_power(irradiance: Column, tilt: Column) -> Column:
     """Noise-free DC power for an irradiance and a tilt, never below zero, two decimals."""
     power = irradiance * (F.lit(PANEL_AREA_M2 * CELL_EFFICIENCY) * tilt_factor(tilt))
-    return F.when(power.isNotNull(), round_exact(F.greatest(F.lit(0.0), power), 2))
+    return round_exact((power + F.abs(power)) / 2, 2)  # negative power becomes 0, NULL stays NULL
 
 
-def _rounded_units(magnitude: Column, places: int, ties: str) -> Column:
-    """Whole number of 10**-places units nearest to the exact binary value of a non-negative double.
+def round_exact(x: Column, places: int | Column, ties: str = "even") -> Column:
+    """Round the exact binary value of a double; `ties="up"` moves true ties away from zero.
 
     `round` and `format_string` round the shortest decimal text of a double, so 2.675 (really 2.67499...) goes up. Here
     the product with the scale is kept as a value plus its exact rounding error (Dekker's product), which tells the two
-    sides of a half, and a true tie, apart.
+    sides of a half, and a true tie, apart. There is no branch in the expression, so that Spark computes its repeated
+    parts once.
     """
-    scale = F.lit(float(10**places))
-    spread = magnitude * F.lit(134217729.0)  # 2**27 + 1 cuts a double into two halves
-    high = spread - (spread - magnitude)
-    low = magnitude - high
-    product = magnitude * scale
-    error = (high * scale - product) + low * scale
-    whole = F.floor(product)
-    past_half = (product - whole - F.lit(0.5)) + error
-    at_tie = F.lit(True) if ties == "up" else whole % 2 == 1
-    return whole + F.when((past_half > 0) | ((past_half == 0) & at_tie), 1).otherwise(0)
-
-
-def round_exact(x: Column, places: int) -> Column:
-    """Round the exact binary value, true ties to even."""
+    scale = F.lit(float(10**places)) if isinstance(places, int) else F.pow(F.lit(10.0), places)
     size = F.abs(x)
-    units = _rounded_units(size, places, "even") / F.lit(float(10**places))
-    return F.when(size < 1e12, F.when(x < 0, -units).otherwise(units)).otherwise(x)
+    spread = size * F.lit(134217729.0)  # 2**27 + 1 cuts a double into two halves
+    high = spread - (spread - size)
+    low = size - high
+    product = size * scale
+    error = (high * scale - product) + low * scale
+    part = product % F.lit(1.0)
+    whole = product - part
+    past_half = (part - F.lit(0.5)) + error
+    goes_up = (past_half >= 0) if ties == "up" else (past_half > 0) | ((past_half == 0) & (whole % F.lit(2.0) == 1))
+    return F.signum(x) * ((whole + goes_up.cast("double")) / scale)
 
 
 def fixed_text(x: Column, places: int, ties: str = "even") -> Column:
-    """Text with a fixed number of decimals, as C's printf gives it; `ties="up"` moves true ties away from zero."""
-    size = F.abs(x)
-    units = _rounded_units(size, places, ties) / F.lit(float(10**places))
-    exact = F.concat(F.when(x < 0, "-").otherwise(""), F.format_string(f"%.{places}f", units))
-    return F.when(size < 1e12, exact).when(x.isNotNull(), F.format_string(f"%.{places}f", x))
+    """Text with a fixed number of decimals, as C's printf gives it, or NULL."""
+    rounded = round_exact(x, places, ties)
+    return F.when(rounded.isNotNull(), F.format_string(f"%.{places}f", rounded))
 
 
 def iso_text(ts: Column, offset: bool = False) -> Column:
@@ -104,7 +98,7 @@ def parse_iso(text: Column) -> Column:
 
 def parse_number(text: Column) -> Column:
     """Double from text; NULL for bad text, including the Java forms `1.5d` and `1.5f` that a plain cast accepts."""
-    return F.when(~text.rlike(r"(?i)[0-9.][df]\s*$"), text.try_cast("double"))
+    return F.regexp_replace(text, r"(?i)([0-9.])[df](\s*)$", "$1?$2").try_cast("double")
 
 
 def epoch_id(ts: Column) -> Column:

@@ -13,12 +13,26 @@ def text_value(messages: DataFrame) -> DataFrame:
     return messages.withColumn("value", F.col("value").cast("string"))
 
 
-def decode(messages: DataFrame, schema: str) -> DataFrame:
-    """Flat columns parsed from the JSON in `value`.
+def computed_once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column that costs much to compute and is then tested.
+
+    Spark moves filters below projections and computes the tested column there again, once per mention. It does not
+    move them below a generator, so the value comes out of one that makes a single row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def parsed(messages: DataFrame, schema: str) -> DataFrame:
+    """Messages with the struct `data` parsed from the JSON in `value`.
 
     Parsing is permissive: junk gives a row of NULLs, a bad field gives NULL in that field alone.
     """
-    return text_value(messages).select(F.from_json("value", schema).alias("data")).select("data.*")
+    return computed_once(text_value(messages), F.from_json("value", schema), "data")
+
+
+def decode(messages: DataFrame, schema: str) -> DataFrame:
+    """Flat columns parsed from the JSON in `value`."""
+    return parsed(messages, schema).select("data.*")
 
 
 def decode_with_rejects(messages: DataFrame, schema: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -26,13 +40,11 @@ def decode_with_rejects(messages: DataFrame, schema: str, required: list[str]) -
 
     A message is rejected when any `required` field is missing or unreadable; the reject keeps key and value whole.
     """
-    parsed = text_value(messages).withColumn("data", F.from_json("value", schema))
+    rows = parsed(messages, schema)
     usable = F.lit(True)
     for name in required:
         usable = usable & F.col(f"data.{name}").isNotNull()
-    good = parsed.where(usable).select("data.*")
-    bad = parsed.where(~usable).drop("data")
-    return good, bad
+    return rows.where(usable).select("data.*"), rows.where(~usable).drop("data")
 
 
 def encode(df: DataFrame, key: str | None = None, timestamp_format: str | None = None) -> DataFrame:

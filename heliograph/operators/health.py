@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph import schemas
-from heliograph.functions.scalars import fixed_text
+from heliograph.functions.scalars import round_exact
 
 # Limits of the four rules.
 VERY_LOW_EFFICIENCY = 5.0
@@ -31,40 +31,39 @@ def reason_code() -> Column:
     )
 
 
-def reason_text(code: Column) -> Column:
-    """Reason of a rule, with the measured values."""
-    eff, temp, irr = F.col("avg_efficiency"), F.col("avg_temp"), F.col("avg_irradiance")
+def reason_text() -> Column:
+    """Reason of the rule in `reason_code`, from the rounded values in `_value` and `_light`."""
+    code, value, light = F.col("reason_code"), F.col("_value"), F.col("_light")
     # Reason texts.
     return (
-        F.when(code == 1, F.concat(F.lit("Low efficiency: "), fixed_text(eff, 2), F.lit("%")))
+        F.when(code == 1, F.format_string("Low efficiency: %.2f%%", value))
         .when(
             code == 2,
-            F.concat(
-                F.lit("Low efficiency ("),
-                fixed_text(eff, 2),
-                F.lit("%) despite adequate irradiance ("),
-                fixed_text(irr, 0),
-                F.lit(" W/m²)"),
-            ),
-        )
-        .when(code == 3, F.concat(F.lit("Temperature anomaly: "), fixed_text(temp, 1), F.lit("°C")))
-        .when(
-            code == 4,
-            F.concat(
-                F.lit("No irradiance detected despite warm temperature ("), fixed_text(temp, 1), F.lit("°C)")
-            ),
+            F.format_string("Low efficiency (%.2f%%) despite adequate irradiance (%.0f W/m²)", value, light),
         )
+        .when(code == 3, F.format_string("Temperature anomaly: %.1f°C", value))
+        .when(code == 4, F.format_string("No irradiance detected despite warm temperature (%.1f°C)", value))
     )
 
 
 def classify(stats: DataFrame) -> DataFrame:
-    """Window statistics with `reason_code`, `is_broken` and `reason`; rows without a panel id are left out."""
+    """Window statistics with `reason_code`, `is_broken` and `reason`; rows without a panel id are left out.
+
+    A reason quotes the efficiency or the temperature, and in one case the irradiance. These are chosen and rounded
+    in steps of their own, which keeps the generated code small enough to be compiled.
+    """
     code = F.col("reason_code")
+    by_efficiency = code <= 2
     return (
         stats.where(F.col("panel_id").isNotNull() & (F.col("panel_id") != ""))
         .withColumn("reason_code", reason_code())
         .withColumn("is_broken", code != HEALTHY)
-        .withColumn("reason", reason_text(code))
+        .withColumn("_value", F.when(by_efficiency, F.col("avg_efficiency")).otherwise(F.col("avg_temp")))
+        .withColumn("_places", F.when(by_efficiency, 2).otherwise(1))
+        .withColumn("_value", round_exact(F.col("_value"), F.col("_places")))
+        .withColumn("_light", round_exact(F.col("avg_irradiance"), 0))
+        .withColumn("reason", reason_text())
+        .drop("_value", "_places", "_light")
     )
 
 

@@ -36,25 +36,37 @@ MAX_RECORDS = 500
 
 
 def _mapped(messages: DataFrame, now: Column | None) -> DataFrame:
+    """Messages with the JSON fields in `_found` and the training row in `_record`.
+
+    The steps are kept apart so that each text is looked up once and parsed once, in code small enough to be compiled.
+    """
     found = F.col("_found")
-    numbers = {
-        target: scalars.parse_number(wire.present(found, key, alias, F.lit(default)))
-        for target, key, alias, default in NUMBERS
-    }
-    dc = numbers["power_dc_w"]
-    sent_ac = scalars.parse_number(F.element_at(found, "power_ac_w"))
-    numbers["power_ac_w"] = F.when(F.map_contains_key(found, "power_ac_w"), sent_ac).otherwise(
+    texts = [wire.present(found, key, alias, F.lit(default)).alias(name) for name, key, alias, default in NUMBERS]
+    texts += [
+        wire.present(found, "panel_id", None, F.lit(DEFAULT_PANEL)).alias("panel_id"),
+        F.element_at(found, "timestamp").alias("timestamp"),
+        F.element_at(found, "power_ac_w").alias("power_ac_w"),
+        F.map_contains_key(found, "power_ac_w").alias("has_ac"),
+    ]
+    numbers = [
+        scalars.parse_number(F.col(f"_text.{name}")).alias(name) for name in [*(row[0] for row in NUMBERS), "power_ac_w"]
+    ]
+    time = scalars.parse_iso(F.col("_text.timestamp")).alias("timestamp")
+    rows = wire.computed_once(wire.text_value(messages), wire.fields(F.col("value")), "_found")
+    rows = wire.computed_once(rows, F.struct(*texts), "_text")
+    rows = wire.computed_once(rows, F.struct(*numbers, time), "_number")
+
+    dc = F.col("_number.power_dc_w")
+    ac = F.when(F.col("_text.has_ac"), F.col("_number.power_ac_w")).otherwise(
         F.when(dc != 0, dc * AC_SHARE).otherwise(F.lit(0.0))
     )
-    time = scalars.parse_iso(wire.present(found, "timestamp", None, F.lit(None).cast("string")))
     fields = {
-        "panel_id": wire.present(found, "panel_id", None, F.lit(DEFAULT_PANEL)),
-        "timestamp": F.coalesce(time, F.current_timestamp() if now is None else now),
-        **numbers,
+        "panel_id": F.col("_text.panel_id"),
+        "timestamp": F.coalesce("_number.timestamp", F.current_timestamp() if now is None else now),
+        **{name: F.col(f"_number.{name}") for name, *_ in NUMBERS},
+        "power_ac_w": ac,
     }
-    record = F.struct(*[fields[name].alias(name) for name in COLUMNS]).alias("_record")
-    found_in = wire.text_value(messages).withColumn("_found", wire.fields(F.col("value")))
-    return found_in.select("*", record)
+    return rows.withColumn("_record", F.struct(*[fields[name].alias(name) for name in COLUMNS]))
 
 
 def _usable() -> Column:
@@ -75,7 +87,7 @@ def training_records(messages: DataFrame, now: Column | None = None, keep: tuple
 
 def training_rejects(messages: DataFrame) -> DataFrame:
     """The messages that `training_records` leaves out, unchanged."""
-    return _mapped(messages, None).where(~_usable()).drop("_found", "_record")
+    return _mapped(messages, None).where(~_usable()).select(*messages.columns)
 
 
 def earliest(records: DataFrame, order: list[str], limit: int = MAX_RECORDS) -> DataFrame:
