@@ -46,3 +46,8 @@ def to_messages(stats: DataFrame) -> DataFrame:
 def from_messages(messages: DataFrame) -> DataFrame:
     """Window statistics parsed from JSON messages; a field left out is NULL."""
     return wire.decode(messages, schemas.WINDOW_STATS)
+
+
+def distinct_windows(stats: DataFrame) -> DataFrame:
+    """Resent window statistics once each (batch). Copies are dropped before the shuffle where a task has several."""
+    return stats.dropDuplicates()

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliograph import schemas
+from heliograph import schemas, session
 from heliograph.functions import scalars, wire
 
 COPIES = "copies"
@@ -23,7 +23,8 @@ def join_measurements(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Inner join of the five measurement frames on panel and exact event time; batch or streaming.
 
     All four joins use one key, so each frame is shuffled once and no join result is shuffled again. A busy panel
-    spreads over its event times. NULL keys never match, and Spark drops them before the shuffle.
+    spreads over its event times. NULL keys never match, and Spark drops them before the shuffle. For a table with one
+    reading sent very many times see `enrich_counted`.
     """
     ordered = [frames[kind] for kind in schemas.KINDS]
     return reduce(lambda left, right: left.join(right, schemas.KEYS), ordered)
@@ -68,13 +69,19 @@ def enrich_counted(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def expand_copies(counted: DataFrame, block: int = 10_000) -> DataFrame:
-    """Plain rows from counted rows. Two nested row generators keep every generated array at `block` entries or few."""
+    """Plain rows from counted rows.
+
+    Rows with up to `block` copies are repeated where they are. Rows with more are cut into blocks, and the blocks are
+    spread over the cluster before they are repeated, so no task makes a hot reading's rows alone.
+    """
+    counted = session.materialise(counted, "counted")
+    few = counted.where(F.col(COPIES) <= block).withColumn("_block", F.lit(0).cast("long"))
     blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(COPIES) - 1) / block))
+    many = counted.where(F.col(COPIES) > block).withColumn("_block", F.explode(blocks))
+    spread = few.unionByName(many.repartition(*schemas.KEYS, "_block"))
     in_block = F.least(F.lit(block).cast("long"), F.col(COPIES) - F.col("_block") * block)
-    return (
-        counted.withColumn("_block", F.explode(blocks))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_block)))
-        .drop("_block", "_copy", COPIES)
+    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_block))).drop(
+        "_block", "_copy", COPIES
     )
 
 

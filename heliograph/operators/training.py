@@ -106,11 +106,13 @@ def fit(records: DataFrame, seed: int = 7, **params) -> PipelineModel:
     The fit reads its input several times, so the features are written to the shared folder first, and whatever made
     `records` runs once. `params` go to the regressor; see `QUICK` and `FINE`.
     """
-    session.use_checkpoints(records.sparkSession)
-    ready = session.materialise(add_hour(records).select(*FEATURES, LABEL).dropna(), "training")
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip")
-    trees = GBTRegressor(featuresCol="features", labelCol=LABEL, seed=seed, **(params or QUICK))
-    return PipelineModel([assembler, trees.fit(assembler.transform(ready))])
+    spark = records.sparkSession
+    session.use_checkpoints(spark)
+    with session.scratch(spark):
+        ready = session.materialise(add_hour(records).select(*FEATURES, LABEL).dropna(), "training")
+        assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip")
+        trees = GBTRegressor(featuresCol="features", labelCol=LABEL, seed=seed, **(params or QUICK))
+        return PipelineModel([assembler, trees.fit(assembler.transform(ready))])
 
 
 def score(candidates: DataFrame, model: PipelineModel) -> DataFrame:
@@ -151,14 +153,15 @@ def retrain(records: DataFrame, max_rows: int | None = MAX_RECORDS, **params) ->
     """
     spark = records.sparkSession
     chosen = records if max_rows is None else earliest(records, [schemas.EVENT_TIME, schemas.PANEL], max_rows)
-    chosen = session.materialise(chosen, "retrain")
-    labels = F.count(LABEL) if LABEL in chosen.columns else F.lit(0).cast("long")
-    number, labelled = chosen.agg(F.count(F.lit(1)), labels).first()
-    if number == 0:
-        return None, _status(spark, "no_data", 0)
-    if labelled == 0:
-        return None, _status(spark, "no_label", number)
-    return fit(chosen, **(params or FINE)), _status(spark, "retrained", number)
+    with session.scratch(spark):
+        chosen = session.materialise(chosen, "retrain")
+        labels = F.count(LABEL) if LABEL in chosen.columns else F.lit(0).cast("long")
+        number, labelled = chosen.agg(F.count(F.lit(1)), labels).first()
+        if number == 0:
+            return None, _status(spark, "no_data", 0)
+        if labelled == 0:
+            return None, _status(spark, "no_label", number)
+        return fit(chosen, **(params or FINE)), _status(spark, "retrained", number)
 
 
 def _status(spark: SparkSession, status: str, number: int) -> DataFrame:

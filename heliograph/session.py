@@ -6,13 +6,21 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# Applied to any session handed to us. Event times are instants, and hour-of-day and day windows are read in UTC.
-RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+# Applied to any session handed to us.
+# - Event times are instants, and hour-of-day and day windows are read in UTC.
+# - A join whose shuffled partitions all turn out to fit is done by hashing them, without sorting; others are sorted.
+# - A join side with one oversized partition is split, even where that costs another shuffle.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(128 << 20),
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
 # State of streaming queries: kept outside the heap, with one store per join side instead of two.
 STATE_SETTINGS = {
@@ -70,16 +78,49 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Tables made by `materialise` inside the innermost `scratch` block.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Run `df` now, into a table in the shared folder, and read that table.
 
-    For results used more than once. The table outlives lost executors, and its size is known to the planner.
+    For results used more than once. The table outlives lost executors, and its size is known to the planner. It stays
+    until removed; inside a `scratch` block that happens at the end of the block.
     """
     path = run_dir(df.sparkSession, name)
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that were materialised inside the block, once their readers in the block are done."""
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            remove(spark, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop path object and the file system it lies on."""
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by this library."""
+    located, files = file_system(spark, path)
+    files.delete(located, True)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Point `DataFrame.checkpoint()` and long model fits at the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

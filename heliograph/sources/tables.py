@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from heliograph import schemas
+from heliograph import schemas, session
 
 VERSION = "version"
 
@@ -26,15 +24,26 @@ def read_version(spark: SparkSession, base: str, version: int) -> DataFrame:
     return spark.read.schema(schemas.PANEL_STATUS).parquet(f"{base}/{VERSION}={version}")
 
 
+def versions(spark: SparkSession, base: str) -> list[int]:
+    """Versions that were written to the end, oldest first."""
+    located, files = session.file_system(spark, base)
+    if not files.exists(located):
+        return []
+    folders = [entry.getPath() for entry in files.listStatus(located) if entry.getPath().getName().startswith(VERSION)]
+    done = [f for f in folders if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted(int(f.getName().partition("=")[2]) for f in done)
+
+
 def latest_version(spark: SparkSession, base: str) -> int | None:
-    """Highest version that holds panels. Only partition values and row counts are read."""
-    schema = f"{schemas.PANEL_STATUS}, {VERSION} BIGINT"
-    try:
-        return spark.read.schema(schema).parquet(base).agg(F.max(VERSION)).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """Newest complete version."""
+    found = versions(spark, base)
+    return found[-1] if found else None
+
+
+def forget_versions(spark: SparkSession, base: str, keep: int) -> None:
+    """Remove all but the newest `keep` complete versions."""
+    for version in versions(spark, base)[:-keep]:
+        session.remove(spark, f"{base}/{VERSION}={version}")
 
 
 def read_status(spark: SparkSession, base: str) -> DataFrame:

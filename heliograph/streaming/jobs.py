@@ -50,11 +50,27 @@ def start_enriched(spark: SparkSession, source: Broker, sink: Broker, checkpoint
     return send(messages, sink, schemas.TOPICS["enriched"], f"{checkpoints}/enriched", **trigger)
 
 
+def rejoined_stream(spark: SparkSession, source: Broker, delay: str = schemas.WATERMARK) -> DataFrame:
+    """Enriched readings as an enriched-features job has written them, to save joining the five streams again."""
+    columns = "panel_id STRING, timestamp TIMESTAMP, efficiency DOUBLE, temperature_c DOUBLE, irradiance_w_m2 DOUBLE"
+    return telemetry.watermarked(wire.decode(source.stream(spark, schemas.TOPICS["enriched"]), columns), delay)
+
+
 def start_window_stats(
-    spark: SparkSession, source: Broker, sink: Broker, checkpoints: str, width: str = schemas.WINDOW, **trigger
+    spark: SparkSession,
+    source: Broker,
+    sink: Broker,
+    checkpoints: str,
+    width: str = schemas.WINDOW,
+    from_enriched: bool = False,
+    **trigger,
 ) -> StreamingQuery:
-    """Window statistics as JSON messages, each window once, when the watermark has passed its end."""
-    messages = stats.to_messages(stats.window_stats(enriched_stream(spark, source), width))
+    """Window statistics as JSON messages, each window once, when the watermark has passed its end.
+
+    With `from_enriched` the input is the topic that `start_enriched` writes, and only one job keeps join state.
+    """
+    enriched = rejoined_stream(spark, source) if from_enriched else enriched_stream(spark, source)
+    messages = stats.to_messages(stats.window_stats(enriched, width))
     return send(messages, sink, schemas.TOPICS["window_stats"], f"{checkpoints}/window_stats", **trigger)
 
 
@@ -68,8 +84,10 @@ def start_panel_changes(
         return _start(writer.option("checkpointLocation", f"{checkpoints}/panel_changes"), trigger)
 
 
-def start_panel_status(spark: SparkSession, source: Broker, base: str, checkpoints: str, **trigger) -> StreamingQuery:
-    """Panel status table, one new version per micro-batch.
+def start_panel_status(
+    spark: SparkSession, source: Broker, base: str, checkpoints: str, keep: int = 10, **trigger
+) -> StreamingQuery:
+    """Panel status table, one new version per micro-batch, of which the newest `keep` (two or more) stay.
 
     Micro-batch n reads version n - 1 and writes version n. A repeated micro-batch therefore reads the same input and
     replaces only what it wrote itself. One table belongs to one checkpoint.
@@ -78,7 +96,9 @@ def start_panel_status(spark: SparkSession, source: Broker, base: str, checkpoin
     def advance(windows: DataFrame, batch_id: int) -> None:
         own = windows.sparkSession
         current = tables.read_version(own, base, batch_id - 1) if batch_id else tables.empty_status(own)
-        tables.write_version(health.advance_status(current, windows), base, batch_id)
+        advanced = health.advance_status(current, stats.distinct_windows(windows))
+        tables.write_version(advanced, base, batch_id)
+        tables.forget_versions(own, base, max(keep, 2))
 
     return _for_each(window_stats_stream(spark, source), advance, f"{checkpoints}/panel_status", trigger)
 
@@ -140,12 +160,13 @@ def await_any(spark: SparkSession) -> None:
 
 
 def _held(report: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Keep a micro-batch while it is read more than once, so the source is read once."""
+    """Keep a micro-batch while it is read more than once, so the source is read once, and clean up after it."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            report(batch, batch_id)
+            with session.scratch(batch.sparkSession):
+                report(batch, batch_id)
         finally:
             batch.unpersist()
 

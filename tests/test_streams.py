@@ -1,13 +1,14 @@
 """Streams over folders of message files: same answers as the batch operators, late rows, restarts, keyed state."""
 
 import json
+import pathlib
 import random
 
 import pytest
 from helpers import at, readings_frame, rows, stats_frame
 from pyspark.sql import functions as F
 
-from heliograph import schemas
+from heliograph import schemas, session
 from heliograph.functions import wire
 from heliograph.operators import faults, health, stats, telemetry, tilt, training
 from heliograph.sources import brokers, tables
@@ -91,6 +92,16 @@ def test_enriched_stream_equals_batch(spark, setup):
     assert rows(found) == rows(wanted, "panel_id", "timestamp", "efficiency", "temp_per_power")
 
 
+def test_window_stats_from_the_enriched_topic(spark, setup):
+    source, out, checkpoints, _ = setup
+    readings = _readings(spark, 0)
+    _send(source, readings)
+    _send(source, _closing(spark, 600))
+    jobs.start_enriched(spark, source, source, checkpoints, **ONCE).awaitTermination()
+    jobs.start_window_stats(spark, source, out, checkpoints, from_enriched=True, **ONCE).awaitTermination()
+    assert _rounded(_windows(spark, out)) == _rounded(_batch(spark, readings, 590))
+
+
 def _history(seed, panels=4, minutes=30):
     rng = random.Random(seed)
     return [
@@ -123,12 +134,13 @@ def test_status_table_follows_the_stream(spark, setup):
     windows = _history(5)
     status = f"{base}/status"
     for low, high in ((0, 5), (5, 20), (20, 30)):
-        _publish(spark, source, [w for w in windows if low <= w[1] < high])
-        jobs.start_panel_status(spark, source, status, checkpoints, **ONCE).awaitTermination()
-    assert tables.latest_version(spark, status) == 2
+        part = [w for w in windows if low <= w[1] < high]
+        _publish(spark, source, part + part[:3])
+        jobs.start_panel_status(spark, source, status, checkpoints, keep=2, **ONCE).awaitTermination()
+    assert tables.versions(spark, status) == [1, 2]
     assert rows(tables.read_status(spark, status)) == rows(health.latest_status(stats_frame(spark, windows)))
-    early = stats_frame(spark, [w for w in windows if w[1] < 5])
-    assert rows(tables.read_version(spark, status, 0)) == rows(health.latest_status(early))
+    early = stats_frame(spark, [w for w in windows if w[1] < 20])
+    assert rows(tables.read_version(spark, status, 1)) == rows(health.latest_status(early))
 
 
 def _reading_stream(spark, path, readings):
@@ -148,6 +160,15 @@ def test_fault_alerts_per_batch(spark, setup):
     assert keyed(found) == keyed(wanted[0].unionAll(wanted[1])) and found.count() > 0
 
 
+def test_a_fault_batch_leaves_no_scratch_tables(spark, setup):
+    _, out, checkpoints, base = setup
+    shared = pathlib.Path(session.shared_root(spark))
+    before = set(shared.glob("groups-*"))
+    stream = _reading_stream(spark, f"{base}/readings", _readings(spark, 0, n=30))
+    jobs.start_fault_alerts(stream, out, checkpoints, bucket="1 hour", threshold=15.0, **ONCE).awaitTermination()
+    assert set(shared.glob("groups-*")) == before
+
+
 def test_control_commands_from_live_readings(spark, setup):
     _, out, checkpoints, base = setup
     readings = _readings(spark, 0, n=90)
