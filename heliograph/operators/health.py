@@ -46,8 +46,11 @@ def reason_text() -> Column:
     )
 
 
-def classify(stats: DataFrame) -> DataFrame:
-    """Window statistics with `reason_code`, `is_broken` and `reason`; rows without a panel id are left out.
+def classify(stats: DataFrame, clock: Column | None = None) -> DataFrame:
+    """Window statistics with `reason_code`, `is_broken`, `reason` and `as_of`; rows without a panel id are left out.
+
+    `as_of` is the time a status begins or is updated at: the end of the window, so that results can be repeated, or a
+    `clock` such as `current_timestamp()`.
 
     A reason quotes the efficiency or the temperature, and in one case the irradiance. These are chosen and rounded
     in steps of their own, which keeps the generated code small enough to be compiled.
@@ -63,11 +66,12 @@ def classify(stats: DataFrame) -> DataFrame:
         .withColumn("_value", round_exact(F.col("_value"), F.col("_places")))
         .withColumn("_light", round_exact(F.col("avg_irradiance"), 0))
         .withColumn("reason", reason_text())
+        .withColumn("as_of", F.col("window_end") if clock is None else clock)
         .drop("_value", "_places", "_light")
     )
 
 
-def timeline(stats: DataFrame) -> DataFrame:
+def timeline(stats: DataFrame, clock: Column | None = None) -> DataFrame:
     """Status of every panel after each of its windows.
 
     `reason` and `broken_since` are those of the window that broke the panel and hold until it recovers. `change` is
@@ -81,9 +85,9 @@ def timeline(stats: DataFrame) -> DataFrame:
     by_time = Window.partitionBy("panel_id").orderBy("window_start")
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     was_broken = F.lag("is_broken").over(by_time)
-    breaking = F.struct(F.col("reason"), F.col("window_end").alias("broken_since"))
+    breaking = F.struct(F.col("reason"), F.col("as_of").alias("broken_since"))
     return (
-        classify(stats)
+        classify(stats, clock)
         .withColumn("_was_broken", was_broken)
         .withColumn("_breaks", F.col("is_broken") & ~F.coalesce("_was_broken", F.lit(False)))
         .withColumn("_run", F.last(F.when(F.col("_breaks"), breaking), ignorenulls=True).over(so_far))
@@ -104,6 +108,7 @@ def timeline(stats: DataFrame) -> DataFrame:
             F.when(F.col("_breaks"), "broken")
             .when(~F.col("is_broken") & F.col("_was_broken"), "recovered")
             .alias("change"),
+            "as_of",
             "from_start",
         )
     )
@@ -114,24 +119,25 @@ def transitions(stats: DataFrame) -> DataFrame:
     return timeline(stats).where(F.col("change").isNotNull())
 
 
-def _latest(stats: DataFrame) -> DataFrame:
+def _latest(stats: DataFrame, clock: Column | None) -> DataFrame:
     """Last row of each panel's timeline. The values are taken as they are, NULLs too."""
     kept = [name for name in schemas.STATUS_COLUMNS if name not in ("panel_id", "last_updated")]
-    row = F.struct(*kept, F.col("window_end").alias("last_updated"), "from_start")
-    return timeline(stats).groupBy("panel_id").agg(F.max_by(row, "window_start").alias("row")).select("panel_id", "row.*")
+    row = F.struct(*kept, F.col("as_of").alias("last_updated"), "from_start")
+    last = timeline(stats, clock).groupBy("panel_id").agg(F.max_by(row, "window_start").alias("row"))
+    return last.select("panel_id", "row.*")
 
 
-def latest_status(stats: DataFrame) -> DataFrame:
+def latest_status(stats: DataFrame, clock: Column | None = None) -> DataFrame:
     """Panel status table: one row per panel after its last window."""
-    return _latest(stats).select(*schemas.STATUS_COLUMNS)
+    return _latest(stats, clock).select(*schemas.STATUS_COLUMNS)
 
 
-def advance_status(current: DataFrame, stats: DataFrame) -> DataFrame:
+def advance_status(current: DataFrame, stats: DataFrame, clock: Column | None = None) -> DataFrame:
     """The status table after further windows: known panels are updated, new ones inserted, the rest kept.
 
     A panel that was broken, and has been broken in all further windows, keeps its reason and time of breaking.
     """
-    old, new = current.alias("old"), _latest(stats).alias("new")
+    old, new = current.alias("old"), _latest(stats, clock).alias("new")
     updated = F.col("new.panel_id").isNotNull()
     holds = F.col("old.is_broken") & F.col("new.is_broken") & F.col("new.from_start")
     sticky = {"broken_since", "reason"}

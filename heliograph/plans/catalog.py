@@ -226,7 +226,7 @@ def panel_health_1m(spark, sf_dir):
 @_query
 def panel_timeline(spark, sf_dir):
     """Status of every panel after each minute it reported in."""
-    return health.timeline(_stats(spark, sf_dir, MINUTE)).drop("from_start")
+    return health.timeline(_stats(spark, sf_dir, MINUTE)).drop("as_of", "from_start")
 
 
 @_query
@@ -456,6 +456,13 @@ def model_commands(spark, sf_dir):
     return tilt.commands(chosen, F.col("event_id").cast("string"))
 
 
+@_query
+def model_responses(spark, sf_dir):
+    """Answers to all valid requests, chosen by the model."""
+    requests = tilt.valid_requests(_requests(spark, sf_dir), feed.no_time())
+    return tilt.prediction_response(training.optimal_tilt(requests, _model(spark, sf_dir)))
+
+
 @_query
 def candidate_scores(spark, sf_dir):
     """Every candidate of every reading with its prediction."""

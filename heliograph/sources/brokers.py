@@ -93,3 +93,18 @@ class Folder:
             writer = messages.writeStream.format("json").option("path", self.root).partitionBy("topic")
         writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
         return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+@dataclass(frozen=True)
+class Console:
+    """A sink for looking at messages: the first `rows` of each batch."""
+
+    rows: int = 20
+
+    def write(self, messages: DataFrame, topic: str | None = None, batch_id: int | None = None) -> None:
+        messages.show(self.rows, truncate=False)
+
+    def start(self, messages: DataFrame, topic: str | None, checkpoint: str, **trigger) -> StreamingQuery:
+        writer = messages.writeStream.format("console").option("numRows", self.rows).option("truncate", "false")
+        writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
+        return (writer.trigger(**trigger) if trigger else writer).start()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from heliograph import schemas, session
@@ -20,6 +20,7 @@ from heliograph.sources import brokers, tables
 from heliograph.streaming import panel_state
 
 Broker = brokers.Kafka | brokers.Folder
+Sink = Broker | brokers.Console
 
 
 def measurement_stream(spark: SparkSession, source: Broker, kind: str, delay: str = schemas.WATERMARK) -> DataFrame:
@@ -38,13 +39,13 @@ def window_stats_stream(spark: SparkSession, source: Broker) -> DataFrame:
     return stats.from_messages(source.stream(spark, schemas.TOPICS["window_stats"]))
 
 
-def send(messages: DataFrame, sink: Broker, topic: str | None, checkpoint: str, **trigger) -> StreamingQuery:
+def send(messages: DataFrame, sink: Sink, topic: str | None, checkpoint: str, **trigger) -> StreamingQuery:
     """Stream messages to a topic, or to the topic each row names."""
     with session.state_settings(messages.sparkSession):
         return sink.start(messages, topic, checkpoint, **trigger)
 
 
-def start_enriched(spark: SparkSession, source: Broker, sink: Broker, checkpoints: str, **trigger) -> StreamingQuery:
+def start_enriched(spark: SparkSession, source: Broker, sink: Sink, checkpoints: str, **trigger) -> StreamingQuery:
     """Enriched readings as JSON messages."""
     messages = wire.encode(enriched_stream(spark, source), key="panel_id")
     return send(messages, sink, schemas.TOPICS["enriched"], f"{checkpoints}/enriched", **trigger)
@@ -59,7 +60,7 @@ def rejoined_stream(spark: SparkSession, source: Broker, delay: str = schemas.WA
 def start_window_stats(
     spark: SparkSession,
     source: Broker,
-    sink: Broker,
+    sink: Sink,
     checkpoints: str,
     width: str = schemas.WINDOW,
     from_enriched: bool = False,
@@ -75,17 +76,23 @@ def start_window_stats(
 
 
 def start_panel_changes(
-    spark: SparkSession, source: Broker, path: str, checkpoints: str, **trigger
+    spark: SparkSession, source: Broker, path: str, checkpoints: str, clock: Column | None = None, **trigger
 ) -> StreamingQuery:
     """Change log of panel status from keyed state, as a parquet table."""
-    changes = panel_state.panel_changes(window_stats_stream(spark, source))
+    changes = panel_state.panel_changes(window_stats_stream(spark, source), clock)
     writer = changes.writeStream.format("parquet").outputMode("append").option("path", path)
     with session.state_settings(spark):
         return _start(writer.option("checkpointLocation", f"{checkpoints}/panel_changes"), trigger)
 
 
 def start_panel_status(
-    spark: SparkSession, source: Broker, base: str, checkpoints: str, keep: int = 10, **trigger
+    spark: SparkSession,
+    source: Broker,
+    base: str,
+    checkpoints: str,
+    keep: int = 10,
+    clock: Column | None = None,
+    **trigger,
 ) -> StreamingQuery:
     """Panel status table, one new version per micro-batch, of which the newest `keep` (two or more) stay.
 
@@ -96,7 +103,7 @@ def start_panel_status(
     def advance(windows: DataFrame, batch_id: int) -> None:
         own = windows.sparkSession
         current = tables.read_version(own, base, batch_id - 1) if batch_id else tables.empty_status(own)
-        advanced = health.advance_status(current, stats.distinct_windows(windows))
+        advanced = health.advance_status(current, stats.distinct_windows(windows), clock)
         tables.write_version(advanced, base, batch_id)
         tables.forget_versions(own, base, max(keep, 2))
 
@@ -105,7 +112,7 @@ def start_panel_status(
 
 def start_fault_alerts(
     readings: DataFrame,
-    sink: Broker,
+    sink: Sink,
     checkpoints: str,
     bucket: str | None = None,
     leave_one_out: bool = False,
@@ -122,7 +129,7 @@ def start_fault_alerts(
 
 
 def start_tilt_control(
-    readings: DataFrame, model: Callable[[], PipelineModel], sink: Broker, checkpoints: str, **trigger
+    readings: DataFrame, model: Callable[[], PipelineModel], sink: Sink, checkpoints: str, **trigger
 ) -> StreamingQuery:
     """Control commands for a stream of readings. `model` is asked for the model of each micro-batch, so that a refit
     takes effect without a restart."""
@@ -135,7 +142,7 @@ def start_tilt_control(
     return _for_each(readings, control, f"{checkpoints}/control", trigger)
 
 
-def start_fan_out(readings: DataFrame, sink: Broker, checkpoints: str, **trigger) -> StreamingQuery:
+def start_fan_out(readings: DataFrame, sink: Sink, checkpoints: str, **trigger) -> StreamingQuery:
     """Wide readings as one message per measurement kind, each in its own topic."""
     return send(telemetry.fan_out(readings), sink, None, f"{checkpoints}/fan_out", **trigger)
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from heliograph.operators import health
 
+# The processor travels to the executors whole, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE = "is_broken BOOLEAN, broken_since TIMESTAMP, reason STRING"
 
 CHANGES = (
@@ -39,7 +44,7 @@ class PanelHealth(StatefulProcessor):
         breaks = broken & ~before
         run = breaks.cumsum()  # 0 while the run brought along from the state goes on
         starts = windows[breaks]
-        starts_since = [pd.Timestamp(since) if since is not None else pd.NaT, *starts["window_end"]]
+        starts_since = [pd.Timestamp(since) if since is not None else pd.NaT, *starts["as_of"]]
         starts_reason = [reason, *starts["reason"]]
 
         windows["broken_since"] = pd.to_datetime(pd.Series([starts_since[r] for r in run])).where(broken)
@@ -59,13 +64,13 @@ class PanelHealth(StatefulProcessor):
         pass
 
 
-def panel_changes(stats: DataFrame) -> DataFrame:
+def panel_changes(stats: DataFrame, clock: Column | None = None) -> DataFrame:
     """Status of every panel after each of its windows, from a stream of window statistics.
 
     Same rows as `health.timeline` gives for a table. Needs the RocksDB state store on the session.
     """
     return (
-        health.classify(stats)
+        health.classify(stats, clock)
         .groupBy("panel_id")
         .transformWithStateInPandas(
             statefulProcessor=PanelHealth(), outputStructType=CHANGES, outputMode="Append", timeMode="None"

@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 import pytest
 from helpers import at, rows, stats_frame
@@ -63,6 +64,12 @@ def test_latest_values_are_taken_with_their_nulls(spark):
     assert rows(found) == [("p", False, None, None, 500.0, at(120), None, None)]
 
 
+def test_a_clock_can_stamp_the_status(spark):
+    clock = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    found = health.latest_status(stats_frame(spark, STICKY), clock).first()
+    assert found.last_updated == found.broken_since == datetime(2030, 1, 1)
+
+
 def test_timeline_shuffles_once(spark):
     plan = health.latest_status(stats_frame(spark, STICKY))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1

@@ -33,6 +33,12 @@ def test_folder_routes_by_topic(spark, tmp_path):
     assert rows(folder.history(spark, "b"), "topic", "key") == [("b", "k1")]
 
 
+def test_console_shows_messages(spark, capfd):
+    brokers.Console(rows=1).write(_messages(spark, ["a", "b"]))
+    shown = capfd.readouterr().out
+    assert "k0" in shown and "k1" not in shown
+
+
 @pytest.mark.parametrize("topic", ["a", None])
 def test_a_repeated_batch_replaces_itself(spark, tmp_path, topic):
     folder = brokers.Folder(str(tmp_path / "topics"))
