@@ -79,6 +79,12 @@ def enriched_features(spark, sf_dir):
     return _enriched(spark, sf_dir)
 
 
+@_query
+def enriched_by_grouping(spark, sf_dir):
+    """The five frames matched in one shuffle."""
+    return telemetry.enrich(feed.measurements(feed.events(spark, sf_dir)), once_each=True)
+
+
 @_query
 def enriched_messages(spark, sf_dir):
     """Enriched readings as JSON, read back: NULL fields are missing and times have milliseconds."""
@@ -491,9 +497,9 @@ def _drained(writer, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
-def _enriched_stream(spark, sf_dir) -> DataFrame:
+def _enriched_stream(spark, sf_dir, once_each: bool = False) -> DataFrame:
     frames = feed.measurements(feed.events_stream(spark, sf_dir))
-    return telemetry.enrich({kind: telemetry.watermarked(frame) for kind, frame in frames.items()})
+    return telemetry.enrich({kind: telemetry.watermarked(frame) for kind, frame in frames.items()}, once_each)
 
 
 @_query
@@ -508,6 +514,13 @@ def stream_window_stats(spark, sf_dir):
     return _averages(_drained(rows.writeStream, spark, "stream_window_stats"))
 
 
+@_query
+def stream_window_stats_by_grouping(spark, sf_dir):
+    """The same windows with the five streams matched by grouping."""
+    rows = stats.window_stats(_enriched_stream(spark, sf_dir, once_each=True))
+    return _averages(_drained(rows.writeStream, spark, "stream_window_stats_by_grouping"))
+
+
 def _closed_windows(spark, sf_dir, name) -> tuple[str, brokers.Folder]:
     """Window statistics messages made by a stream, in a folder."""
     base = session.run_dir(spark, name)

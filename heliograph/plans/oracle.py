@@ -241,6 +241,7 @@ def _with(tables: str, body: str) -> str:
 
 SQL: dict[str, str] = {
     "enriched_features": _with(ENRICHED, "SELECT * FROM enriched"),
+    "enriched_by_grouping": _with(ENRICHED, "SELECT * FROM enriched"),
     "enriched_messages": _with(
         ENRICHED,
         """SELECT panel_id AS key, CASE WHEN efficiency IS NULL THEN 8 ELSE 10 END AS n_fields,
@@ -407,6 +408,7 @@ FROM best WHERE send_to_kafka""",
     "retrain_status": _with(_TRAINING, "SELECT 'retrained' AS status, count(*) AS num_records FROM records"),
     "stream_enriched_features": _with(ENRICHED, "SELECT * FROM enriched"),
     "stream_window_stats": _with(CLOSED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
+    "stream_window_stats_by_grouping": _with(CLOSED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "stream_panel_changes": _with(_timeline(CLOSED_STATS), f"SELECT {_TIMELINE_COLUMNS} FROM timeline"),
     "stream_panel_status": _with(_timeline(CLOSED_STATS), f"SELECT {_STATUS_COLUMNS} FROM status"),
     "stream_faults": _with(

@@ -29,9 +29,15 @@ def measurement_stream(spark: SparkSession, source: Broker, kind: str, delay: st
     return telemetry.watermarked(wire.decode(messages, schemas.measurement_schema(kind)), delay)
 
 
-def enriched_stream(spark: SparkSession, source: Broker, delay: str = schemas.WATERMARK) -> DataFrame:
-    """Join of the five measurement streams with derived features. The slowest stream sets the watermark."""
-    return telemetry.enrich({kind: measurement_stream(spark, source, kind, delay) for kind in schemas.KINDS})
+def enriched_stream(
+    spark: SparkSession, source: Broker, delay: str = schemas.WATERMARK, once_each: bool = False
+) -> DataFrame:
+    """Join of the five measurement streams with derived features. The slowest stream sets the watermark.
+
+    `once_each` matches by grouping, with less state (see `telemetry.match_measurements`).
+    """
+    streams = {kind: measurement_stream(spark, source, kind, delay) for kind in schemas.KINDS}
+    return telemetry.enrich(streams, once_each)
 
 
 def window_stats_stream(spark: SparkSession, source: Broker) -> DataFrame:
@@ -45,9 +51,11 @@ def send(messages: DataFrame, sink: Sink, topic: str | None, checkpoint: str, **
         return sink.start(messages, topic, checkpoint, **trigger)
 
 
-def start_enriched(spark: SparkSession, source: Broker, sink: Sink, checkpoints: str, **trigger) -> StreamingQuery:
+def start_enriched(
+    spark: SparkSession, source: Broker, sink: Sink, checkpoints: str, once_each: bool = False, **trigger
+) -> StreamingQuery:
     """Enriched readings as JSON messages."""
-    messages = wire.encode(enriched_stream(spark, source), key="panel_id")
+    messages = wire.encode(enriched_stream(spark, source, once_each=once_each), key="panel_id")
     return send(messages, sink, schemas.TOPICS["enriched"], f"{checkpoints}/enriched", **trigger)
 
 
@@ -64,13 +72,16 @@ def start_window_stats(
     checkpoints: str,
     width: str = schemas.WINDOW,
     from_enriched: bool = False,
+    once_each: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Window statistics as JSON messages, each window once, when the watermark has passed its end.
 
     With `from_enriched` the input is the topic that `start_enriched` writes, and only one job keeps join state.
     """
-    enriched = rejoined_stream(spark, source) if from_enriched else enriched_stream(spark, source)
+    enriched = (
+        rejoined_stream(spark, source) if from_enriched else enriched_stream(spark, source, once_each=once_each)
+    )
     messages = stats.to_messages(stats.window_stats(enriched, width))
     return send(messages, sink, schemas.TOPICS["window_stats"], f"{checkpoints}/window_stats", **trigger)
 

@@ -54,6 +54,17 @@ def test_a_missing_or_keyless_measurement_loses_the_reading(spark):
     assert rows(telemetry.enrich(frames), "panel_id", "timestamp") == [("p1", at(0))]
 
 
+def test_grouping_matches_like_the_join(spark):
+    frames = _frames(spark)
+    assert rows(telemetry.enrich(frames, once_each=True)) == rows(telemetry.enrich(frames))
+    assert telemetry.enrich(frames, once_each=True).columns == telemetry.enrich(frames).columns
+    frames["temperature"] = frames["temperature"].where("panel_id <> 'p2'").unionAll(frames["temperature"].limit(1))
+    frames["orientation"] = frames["orientation"].withColumn("panel_id", F.lit(None).cast("string")).unionAll(
+        frames["orientation"].where("panel_id = 'p2'")
+    )
+    assert rows(telemetry.enrich(frames, once_each=True)) == []
+
+
 def test_all_joins_share_one_shuffle_per_frame(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
