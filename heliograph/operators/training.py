@@ -48,9 +48,8 @@ def _mapped(messages: DataFrame, now: Column | None) -> DataFrame:
         F.element_at(found, "power_ac_w").alias("power_ac_w"),
         F.map_contains_key(found, "power_ac_w").alias("has_ac"),
     ]
-    numbers = [
-        scalars.parse_number(F.col(f"_text.{name}")).alias(name) for name in [*(row[0] for row in NUMBERS), "power_ac_w"]
-    ]
+    numeric = [*(row[0] for row in NUMBERS), "power_ac_w"]
+    numbers = [scalars.parse_number(F.col(f"_text.{name}")).alias(name) for name in numeric]
     time = scalars.parse_iso(F.col("_text.timestamp")).alias("timestamp")
     rows = wire.computed_once(wire.text_value(messages), wire.fields(F.col("value")), "_found")
     rows = wire.computed_once(rows, F.struct(*texts), "_text")

@@ -90,9 +90,8 @@ def enriched_messages(spark, sf_dir):
     """Enriched readings as JSON, read back: NULL fields are missing and times have milliseconds."""
     text = wire.encode(_enriched(spark, sf_dir), key="panel_id")
     schema = "timestamp TIMESTAMP, power_ac_w DOUBLE, efficiency DOUBLE, temp_per_power DOUBLE"
-    return text.select(
-        "key", F.size(F.map_keys(wire.fields(F.col("value")))).alias("n_fields"), F.from_json("value", schema).alias("d")
-    ).select("key", "n_fields", "d.*")
+    n_fields = F.size(F.map_keys(wire.fields(F.col("value")))).alias("n_fields")
+    return text.select("key", n_fields, F.from_json("value", schema).alias("d")).select("key", "n_fields", "d.*")
 
 
 @_query

@@ -152,8 +152,10 @@ deviations AS (SELECT *, abs(power_dc_w - avg_power) AS deviation FROM peers),
 found AS (SELECT * FROM deviations WHERE deviation > 50)"""
 
 
+_HOUR_OF_DAY = 'CAST(extract(hour FROM "timestamp") AS INTEGER)'
 _HOUR = "time_bucket(INTERVAL '1 hour', \"timestamp\")"
-_FAULT_COLUMNS = """panel_id, "timestamp", irradiance_w_m2, power_dc_w, peer_time, round(avg_power + 3.17e-8, 6) AS avg_power,
+_FAULT_COLUMNS = """panel_id, "timestamp", irradiance_w_m2, power_dc_w, peer_time,
+  round(avg_power + 3.17e-8, 6) AS avg_power,
   round(deviation + 3.17e-8, 6) AS deviation"""
 
 
@@ -161,7 +163,8 @@ def _to_fixed(name: str, places: int) -> str:
     # printf sends true ties to even; a tie is an odd multiple of 1/8, 1/4 or 1/2, and belongs up here.
     parts, nudge = {2: (8, 0.001), 1: (4, 0.01), 0: (2, 0.1)}[places]
     tied = f"({name} * {parts} = floor({name} * {parts}) AND CAST({name} * {parts} AS BIGINT) % 2 <> 0)"
-    return f"coalesce(printf('%.{places}f', CASE WHEN {tied} THEN {name} + sign({name}) * {nudge} ELSE {name} END), 'N/A')"
+    moved = f"CASE WHEN {tied} THEN {name} + sign({name}) * {nudge} ELSE {name} END"
+    return f"coalesce(printf('%.{places}f', {moved}), 'N/A')"
 
 
 _FLEET = """count(*) AS total_panels, count(*) FILTER (WHERE is_broken) AS broken_panels,
@@ -207,7 +210,7 @@ valid AS (SELECT * FROM requests WHERE irradiance_w_m2 > 0 AND temperature_c IS
 
 _SCORED = f"""{_REQUESTS},
 scored AS (
-  SELECT valid.*, CAST(t.tilt AS DOUBLE) AS tilt_deg, CAST(extract(hour FROM "timestamp") AS INTEGER) AS hour,
+  SELECT valid.*, CAST(t.tilt AS DOUBLE) AS tilt_deg, {_HOUR_OF_DAY} AS hour,
          irradiance_w_m2 * cos(radians(t.tilt - ideal_tilt)) AS prediction
   FROM valid CROSS JOIN generate_series(0, 60, 5) AS t(tilt)),
 best AS (
@@ -291,13 +294,15 @@ FROM (SELECT *, epoch_us("timestamp") % 86400000000 / 86400000000.0::DOUBLE AS p
     "fault_count": _with(_peers(_HOUR), "SELECT count(*) AS fault_count FROM found"),
     "fault_preview": _with(
         _peers(_HOUR),
-        "SELECT panel_id, power_dc_w, round(avg_power + 3.17e-8, 6) AS avg_power, round(deviation + 3.17e-8, 6) AS deviation FROM found",
+        """SELECT panel_id, power_dc_w, round(avg_power + 3.17e-8, 6) AS avg_power,
+  round(deviation + 3.17e-8, 6) AS deviation FROM found""",
     ),
     "fault_alerts": _with(
         _peers(_HOUR),
         f"""SELECT panel_id AS key, 'FAULT_DETECTED' AS event_type, panel_id, {ISO} AS "timestamp",
   'Inspect Panel Immediately' AS action_required, power_dc_w AS current_power,
-  round(avg_power + 3.17e-8, 6) AS average_others, round(deviation + 3.17e-8, 6) AS deviation, 50.0::DOUBLE AS threshold FROM found""",
+  round(avg_power + 3.17e-8, 6) AS average_others, round(deviation + 3.17e-8, 6) AS deviation,
+  50.0::DOUBLE AS threshold FROM found""",
     ),
     "panel_health": _with(
         _health(DAY_STATS), "SELECT panel_id, window_start, window_end, reason_code, is_broken FROM health"
@@ -364,7 +369,7 @@ FROM (SELECT {_FLEET}, avg(avg_efficiency) AS e, avg(avg_temperature) AS t FROM
       + length(CAST(CAST(temperature_c AS BIGINT) AS VARCHAR)) END AS INTEGER) AS n_chars
 FROM raw WHERE shape <> 'good'""",
     ),
-    "training_records": _with(_TRAINING, 'SELECT *, CAST(extract(hour FROM "timestamp") AS INTEGER) AS hour FROM records'),
+    "training_records": _with(_TRAINING, f"SELECT *, {_HOUR_OF_DAY} AS hour FROM records"),
     "training_rejects": _with(
         _TRAINING, "SELECT CAST(event_id AS VARCHAR) AS key FROM shaped WHERE shape IN ('null', 'text', 'broken')"
     ),
@@ -378,13 +383,14 @@ FROM requests WHERE NOT (irradiance_w_m2 > 0 AND temperature_c IS NOT NULL)""",
     ),
     "tilt_candidates": _with(
         WIDE,
-        """SELECT panel_id, "timestamp", irradiance_w_m2, temperature_c, CAST(extract(hour FROM "timestamp") AS INTEGER) AS hour,
+        f"""SELECT panel_id, "timestamp", irradiance_w_m2, temperature_c, {_HOUR_OF_DAY} AS hour,
   CAST(t.tilt AS DOUBLE) AS tilt_deg, 180.0::DOUBLE AS azimuth_deg
 FROM wide CROSS JOIN generate_series(0, 60, 5) AS t(tilt)""",
     ),
     "best_tilt": _with(
         _SCORED,
-        "SELECT event_id, panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power FROM best",
+        """SELECT event_id, panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power
+FROM best""",
     ),
     "best_candidates": _with(
         _SCORED, "SELECT event_id, panel_id, hour, tilt_deg, round(prediction + 3.17e-8, 6) AS prediction FROM best"
@@ -402,8 +408,8 @@ FROM best WHERE send_to_kafka""",
     ),
     "prediction_responses": _with(
         _SCORED,
-        f"""SELECT panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power, {ISO} AS "timestamp",
-  send_to_kafka AS kafka_sent FROM best""",
+        f"""SELECT panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power,
+  {ISO} AS "timestamp", send_to_kafka AS kafka_sent FROM best""",
     ),
     "retrain_status": _with(_TRAINING, "SELECT 'retrained' AS status, count(*) AS num_records FROM records"),
     "stream_enriched_features": _with(ENRICHED, "SELECT * FROM enriched"),

@@ -47,7 +47,8 @@ STICKY = [
 
 
 def test_reason_and_time_hold_until_recovery(spark):
-    found = rows(health.timeline(stats_frame(spark, STICKY)), "window_start", "is_broken", "reason", "broken_since", "change")
+    columns = ["window_start", "is_broken", "reason", "broken_since", "change"]
+    found = rows(health.timeline(stats_frame(spark, STICKY)), *columns)
     assert found == [
         (at(0), True, "Low efficiency: 4.00%", at(60), "broken"),
         (at(60), True, "Low efficiency: 4.00%", at(60), None),

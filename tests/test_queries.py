@@ -12,7 +12,13 @@ QUERIES = entry_file.queries()
 SQL = entry_file.oracle_sql()
 
 # The model's predictions have no SQL twin.
-ROWS_ONLY = {"optimal_tilt": 1000, "candidate_scores": 13_000, "model_commands": None, "model_responses": None, "stream_control_commands": 1000}
+ROWS_ONLY = {
+    "optimal_tilt": 1000,
+    "candidate_scores": 13_000,
+    "model_commands": None,
+    "model_responses": None,
+    "stream_control_commands": 1000,
+}
 
 
 @pytest.fixture(scope="module")

@@ -40,7 +40,8 @@ def test_fixed_text_ties_away_from_zero(spark):
 
 
 def test_guarded_ratios(spark):
-    df = spark.createDataFrame([(90.0, 100.0), (1.0, 0.0), (1.0, -1.0), (1.0, None), (None, 2.0)], "ac DOUBLE, dc DOUBLE")
+    data = [(90.0, 100.0), (1.0, 0.0), (1.0, -1.0), (1.0, None), (None, 2.0)]
+    df = spark.createDataFrame(data, "ac DOUBLE, dc DOUBLE")
     found = df.select(
         scalars.efficiency(F.col("ac"), F.col("dc")), scalars.temp_per_power(F.col("ac"), F.col("dc"))
     ).collect()
@@ -48,7 +49,8 @@ def test_guarded_ratios(spark):
 
 
 def test_angles_and_power(spark):
-    df = spark.createDataFrame([(100.0, -30.0, 0.0, 1000.0), (-5.0, 725.0, 85.0, 0.0), (None, None, None, None)], "a DOUBLE, b DOUBLE, tilt DOUBLE, irr DOUBLE")
+    data = [(100.0, -30.0, 0.0, 1000.0), (-5.0, 725.0, 85.0, 0.0), (None, None, None, None)]
+    df = spark.createDataFrame(data, "a DOUBLE, b DOUBLE, tilt DOUBLE, irr DOUBLE")
     found = df.select(
         scalars.clamp(F.col("a"), 0, 90),
         scalars.wrap_degrees(F.col("b")),

@@ -22,7 +22,8 @@ def test_kafka_options():
 
 
 def _messages(spark, topics):
-    return spark.createDataFrame([(t, f"k{i}", f"v{i}") for i, t in enumerate(topics)], "topic STRING, key STRING, value STRING")
+    data = [(t, f"k{i}", f"v{i}") for i, t in enumerate(topics)]
+    return spark.createDataFrame(data, "topic STRING, key STRING, value STRING")
 
 
 def test_folder_routes_by_topic(spark, tmp_path):

@@ -20,8 +20,8 @@ ONCE = {"availableNow": True}
 def _readings(spark, start, n=60, panels=3, step=7):
     rng = random.Random(start)
     data = [
-        (f"p{i % panels}", start + step * (i // panels), rng.uniform(0, 900), rng.uniform(0, 90), 100.0 * (i % 5 > 0), 20.0 + i % 80)
-        for i in range(n)
+        (f"p{i % panels}", start + step * (i // panels), rng.uniform(0, 900), rng.uniform(0, 90), dc, 20.0 + i % 80)
+        for i, dc in ((i, 100.0 * (i % 5 > 0)) for i in range(n))
     ]
     return readings_frame(spark, data)
 
@@ -175,7 +175,8 @@ def test_control_commands_from_live_readings(spark, setup):
     model = training.fit(readings, maxIter=2)
     stream = _reading_stream(spark, f"{base}/readings", readings)
     jobs.start_tilt_control(stream, lambda: model, out, checkpoints, **ONCE).awaitTermination()
-    found = wire.decode(out.history(spark, schemas.TOPICS["control"]), "panel_id STRING, timestamp STRING, target_tilt DOUBLE")
+    schema = "panel_id STRING, timestamp STRING, target_tilt DOUBLE"
+    found = wire.decode(out.history(spark, schemas.TOPICS["control"]), schema)
     wanted = tilt.commands(training.optimal_tilt(readings, model))
     assert rows(found) == rows(wanted, "panel_id", "timestamp", "target_tilt")
 

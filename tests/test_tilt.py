@@ -49,7 +49,10 @@ def test_candidates(spark):
 
 def test_ties_go_to_the_lowest_tilt(spark):
     df = spark.createDataFrame([("flat", 0.0), ("between", 32.5), ("top", 60.0)], "panel_id STRING, ideal DOUBLE")
-    score = lambda t: F.when(F.col("panel_id") == "flat", 1.0).otherwise(-F.abs(F.lit(t) - F.col("ideal")))
+
+    def score(angle):
+        return F.when(F.col("panel_id") == "flat", 1.0).otherwise(-F.abs(F.lit(angle) - F.col("ideal")))
+
     assert rows(tilt.best_tilt(df, score), "panel_id", "optimal_tilt", "predicted_power") == [
         ("between", 30.0, -2.5),
         ("flat", 0.0, 1.0),
@@ -114,7 +117,8 @@ def test_best_tilt_is_near_the_truth(spark, model):
 
 
 def test_optimal_tilt_equals_brute_force(spark, model):
-    found = {r.panel_id: (r.optimal_tilt, r.predicted_power) for r in training.optimal_tilt(_live(spark), model).collect()}
+    chosen = training.optimal_tilt(_live(spark), model).collect()
+    found = {r.panel_id: (r.optimal_tilt, r.predicted_power) for r in chosen}
     best = {}
     for r in training.score(tilt.candidates(_live(spark)), model).collect():
         mark = (r.prediction, -r.tilt_deg)
@@ -154,7 +158,15 @@ def test_training_records(spark):
     number = {"irradiance_w_m2": 800, "power_dc_w": 100}
     cases = [
         {"panel_id": "a", "timestamp": "2024-01-01T12:00:00+00:00", **number, "power_ac_w": 95, "temperature_c": 20},
-        {"panel_id": "b", "timestamp": "2024-01-01T12:00:00Z", "irradiance": "700", "power": 50, "temp": 1, "tilt": 2, "azimuth": 3},
+        {
+            "panel_id": "b",
+            "timestamp": "2024-01-01T12:00:00Z",
+            "irradiance": "700",
+            "power": 50,
+            "temp": 1,
+            "tilt": 2,
+            "azimuth": 3,
+        },
         {},
         {"panel_id": None, "timestamp": "whenever", "irradiance_w_m2": 1, "irradiance": "abc"},
         {"panel_id": 7, "timestamp": 1704110400},
