@@ -145,6 +145,11 @@ def optimal_tilt(readings: DataFrame, model: PipelineModel) -> DataFrame:
     return chosen.withColumn("optimal_tilt", F.when(F.col("_scorable"), F.col("optimal_tilt"))).drop("_scorable")
 
 
+def answer(requests: DataFrame, model: PipelineModel, now: Column | None = None) -> DataFrame:
+    """Best tilt for every valid prediction request; see `tilt.prediction_response` and `tilt.commands`."""
+    return optimal_tilt(tilt.valid_requests(requests, now), model)
+
+
 def retrain(records: DataFrame, max_rows: int | None = MAX_RECORDS, **params) -> tuple[PipelineModel | None, DataFrame]:
     """Fit on the earliest `max_rows` records (all, if None) and report `status` and `num_records`.
 

@@ -456,16 +456,16 @@ def optimal_tilt(spark, sf_dir):
 @_query
 def model_commands(spark, sf_dir):
     """Control commands for all valid requests that ask for one, chosen by the model."""
-    requests = tilt.valid_requests(_requests(spark, sf_dir), feed.no_time())
-    chosen = training.optimal_tilt(requests, _model(spark, sf_dir))
+    chosen = training.answer(_requests(spark, sf_dir), _model(spark, sf_dir), feed.no_time())
     return tilt.commands(chosen, F.col("event_id").cast("string"))
 
 
 @_query
 def model_responses(spark, sf_dir):
     """Answers to all valid requests, chosen by the model."""
-    requests = tilt.valid_requests(_requests(spark, sf_dir), feed.no_time())
-    return tilt.prediction_response(training.optimal_tilt(requests, _model(spark, sf_dir)))
+    return tilt.prediction_response(
+        training.answer(_requests(spark, sf_dir), _model(spark, sf_dir), feed.no_time())
+    )
 
 
 @_query

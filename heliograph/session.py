@@ -22,9 +22,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# State of streaming queries: kept outside the heap, with one store per join side instead of two.
+# State of streaming queries: kept outside the heap, one store per join side instead of two, and only what changed is
+# uploaded after a micro-batch.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
@@ -138,11 +140,14 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
     wanted = dict(STATE_SETTINGS)
     if spark.conf.get("spark.sql.shuffle.partitions") == "200":
         wanted["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
-    before = {key: spark.conf.get(key) for key in wanted}
+    before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

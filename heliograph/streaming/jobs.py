@@ -59,6 +59,15 @@ def start_enriched(
     return send(messages, sink, schemas.TOPICS["enriched"], f"{checkpoints}/enriched", **trigger)
 
 
+def start_rejects(
+    spark: SparkSession, source: Broker, kind: str, sink: Sink, topic: str, checkpoints: str, **trigger
+) -> StreamingQuery:
+    """Messages of one measurement kind that lack a readable panel or time, unchanged, to a topic of their own."""
+    messages = source.stream(spark, schemas.TOPICS[kind]).select("key", "value")
+    rejects = wire.decode_with_rejects(messages, schemas.measurement_schema(kind), schemas.KEYS)[1]
+    return send(rejects, sink, topic, f"{checkpoints}/rejects_{kind}", **trigger)
+
+
 def rejoined_stream(spark: SparkSession, source: Broker, delay: str = schemas.WATERMARK) -> DataFrame:
     """Enriched readings as an enriched-features job has written them, to save joining the five streams again."""
     columns = "panel_id STRING, timestamp TIMESTAMP, efficiency DOUBLE, temperature_c DOUBLE, irradiance_w_m2 DOUBLE"

@@ -28,15 +28,18 @@ class PanelHealth(StatefulProcessor):
     """Emits a panel's status after each of its windows and remembers the last one.
 
     The rules have been applied in the JVM already; here is only what depends on the panel's past. A micro-batch may
-    deliver windows in any order, so they are put in time order first. A panel has one row per closed window, which
-    keeps its share of a micro-batch small.
+    deliver windows in any order, so they are put in time order first. What is held for that is one row per closed
+    window of the panel, as copies of a window are dropped while they are read.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        windows = pd.concat(list(rows)).sort_values("window_start", ignore_index=True)
+        windows = next(rows)
+        for more in rows:
+            windows = pd.concat([windows, more]).drop_duplicates()
+        windows = windows.drop_duplicates().sort_values("window_start", ignore_index=True)
         was_broken, since, reason = (self._last.get() if self._last.exists() else None) or (False, None, None)
 
         broken = windows["is_broken"].astype(bool)

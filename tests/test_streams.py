@@ -102,6 +102,16 @@ def test_window_stats_from_the_enriched_topic(spark, setup):
     assert _rounded(_windows(spark, out)) == _rounded(_batch(spark, readings, 590))
 
 
+def test_unreadable_messages_get_a_topic(spark, setup):
+    source, out, checkpoints, _ = setup
+    texts = ["junk", '{"panel_id":"a","timestamp":"soon","temperature_c":1}']
+    texts.append('{"panel_id":"a","timestamp":"2024-01-01T12:00:00Z","temperature_c":"warm"}')
+    messages = spark.createDataFrame([("k", t) for t in texts], schemas.WIRE)
+    source.write(messages, schemas.TOPICS["temperature"])
+    jobs.start_rejects(spark, source, "temperature", out, "rejects", checkpoints, **ONCE).awaitTermination()
+    assert rows(out.history(spark, "rejects"), "value") == sorted((t,) for t in texts[:2])
+
+
 def _history(seed, panels=4, minutes=30):
     rng = random.Random(seed)
     return [
@@ -123,7 +133,8 @@ def test_keyed_state_equals_the_timeline(spark, setup):
     source, _, checkpoints, base = setup
     windows = _history(4)
     for low, high in ((0, 9), (9, 10), (10, 30)):
-        _publish(spark, source, [w for w in windows if low <= w[1] < high])
+        part = [w for w in windows if low <= w[1] < high]
+        _publish(spark, source, part + part[:4])
         jobs.start_panel_changes(spark, source, f"{base}/changes", checkpoints, **ONCE).awaitTermination()
     found = spark.read.parquet(f"{base}/changes")
     assert rows(found) == rows(health.timeline(stats_frame(spark, windows)), *found.columns)
