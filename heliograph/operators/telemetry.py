@@ -79,15 +79,16 @@ def collapse_copies(frame: DataFrame) -> DataFrame:
 def enrich_counted(frames: Mapping[str, DataFrame]) -> DataFrame:
     """`enrich` for feeds with resent messages (batch): one row per distinct joined reading.
 
-    `copies` says how many rows the plain join would have made of it, which is the product of the copies on each side.
-    Repeated messages are counted before the join, so n copies on each of the five sides stay one row, not n**5.
+    `copies` says how many rows the plain join would have made of it, which is the product of the copies on each side
+    (a double, as n**5 soon leaves the range of BIGINT). Repeated messages are counted before the join, so n copies on
+    each of the five sides stay one row.
     """
     counted = {
         kind: collapse_copies(frame).withColumnRenamed(COPIES, f"{kind}_copies") for kind, frame in frames.items()
     }
     joined = join_measurements(counted)
     per_kind = [f"{kind}_copies" for kind in schemas.KINDS]
-    product = reduce(lambda a, b: a * b, [F.col(name) for name in per_kind])
+    product = reduce(lambda a, b: a * b, [F.col(name).cast("double") for name in per_kind])
     return add_features(joined.withColumn(COPIES, product).drop(*per_kind))
 
 
@@ -102,7 +103,7 @@ def expand_copies(counted: DataFrame, block: int = 10_000) -> DataFrame:
     blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(COPIES) - 1) / block))
     many = counted.where(F.col(COPIES) > block).withColumn("_block", F.explode(blocks))
     spread = few.unionByName(many.repartition(*schemas.KEYS, "_block"))
-    in_block = F.least(F.lit(block).cast("long"), F.col(COPIES) - F.col("_block") * block)
+    in_block = F.least(F.lit(block).cast("long"), F.col(COPIES).cast("long") - F.col("_block") * block)
     return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_block))).drop(
         "_block", "_copy", COPIES
     )
@@ -125,12 +126,14 @@ def _message(kind: str, message_id: Column) -> Column:
     )
 
 
-def fan_out(readings: DataFrame, message_id: Column | None = None) -> DataFrame:
-    """Five keyed messages per wide reading: `topic`, `key`, `value`.
+def fan_out(
+    readings: DataFrame, message_id: Column | None = None, kinds: list[str] = schemas.KINDS
+) -> DataFrame:
+    """Five keyed messages per wide reading (or those of some `kinds`): `topic`, `key`, `value`.
 
     Each message has an id of its own, a random UUID unless `message_id` is given. A Kafka sink routes by `topic`.
     """
-    messages = F.array(*[_message(kind, F.uuid() if message_id is None else message_id) for kind in schemas.KINDS])
+    messages = F.array(*[_message(kind, F.uuid() if message_id is None else message_id) for kind in kinds])
     return readings.select(F.explode(messages).alias("message")).select("message.*")
 
 

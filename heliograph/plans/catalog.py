@@ -127,7 +127,10 @@ def window_stats_messages(spark, sf_dir):
 @_query
 def window_stats_from_messages(spark, sf_dir):
     """JSON messages of all five topics, parsed, joined and averaged per minute."""
-    frames = telemetry.measurements_from_messages(feed.messages(feed.events(spark, sf_dir)))
+    rows = feed.events(spark, sf_dir)
+    frames = {
+        kind: wire.decode(feed.messages(rows, [kind]), schemas.measurement_schema(kind)) for kind in schemas.KINDS
+    }
     return _averages(stats.window_stats(telemetry.enrich(frames), MINUTE))
 
 
@@ -524,7 +527,8 @@ def _closed_windows(spark, sf_dir, name) -> tuple[str, brokers.Folder]:
     """Window statistics messages made by a stream, in a folder."""
     base = session.run_dir(spark, name)
     folder = brokers.Folder(f"{base}/topics")
-    text = stats.to_messages(_averages(stats.window_stats(_enriched_stream(spark, sf_dir))))
+    enriched = _enriched_stream(spark, sf_dir, once_each=True)
+    text = stats.to_messages(_averages(stats.window_stats(enriched)))
     topic = schemas.TOPICS["window_stats"]
     jobs.send(text, folder, topic, f"{base}/checkpoints/windows", availableNow=True).awaitTermination()
     return base, folder

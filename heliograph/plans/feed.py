@@ -78,9 +78,9 @@ def resent(rows: DataFrame) -> dict[str, DataFrame]:
     return {kind: once[kind].unionAll(twice[kind]) for kind in schemas.KINDS}
 
 
-def messages(rows: DataFrame) -> DataFrame:
-    """Five JSON messages per reading, the event id standing in for the random message id."""
-    return telemetry.fan_out(_wide(rows), F.col("event_id").cast("string"))
+def messages(rows: DataFrame, kinds: list[str] = schemas.KINDS) -> DataFrame:
+    """JSON messages of every reading, the event id standing in for the random message id."""
+    return telemetry.fan_out(_wide(rows), F.col("event_id").cast("string"), kinds)
 
 
 def raw_messages(rows: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # - A join side with one oversized partition is split, even where that costs another shuffle.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(128 << 20),
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 << 20),
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 

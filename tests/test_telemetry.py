@@ -83,7 +83,7 @@ def test_resent_messages_multiply_and_are_counted(spark):
     counted = telemetry.enrich_counted(frames)
     assert plain.count() == 18
     assert counted.count() == 6
-    assert rows(counted.groupBy("copies").count()) == [(2, 3), (4, 3)]
+    assert rows(counted.groupBy("copies").count()) == [(2.0, 3), (4.0, 3)]
     assert rows(telemetry.expand_copies(counted, block=3)) == rows(plain)
     weighted = stats.window_stats(counted, copies="copies")
     assert rows(weighted) == rows(stats.window_stats(plain))
