@@ -76,7 +76,8 @@ def timeline(stats: DataFrame, clock: Column | None = None) -> DataFrame:
 
     `reason` and `broken_since` are those of the window that broke the panel and hold until it recovers. `change` is
     'broken' or 'recovered' on the window where the status turns, and NULL elsewhere. `from_start` tells that the
-    status has not turned since the panel's first window here.
+    status has not turned since the panel's first window here. Resent window statistics go through
+    `stats.distinct_windows` first.
 
     One shuffle by panel and one sort serve all window functions. A panel has one row per window, so the size of its
     group is set by the calendar (525,600 one-minute windows a year), not by how many readings it sent. The frames run

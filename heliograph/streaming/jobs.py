@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from heliograph import schemas, session
@@ -137,13 +137,20 @@ def start_fault_alerts(
     bucket: str | None = None,
     leave_one_out: bool = False,
     threshold: float = faults.THRESHOLD_W,
+    on_count: Callable[[int, int], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Fault alerts for a stream of readings; the peers of a reading are those of its micro-batch."""
+    """Fault alerts for a stream of readings; the peers of a reading are those of its micro-batch.
+
+    `on_count` is told the micro-batch id and its number of faults, counted while they are written.
+    """
 
     def report(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
         found = faults.detect_faults(batch, bucket, leave_one_out, threshold)
-        sink.write(faults.alerts(found, threshold), schemas.TOPICS["faults"], batch_id)
+        sink.write(faults.counted(faults.alerts(found, threshold), seen), schemas.TOPICS["faults"], batch_id)
+        if on_count:
+            on_count(batch_id, seen.get["fault_count"])
 
     return _for_each(readings, _held(report), f"{checkpoints}/faults", trigger)
 

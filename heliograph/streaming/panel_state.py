@@ -15,7 +15,8 @@ from heliograph.operators import health
 # The processor travels to the executors whole, so they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STATE = "is_broken BOOLEAN, broken_since TIMESTAMP, reason STRING"
+# The time is kept in microseconds, which no worker's time zone changes.
+STATE = "is_broken BOOLEAN, broken_since BIGINT, reason STRING"
 
 CHANGES = (
     "panel_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_efficiency DOUBLE, avg_temperature DOUBLE, "
@@ -47,7 +48,7 @@ class PanelHealth(StatefulProcessor):
         breaks = broken & ~before
         run = breaks.cumsum()  # 0 while the run brought along from the state goes on
         starts = windows[breaks]
-        starts_since = [pd.Timestamp(since) if since is not None else pd.NaT, *starts["as_of"]]
+        starts_since = [pd.NaT if since is None else pd.Timestamp(since, unit="us"), *starts["as_of"]]
         starts_reason = [reason, *starts["reason"]]
 
         windows["broken_since"] = pd.to_datetime(pd.Series([starts_since[r] for r in run])).where(broken)
@@ -58,7 +59,7 @@ class PanelHealth(StatefulProcessor):
 
         last = windows.iloc[-1]
         if last["is_broken"]:
-            self._last.update((True, last["broken_since"].to_pydatetime(), last["reason"]))
+            self._last.update((True, last["broken_since"].value // 1000, last["reason"]))
         else:
             self._last.update((False, None, None))
         yield windows.rename(columns={"avg_temp": "avg_temperature"})[_COLUMNS]

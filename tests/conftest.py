@@ -1,8 +1,13 @@
 import os
 import sys
+import time
 
 import pytest
 
+# Python reads and shows times in the zone of the machine; the expected values are written in UTC.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from heliograph import session  # noqa: E402

@@ -162,13 +162,16 @@ def _reading_stream(spark, path, readings):
 def test_fault_alerts_per_batch(spark, setup):
     _, out, checkpoints, base = setup
     batches = [_readings(spark, 0, n=30), _readings(spark, 7200, n=30)]
+    counts = {}
+    options = {"bucket": "1 hour", "threshold": 15.0, "on_count": counts.__setitem__, **ONCE}
     for readings in batches:
         stream = _reading_stream(spark, f"{base}/readings", readings)
-        jobs.start_fault_alerts(stream, out, checkpoints, bucket="1 hour", threshold=15.0, **ONCE).awaitTermination()
+        jobs.start_fault_alerts(stream, out, checkpoints, **options).awaitTermination()
     found = out.history(spark, schemas.TOPICS["faults"])
     wanted = [faults.alerts(faults.detect_faults(b, "1 hour", threshold=15.0), 15.0) for b in batches]
     keyed = lambda df: sorted((r.key, json.loads(r.value)["timestamp"]) for r in df.collect())
     assert keyed(found) == keyed(wanted[0].unionAll(wanted[1])) and found.count() > 0
+    assert counts == {0: wanted[0].count(), 1: wanted[1].count()}
 
 
 def test_a_fault_batch_leaves_no_scratch_tables(spark, setup):
