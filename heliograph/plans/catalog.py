@@ -456,19 +456,41 @@ def optimal_tilt(spark, sf_dir):
     return chosen.select(*schemas.KEYS, "irradiance_w_m2", "temperature_c", "optimal_tilt", "predicted_power")
 
 
+def _on_grid(tilt_column: str) -> Column:
+    """Whether a tilt the model chose is one of the candidates. SQL cannot repeat the choice itself."""
+    return F.col(tilt_column).isin(*tilt.TILTS).alias("tilt_on_grid")
+
+
 @_query
 def model_commands(spark, sf_dir):
     """Control commands for all valid requests that ask for one, chosen by the model."""
     chosen = training.answer(_requests(spark, sf_dir), _model(spark, sf_dir), feed.no_time())
-    return tilt.commands(chosen, F.col("event_id").cast("string"))
+    rows = tilt.commands(chosen, F.col("event_id").cast("string"))
+    return rows.select(
+        "message_id", "panel_id", "command_type", _on_grid("target_tilt"), "target_azimuth", "reason", "timestamp"
+    )
 
 
 @_query
 def model_responses(spark, sf_dir):
     """Answers to all valid requests, chosen by the model."""
-    return tilt.prediction_response(
-        training.answer(_requests(spark, sf_dir), _model(spark, sf_dir), feed.no_time())
-    )
+    chosen = training.answer(_requests(spark, sf_dir), _model(spark, sf_dir), feed.no_time())
+    rows = tilt.prediction_response(chosen)
+    has_power = F.col("predicted_power").isNotNull().alias("has_power")
+    return rows.select("panel_id", _on_grid("optimal_tilt"), has_power, "timestamp", "kafka_sent")
+
+
+@_query
+def optimal_tilt_agreement(spark, sf_dir):
+    """In-row choice against the best of written-out, scored candidates: readings, and readings that differ."""
+    requests = _requests(spark, sf_dir).where("irradiance_w_m2 IS NOT NULL AND temperature_c IS NOT NULL")
+    requests = tilt.with_defaults(requests, feed.no_time())
+    model = _model(spark, sf_dir)
+    chosen = training.optimal_tilt(requests, model)
+    listed = tilt.best_candidates(training.score(tilt.candidates(requests), model), ["event_id"])
+    differ = (F.col("optimal_tilt") != F.col("tilt_deg")) | (F.col("predicted_power") != F.col("prediction"))
+    both = chosen.join(listed.select("event_id", "tilt_deg", "prediction"), "event_id")
+    return both.agg(F.count(F.lit(1)).alias("n_readings"), F.count_if(differ).alias("n_different"))
 
 
 @_query
@@ -575,7 +597,8 @@ def stream_control_commands(spark, sf_dir):
     jobs.start_tilt_control(rows, lambda: model, folder, f"{base}/checkpoints", availableNow=True).awaitTermination()
     commands = folder.history(spark, schemas.TOPICS["control"])
     schema = "panel_id STRING, command_type STRING, target_tilt DOUBLE, target_azimuth DOUBLE, timestamp STRING"
-    return commands.select("key", F.from_json("value", schema).alias("c")).select("key", "c.*")
+    rows = commands.select("key", F.from_json("value", schema).alias("c")).select("key", "c.*")
+    return rows.select("key", "panel_id", "command_type", _on_grid("target_tilt"), "target_azimuth", "timestamp")
 
 
 @_query

@@ -410,6 +410,22 @@ FROM best WHERE send_to_kafka""",
         _SCORED,
         f"""SELECT panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power,
   {ISO} AS "timestamp", send_to_kafka AS kafka_sent FROM best""",
+    ),
+    "model_commands": _with(
+        _REQUESTS,
+        f"""SELECT CAST(event_id AS VARCHAR) AS message_id, panel_id, 'SET_ANGLE' AS command_type, TRUE AS tilt_on_grid,
+  180.0::DOUBLE AS target_azimuth, 'Maximized power output' AS reason, {ISO} AS "timestamp"
+FROM valid WHERE send_to_kafka""",
+    ),
+    "model_responses": _with(
+        _REQUESTS,
+        f"""SELECT panel_id, TRUE AS tilt_on_grid, TRUE AS has_power, {ISO} AS "timestamp", send_to_kafka AS kafka_sent
+FROM valid""",
+    ),
+    "optimal_tilt_agreement": _with(
+        _REQUESTS,
+        """SELECT count(*) AS n_readings, 0::BIGINT AS n_different FROM requests
+WHERE irradiance_w_m2 IS NOT NULL AND temperature_c IS NOT NULL""",
     ),
     "retrain_status": _with(_TRAINING, "SELECT 'retrained' AS status, count(*) AS num_records FROM records"),
     "stream_enriched_features": _with(ENRICHED, "SELECT * FROM enriched"),
@@ -421,6 +437,11 @@ FROM best WHERE send_to_kafka""",
         _peers(_HOUR),
         f"""SELECT panel_id AS key, panel_id, {ISO} AS "timestamp", power_dc_w AS current_power,
   round(avg_power + 3.17e-8, 6) AS average_others, round(deviation + 3.17e-8, 6) AS deviation FROM found""",
+    ),
+    "stream_control_commands": _with(
+        WIDE,
+        f"""SELECT panel_id AS key, panel_id, 'SET_ANGLE' AS command_type, TRUE AS tilt_on_grid,
+  180.0::DOUBLE AS target_azimuth, {ISO} AS "timestamp" FROM wide""",
     ),
     "stream_fanout": _with(_stats(WHOLE, "1 day"), f"SELECT {_STATS_COLUMNS} FROM stats"),
 }
