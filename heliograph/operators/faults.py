@@ -49,7 +49,8 @@ def compare_with_peers(readings: DataFrame, bucket: str | None = None, leave_one
     """Add `avg_power` of the peers and the absolute `deviation` of `power_dc_w` from it.
 
     Peers report at the very same time, or in the same time `bucket` such as "1 hour", to which readings without a time
-    do not belong. The mean includes the panel itself unless `leave_one_out`. The means are computed when this is called (see `skew.attach_group_values`).
+    do not belong. The mean includes the panel itself unless `leave_one_out`. The means are computed when this is called
+    (see `skew.attach_group_values`).
     """
     rows = _with_peer_time(readings, bucket)
     return _compared(rows, _peer_groups(rows), leave_one_out)

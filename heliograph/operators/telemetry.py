@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from heliograph import schemas, session
 from heliograph.functions import scalars, wire
+from heliograph.operators import skew
 
 COPIES = "copies"
 
@@ -23,8 +24,8 @@ def join_measurements(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Inner join of the five measurement frames on panel and exact event time; batch or streaming.
 
     All four joins use one key, so each frame is shuffled once and no join result is shuffled again. A busy panel
-    spreads over its event times. NULL keys never match, and Spark drops them before the shuffle. For a table with one
-    reading sent very many times see `enrich_counted`.
+    spreads over its event times. NULL keys never match, and Spark drops them before the shuffle. For a table that may
+    have one reading sent very many times see `enrich_table`.
     """
     ordered = [frames[kind] for kind in schemas.KINDS]
     return reduce(lambda left, right: left.join(right, schemas.KEYS), ordered)
@@ -109,6 +110,14 @@ def expand_copies(counted: DataFrame, block: int = 10_000) -> DataFrame:
     )
 
 
+def enrich_table(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of `enrich` for tables of any content: the plain join, or, where some reading may have been sent so
+    often that it would fill a task, the counted one expanded again. Large tables are looked at when this is called."""
+    if skew.has_hot_key([frames[kind] for kind in schemas.KINDS], schemas.KEYS):
+        return expand_copies(enrich_counted(frames))
+    return enrich(frames)
+
+
 def split_measurements(readings: DataFrame) -> dict[str, DataFrame]:
     """The five measurement frames of a wide reading frame."""
     return {kind: readings.select(*schemas.KEYS, *schemas.measure_names(kind)) for kind in schemas.KINDS}

@@ -56,7 +56,7 @@ def _averages(df: DataFrame) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.enrich(feed.measurements(feed.events(spark, sf_dir)))
+    return telemetry.enrich_table(feed.measurements(feed.events(spark, sf_dir)))
 
 
 def _stats(spark: SparkSession, sf_dir: str, width: str) -> DataFrame:
@@ -131,7 +131,7 @@ def window_stats_from_messages(spark, sf_dir):
     frames = {
         kind: wire.decode(feed.messages(rows, [kind]), schemas.measurement_schema(kind)) for kind in schemas.KINDS
     }
-    return _averages(stats.window_stats(telemetry.enrich(frames), MINUTE))
+    return _averages(stats.window_stats(telemetry.enrich_table(frames), MINUTE))
 
 
 @_query
@@ -612,4 +612,4 @@ def stream_fanout(spark, sf_dir):
         kind: wire.decode(folder.history(spark, schemas.TOPICS[kind]), schemas.measurement_schema(kind))
         for kind in schemas.KINDS
     }
-    return _averages(stats.window_stats(telemetry.enrich(frames), DAY))
+    return _averages(stats.window_stats(telemetry.enrich_table(frames), DAY))

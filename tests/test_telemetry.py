@@ -5,7 +5,7 @@ from helpers import at, readings_frame, rows
 from pyspark.sql import functions as F
 
 from heliograph import schemas
-from heliograph.operators import stats, telemetry
+from heliograph.operators import skew, stats, telemetry
 
 
 def _frames(spark):
@@ -89,6 +89,24 @@ def test_resent_messages_multiply_and_are_counted(spark):
     assert rows(weighted) == rows(stats.window_stats(plain))
 
 
+def test_hot_readings_are_found_and_give_the_same_rows(spark, monkeypatch, tmp_path):
+    frames = _frames(spark)
+    hot = frames["temperature"].limit(1).crossJoin(spark.range(300)).drop("id")
+    frames["temperature"] = frames["temperature"].unionAll(hot)
+    keyless = frames["power_dc"].withColumn("panel_id", F.lit(None).cast("string"))
+    frames["power_dc"] = frames["power_dc"].unionAll(keyless.crossJoin(spark.range(300)).drop("id"))
+    monkeypatch.setattr(skew, "SMALL_TABLE_BYTES", 0)
+    assert not skew.has_hot_key(list(frames.values()), schemas.KEYS)
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    assert skew.has_hot_key([frames["temperature"]], schemas.KEYS)
+    assert not skew.has_hot_key([frames["power_dc"]], schemas.KEYS)
+    monkeypatch.setattr(telemetry, "enrich", None)
+    found = telemetry.enrich_table(frames)
+    monkeypatch.undo()
+    assert rows(found) == rows(telemetry.enrich(frames))
+    assert rows(telemetry.enrich_table(frames)) == rows(found)
+
+
 def test_fan_out_and_back(spark):
     wide = readings_frame(spark, [("p1", 0.25, 800.0, 90.0, 100.0, 20.0), ("p2", 1, None, 10.0, 200.0, 40.0)])
     messages = telemetry.fan_out(wide).persist()
