@@ -8,8 +8,10 @@ import pytest
 
 import __spark_entry__ as entry_file
 
-QUERIES = entry_file.queries()
-SQL = entry_file.oracle_sql()
+from heliograph.plans import catalog, oracle
+
+QUERIES = catalog.QUERIES
+SQL = oracle.SQL
 
 # The model's predictions have no SQL twin.
 ROWS_ONLY = {"optimal_tilt": 1000, "candidate_scores": 13_000}
@@ -51,5 +53,9 @@ def test_model_queries_answer_every_row(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() == ROWS_ONLY[name]
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry_file.queries()) and set(SQL) <= set(entry_file.oracle_sql())
+
+
 def test_entry(spark, sf_dir):
     assert entry_file.entry(spark).count() > 0
