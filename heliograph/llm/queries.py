@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from heliograph.llm import packing, token_counts
+from heliograph.llm import packing, quality_rules, token_counts
 
 QUERIES = {
     f.__name__: f
     for f in (
         packing.op2_best_fit_packing,
+        quality_rules.op4_quality_rules,
         token_counts.op9_token_counts,
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_quality_rules": quality_rules.SQL,
+}
