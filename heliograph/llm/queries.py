@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heliograph.llm import packing, quality_rules, token_counts
+from heliograph.llm import packing, quality_rules, token_counts, warc
 
 QUERIES = {
     f.__name__: f
@@ -10,9 +10,11 @@ QUERIES = {
         packing.op2_best_fit_packing,
         quality_rules.op4_quality_rules,
         token_counts.op9_token_counts,
+        warc.op10_warc,
     )
 }
 
 SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.SQL,
+    "op10_warc": warc.SQL,
 }
