@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from heliograph.llm import packing, quality_rules, token_counts, warc
+from heliograph.llm import packing, quality_rules, simhash, token_counts, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         packing.op2_best_fit_packing,
         quality_rules.op4_quality_rules,
+        simhash.op6_simhash_near_dedup,
         token_counts.op9_token_counts,
         warc.op10_warc,
     )
