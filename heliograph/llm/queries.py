@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heliograph.llm import packing, quality_rules, simhash, token_counts, warc
+from heliograph.llm import decontamination, packing, quality_rules, simhash, token_counts, warc
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         packing.op2_best_fit_packing,
         quality_rules.op4_quality_rules,
         simhash.op6_simhash_near_dedup,
+        decontamination.op7_benchmark_decontamination,
         token_counts.op9_token_counts,
         warc.op10_warc,
     )
@@ -17,5 +18,6 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.SQL,
+    "op7_benchmark_decontamination": decontamination.SQL,
     "op10_warc": warc.SQL,
 }
