@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from heliograph.llm import decontamination, packing, quality_rules, simhash, token_counts, warc
+from heliograph.llm import decontamination, packing, quality_rules, secret_scans, simhash, token_counts, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         packing.op2_best_fit_packing,
+        secret_scans.op3_secret_scans,
         quality_rules.op4_quality_rules,
         simhash.op6_simhash_near_dedup,
         decontamination.op7_benchmark_decontamination,
