@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from heliograph.llm import decontamination, packing, quality_rules, secret_scans, simhash, token_counts, warc
+from heliograph.llm import decontamination, packing, quality_rules, secret_scans, simhash, token_counts, url_filters, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        url_filters.op1_url_filters,
         packing.op2_best_fit_packing,
         secret_scans.op3_secret_scans,
         quality_rules.op4_quality_rules,
