@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heliograph.llm import decontamination, packing, quality_rules, secret_scans, simhash, token_counts, url_filters, warc
+from heliograph.llm import decontamination, license_scans, packing, quality_rules, secret_scans, sharding, simhash, token_counts, url_filters, warc
 
 QUERIES = {
     f.__name__: f
@@ -11,8 +11,10 @@ QUERIES = {
         packing.op2_best_fit_packing,
         secret_scans.op3_secret_scans,
         quality_rules.op4_quality_rules,
+        license_scans.op5_license_scans,
         simhash.op6_simhash_near_dedup,
         decontamination.op7_benchmark_decontamination,
+        sharding.op8_sharding,
         token_counts.op9_token_counts,
         warc.op10_warc,
     )
@@ -21,5 +23,6 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.SQL,
     "op7_benchmark_decontamination": decontamination.SQL,
+    "op8_sharding": sharding.SQL,
     "op10_warc": warc.SQL,
 }
