@@ -7,18 +7,20 @@ each, so what is sent to the workers does not grow with the benchmark.
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from heliograph import session
-from heliograph.llm.common import LOWER, UPPER, strings, table
+from heliograph.llm.common import LOWER, UPPER, fresh, strings, table
 
 WINDOW, COVERAGE = 13, 20
 
@@ -31,6 +33,8 @@ _FOLD = bytes(
     for b in range(256)
 )
 
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
 
 def words(text: str) -> list[bytes]:
     """Lower-cased words of a whole text, as UTF-8."""
@@ -251,13 +255,55 @@ def contamination(
     else:
         numbered = session.materialise(chosen.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
         parts = [numbered.mapInArrow(_scan(a), f"row bigint, id {kind}, {FOUND}") for a in automata]
-        found = _merged(reduce(DataFrame.unionByName, parts))
+        found = _merged(reduce(DataFrame.unionByName, parts)).drop("row")
     n_hit = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("bigint"), lambda s, x: s + x)
     counted = found.withColumns({"n_hit": n_hit, "items": F.array_sort(F.array_distinct("items"))})
     dirty = (F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))
     return counted.withColumn("contaminated", dirty).withColumnRenamed("id", id_column)
 
 
+def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    def cut(text: str, spans: list[tuple[int, int]]) -> str:
+        found = [m.span() for m in _WORD.finditer(text)]
+        done, at = [], 0
+        for a, b in spans:
+            done.append(text[at : found[a][0]])
+            at = found[b - 1][1]
+        return "".join([*done, text[at:]])
+
+    made = [t if a is None or not len(a) else cut(t, list(zip(a, b))) for t, a, b in zip(texts, starts, ends)]
+    return pd.Series(made, dtype=object)
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    longest: int | None = None,
+    window: int = WINDOW,
+    coverage: int = COVERAGE,
+    block_words: int = BLOCK_WORDS,
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of `docs` that are not contaminated, with all their columns, whatever their names.
+
+    Of those that stay, hit spans of more than `longest` words are cut out of the text; None leaves every text as it is.
+    Rows are numbered in a written copy of `docs`. NULL and empty texts stay.
+    """
+    row = fresh(docs, "row")
+    numbered = session.materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = contamination(numbered, benchmark, window, coverage, block_words, row, text_column)
+    if longest is None:
+        return numbered.join(found.filter("contaminated").select(row), row, "left_anti").drop(row)
+    long = F.filter(F.arrays_zip("starts", "ends"), lambda s: s["ends"] - s["starts"] > longest)
+    own = [fresh(numbered, n) for n in ("starts", "ends", "contaminated")]
+    spans = found.filter("n_hit > 0").select(
+        F.col(row), long["starts"].alias(own[0]), long["ends"].alias(own[1]), F.col("contaminated").alias(own[2])
+    )
+    joined = numbered.join(spans, row, "left").filter(~F.coalesce(F.col(own[2]), F.lit(False)))
+    cut = F.pandas_udf(_without, StringType())(text_column, own[0], own[1])
+    return joined.withColumn(text_column, cut).select(*docs.columns)
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap of every document with the benchmark."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
