@@ -1,0 +1,78 @@
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from heliograph.llm import quality_rules
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def _brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    times = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(8)}
+    symbols = sum(text.count(c) for c in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def _counts(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    judged = quality_rules.verdicts(docs).orderBy("doc_id")
+    return judged.select(*[f"quality.{c}" for c in [*COUNTS, "base_failed", "kept"]]).collect()
+
+
+def test_counts_equal_brute_force(spark):
+    rnd = random.Random(5)
+    texts = [None, "", " \t\n", "a", "é😀 ü|", "a\x1cb\x85c d", "\n\n", "x\n x\nx\n\r\nx"]
+    for _ in range(150):
+        n = rnd.randrange(60)
+        texts.append("".join(rnd.choice("ab$😀") + rnd.choice([" ", "  ", "\n", "\t", "\x0b"]) for _ in range(n)))
+    texts.append("one two three four five six seven eight " * 3000)
+    found = _counts(spark, texts)
+    assert [tuple(r)[:5] for r in found] == [_brute(t) for t in texts]
+    for row, text in zip(found, texts, strict=True):
+        n, _, _, _, repeats = _brute(text)
+        assert row["base_failed"] == (n < 20 or 100 * repeats > 30 * n)
+        assert not (row["base_failed"] and row["kept"])
+
+
+def test_verdicts_on_kinds_of_text(spark):
+    rnd = random.Random(1)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randrange(3, 9))) for _ in range(200)]
+    clean = " ".join(w if i % 4 else "the" for i, w in enumerate(words))
+    texts = [clean, clean.replace(" ", "### "), clean.replace(" ", " | "), clean.replace(" ", "!! "), " ".join(words)]
+    stutter = " ".join(f"{w} {w} {w}" for w in words[:60]) + " the the the"
+    assert [r["kept"] for r in _counts(spark, [*texts, stutter])] == [True, False, False, False, False, False]
+
+
+def test_very_long_text_is_linear(spark):
+    rnd = random.Random(2)
+    long = " ".join("".join(rnd.choices("abcdefghij", k=7)) if i % 5 else "the" for i in range(300_000))
+    row = _counts(spark, [long])[0]
+    assert (row["n_words"], row["n_repeat_words"], row["kept"]) == (300_000, 0, True)
+
+
+def test_columns_and_rows_stay(spark):
+    docs = spark.createDataFrame([(1, "a", 7, None), (1, "a", 7, None), (None, None, 8, "x")], "doc_id long, text string, quality int, n_words string")
+    judged = quality_rules.verdicts(docs)
+    assert judged.columns == ["doc_id", "text", "quality", "n_words", "quality_"]
+    assert judged.count() == 3 and judged.filter("quality_.kept").count() == 0
+    assert quality_rules.verdicts(docs.limit(0)).count() == 0
+
+
+def test_labelled_clean_documents_are_kept(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality_rules.verdicts(docs.join(labels, "doc_id")).select("doc_id", F.col("quality").alias("label"), "quality_.*")
+    ruled = judged.filter("NOT base_failed")
+    assert ruled.filter("label = 1 AND NOT kept").count() == 0
+    assert ruled.filter("label = 0 AND kept").count() <= 0.1 * max(1, ruled.filter("label = 0").count())
+
+
+def test_plan_has_no_python(spark, sf_dir):
+    plan = quality_rules.op4_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
