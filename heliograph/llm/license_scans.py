@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from heliograph.llm.common import strings, table
 
 CUE = (
-    r"licen[sc]e|copyright|rights reserved|permission is hereby|warrant(?:y|ies)|public domain|redistribut"
+    r"licen[sc]e|copyright|rights reserved|permission is hereby|permission to use|warrant(?:y|ies)|public domain|redistribut"
     r"|creative commons|\bcc0|\bcc by"
 )
 _CUE = re.compile(CUE, re.I | re.A)
 
-# A longer line is a candidate only this far around its cues; merged lines are cut into blocks of about BLOCK.
-AROUND, BLOCK = 300, 8000
+# A longer line is a candidate only this far around its cues; merged lines are cut into blocks of about BLOCK. A block
+# that no template confirms is tried again with WIDE characters after it, as a notice may run over lines without cues.
+AROUND, BLOCK, WIDE = 300, 8000, 700
 
 # Templates compared word by word, best first, and the largest share of a template's words that may differ.
 CONFIRMED, DIFFERING = 3, 0.15
@@ -83,7 +84,7 @@ def words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
-def blocks(text: str) -> Iterator[tuple[int, int]]:
+def blocks(text: str) -> list[tuple[int, int]]:
     """Start and end of the candidate blocks of a text."""
     spans: list[list[int]] = []
     for cue in _CUE.finditer(text):
@@ -96,7 +97,7 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
             spans[-1][1] = end
         else:
             spans.append([max(start, spans[-1][1]) if spans else start, end])
-    return ((a, b) for a, b in spans)
+    return [(a, b) for a, b in spans]
 
 
 class Templates:
@@ -136,26 +137,38 @@ class Templates:
         return whole and near, missing, added
 
 
+def _best(primed: Templates, block: list[str]) -> tuple[bool, float, int, str]:
+    """Confirmed or not, gain, template and differing words of the best template for a block."""
+    ranked = primed.ranked(block)
+    found = [(gain, i, *primed.differences(block, i)) for gain, i in ranked[:CONFIRMED]]
+    gain, i, sure, missing, added = next((f for f in found if f[2]), found[0])
+    return sure, round(gain, 6), i, " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in added])
+
+
+def notices(text: str, primed: Templates) -> Iterator[tuple[int, int, bool, float, int, str]]:
+    """(start, end, confirmed, gain, template, differences) of the candidate blocks of a text."""
+    done = 0
+    for start, end in blocks(text):
+        if end <= done:
+            continue  # part of a notice that was confirmed
+        best = _best(primed, words(text[start:end]))
+        if not best[0]:
+            wide = _best(primed, words(text[start : end + WIDE]))
+            if wide[0]:
+                best, end = wide, min(len(text), end + WIDE)
+        yield start, end, *best
+        done = end if best[0] else done
+
+
 def _scan(templates: tuple) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         primed = Templates(templates)
         for batch in batches:
             at, rows = [], []
             for i, text in enumerate(strings(batch, "text")):
-                for n, (start, end) in enumerate(blocks(text)):
-                    block = words(text[start:end])
-                    ranked = primed.ranked(block)
-                    gain, chosen = ranked[0]
-                    sure, missing, added = primed.differences(block, chosen)
-                    for more, other in ranked[1:CONFIRMED]:
-                        if sure:
-                            break
-                        found = primed.differences(block, other)
-                        if found[0]:
-                            gain, chosen, (sure, missing, added) = more, other, found
-                    differing = " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in added])
+                for n, (start, end, sure, gain, chosen, differing) in enumerate(notices(text, primed)):
                     at.append(i)
-                    rows.append((n, start, end, primed.names[chosen], chosen, round(gain, 6), sure, differing))
+                    rows.append((n, start, end, primed.names[chosen], chosen, gain, sure, differing))
             if rows:
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.bool_(), pa.string()]
                 names = ["id", "block", "start", "end", "license", "template", "gain", "confirmed", "differences"]

@@ -31,7 +31,8 @@ BLOCKED = """
 casino-win casino-royal online-casino big-casino casino-slots free-bets free-spins best-bets sports-bets bet-win
 cheap-pills cheap-meds buy-pills diet-pills online-pills spam-farm link-farm content-farm seo-farm spam-links
 ads-track ads-click track-pixel click-track ad-server adult-x adult-video adult-chat xxx-adult hot-adult
-lottery-win prize-win payday-loans fast-loans fake-watches replica-watches
+lottery-win prize-win payday-loans fast-loans fake-watches replica-watches best-pills pills-shop pills-24
+spam-list spam-center spam-mails lottery-club prize-club big-lottery casino-club
 """.split()
 ALLOWED = """
 library museum university research weather gardening recipes history science travel cycling railway

@@ -1,0 +1,84 @@
+import random
+import re
+
+import pytest
+
+from heliograph.llm import decontamination as d
+
+
+def _words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def _brute(docs, items, window):
+    found = []
+    for text in docs:
+        words, hit, names = _words(text), set(), set()
+        for name, item in items:
+            own = _words(item)
+            n = min(window, len(own))
+            for s in {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if n else ():
+                for i in range(len(words) - n + 1):
+                    if tuple(words[i : i + n]) == s:
+                        hit |= set(range(i, i + n))
+                        names.add("" if name is None else str(name))
+        found.append((len(words), len(hit), sorted(names), bool(hit) and 20 * len(hit) >= len(words)))
+    return found
+
+
+def _case(seed, alphabet):
+    rnd = random.Random(seed)
+    some = lambda most: " ".join(rnd.choices(alphabet, k=rnd.randrange(most)))
+    items = [(rnd.choice([None, 1, 2, 10, 11, 200]), rnd.choice([some(3), some(6), some(25)])) for _ in range(12)]
+    docs = [some(120) for _ in range(40)] + [items[0][1], "", None, ", ".join(filter(None, (t for _, t in items)))]
+    return docs, items
+
+
+@pytest.mark.parametrize("block_words", [200_000, 20])
+@pytest.mark.parametrize("window", [4, 13])
+def test_equal_to_brute_force(spark, window, block_words):
+    rows, want = [], []
+    for seed, alphabet in enumerate((["a", "B", "c9"], ["a", "b", "É", "ü-x", "z", "q"], ["a"])):
+        docs, items = _case(seed, alphabet)
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+        found = d.contamination(table, benchmark, window=window, block_words=block_words).orderBy("doc_id").collect()
+        rows += [(r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found]
+        want += _brute(docs, items, window)
+    assert rows == want
+
+
+def test_single_word_items(spark):
+    benchmark = spark.createDataFrame([(1, "cat"), (2, "?!"), (3, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a Cat, a cat"), (2, "concat")], "doc_id long, text string")
+    rows = d.contamination(docs, benchmark).orderBy("doc_id").collect()
+    assert [(r["n_hit"], r["items"]) for r in rows] == [(2, ["1"]), (0, [])]
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b"), (None, None), (None, None)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    assert [r["n_hit"] for r in d.contamination(docs, benchmark).collect()] == [0, 0, 0]
+    assert d.contamination(docs.limit(0), docs.withColumnRenamed("doc_id", "item_id")).count() == 0
+    assert d.clean(docs, benchmark).count() == 3
+
+
+@pytest.mark.parametrize("block_words", [200_000, 3])
+def test_clean_drops_documents_and_cuts_spans(spark, block_words):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    benchmark = spark.createDataFrame([(1, item), (2, "pi rho")], "item_id long, text string")
+    filler = " ".join(f"w{i}" for i in range(400))
+    texts = [f"{filler} Pi, rho. then {item.upper()}! tail", item, filler, None, f"x {item} y", f"{filler} pi rho"]
+    docs = spark.createDataFrame([(1, t, i) for i, t in enumerate(texts)], "doc_id long, text string, row int")
+    left = {r["row"]: r["text"] for r in d.clean(docs, benchmark, block_words=block_words).collect()}
+    assert left == {i: texts[i] for i in (0, 2, 3, 5)}
+    cut = d.clean(docs, benchmark, longest=12, block_words=block_words)
+    assert cut.columns == docs.columns
+    assert {r["row"]: r["text"] for r in cut.collect()} == {**left, 0: f"{filler} Pi, rho. then ! tail"}
+
+
+def test_very_long_text(spark):
+    item = " ".join(f"k{i % 40}" for i in range(200))
+    docs = spark.createDataFrame([(1, (item + " z ") * 3000)], "doc_id long, text string")
+    row = d.contamination(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).first()
+    assert (row["n_words"], row["n_hit"]) == (603_000, 600_000)
