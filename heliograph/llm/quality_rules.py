@@ -75,6 +75,11 @@ def _covered(places: Column) -> Column:
     )
 
 
+def _window(values: Column, start: Column) -> list[Column]:
+    # Not `slice`, which copies the whole array at every call.
+    return [F.get(values, start + k) for k in range(WINDOW)]
+
+
 def _repeat_words(words: Column) -> Column:
     """Words inside windows of eight that the text has twice or more.
 
@@ -86,16 +91,14 @@ def _repeat_words(words: Column) -> Column:
         likely = let(pairs, lambda p: _equals_neighbour(p, "key"))
         spelled = F.transform(
             likely,
-            lambda x: F.struct(
-                F.array_join(F.slice(words, x["at"] + 1, F.lit(WINDOW)), " ").alias("key"), x["at"].alias("at")
-            ),
+            lambda x: F.struct(F.concat_ws(" ", *_window(words, x["at"])).alias("key"), x["at"].alias("at")),
         )
         repeated = let(F.sort_array(spelled), lambda p: _equals_neighbour(p, "key"))
         return _covered(F.sort_array(F.transform(repeated, lambda x: x["at"])))
 
     def of(numbers: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(numbers) - (WINDOW - 1))
-        hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(numbers, i, F.lit(WINDOW))))
+        starts = F.sequence(F.lit(0), F.size(numbers) - WINDOW)
+        hashes = F.transform(starts, lambda i: F.xxhash64(*_window(numbers, i)))
         return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), exact(h)).otherwise(0))
 
     numbers = F.transform(words, lambda w: F.xxhash64(w))
