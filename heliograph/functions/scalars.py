@@ -40,11 +40,6 @@ def day_phase(ts: Column) -> Column:
     return F.pmod(F.unix_micros(ts), F.lit(MICROS_PER_DAY)) / F.lit(float(MICROS_PER_DAY))
 
 
-def clear_sky_irradiance(ts: Column) -> Column:
-    """Noise-free daily irradiance curve: a half sine over the day with its peak of 1000 W/m2 at noon."""
-    return F.greatest(F.lit(0.0), F.sin(F.lit(math.pi) * day_phase(ts))) * 1000
-
-
 def tilt_factor(tilt: Column) -> Column:
     """Share of the light a panel at this tilt receives."""
     return F.when(tilt.isNotNull(), F.greatest(F.lit(LOWEST_TILT_FACTOR), F.cos(F.radians(tilt))))
@@ -96,9 +91,16 @@ def parse_iso(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
 
 
+_DIGITS = r"[0-9]+(_[0-9]+)*"
+_NUMBER = rf"(?i)^\s*[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?|inf(inity)?|nan)\s*$"
+
+
 def parse_number(text: Column) -> Column:
-    """Double from text; NULL for bad text, including the Java forms `1.5d` and `1.5f` that a plain cast accepts."""
-    return F.regexp_replace(text, r"(?i)([0-9.])[df](\s*)$", "$1?$2").try_cast("double")
+    """Double from decimal text, with single underscores between digits; NULL for other text.
+
+    Java's own forms (`1.5d`, `0x1p3`) are no decimal text.
+    """
+    return F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_")).try_cast("double"))
 
 
 def epoch_id(ts: Column) -> Column:

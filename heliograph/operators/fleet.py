@@ -19,10 +19,19 @@ def status_response(status: DataFrame) -> DataFrame:
 
 
 def list_panels(status: DataFrame, skip: int = 0, limit: int = 100) -> DataFrame:
-    """One page of panels in panel id order."""
+    """One page of panels in panel id order, for the first pages. Further ones are cheaper by `list_panels_after`."""
     return status_response(status).orderBy("panel_id").offset(skip).limit(limit)
 
 
+def list_panels_after(status: DataFrame, after: str | None, limit: int = 100) -> DataFrame:
+    """The page that follows the panel `after`, the last one of the page before; the first page for None.
+
+    A top-k of the panels behind it: no task holds the pages that were skipped.
+    """
+    rest = status_response(status)
+    return (rest if after is None else rest.where(F.col("panel_id") > after)).orderBy("panel_id").limit(limit)
+
+
 def get_panel(status: DataFrame, panel_id: str) -> DataFrame:
     """One panel; an empty frame when it is not known."""
     return status_response(status).where(F.col("panel_id") == panel_id)

@@ -18,10 +18,14 @@ WARM_TEMPERATURE = 25.0
 
 HEALTHY = 0
 
+# Start of the last window that a status has seen.
+LAST_WINDOW = "last_window"
+
 
 def reason_code() -> Column:
-    """Number of the first rule that fires, 0 for a healthy window. A rule with a NULL operand does not fire."""
-    eff, temp, irr = F.col("avg_efficiency"), F.col("avg_temp"), F.col("avg_irradiance")
+    """Number of the first rule that fires, 0 for a healthy window. A rule with a NULL or NaN operand does not fire."""
+    # Spark orders NaN above all numbers.
+    eff, temp, irr = (F.nanvl(F.col(n), F.lit(None)) for n in ("avg_efficiency", "avg_temp", "avg_irradiance"))
     return (
         F.when(eff < VERY_LOW_EFFICIENCY, 1)
         .when((irr > ADEQUATE_IRRADIANCE) & (eff < LOW_EFFICIENCY), 2)
@@ -123,7 +127,7 @@ def transitions(stats: DataFrame) -> DataFrame:
 def _latest(stats: DataFrame, clock: Column | None) -> DataFrame:
     """Last row of each panel's timeline. The values are taken as they are, NULLs too."""
     kept = [name for name in schemas.STATUS_COLUMNS if name not in ("panel_id", "last_updated")]
-    row = F.struct(*kept, F.col("as_of").alias("last_updated"), "from_start")
+    row = F.struct(*kept, F.col("as_of").alias("last_updated"), F.col("window_start").alias(LAST_WINDOW), "from_start")
     last = timeline(stats, clock).groupBy("panel_id").agg(F.max_by(row, "window_start").alias("row"))
     return last.select("panel_id", "row.*")
 
@@ -133,17 +137,34 @@ def latest_status(stats: DataFrame, clock: Column | None = None) -> DataFrame:
     return _latest(stats, clock).select(*schemas.STATUS_COLUMNS)
 
 
+def latest_status_by_window(stats: DataFrame, clock: Column | None = None) -> DataFrame:
+    """The same with the start of the last window as `last_window`, as `advance_status` wants it to reject older ones."""
+    return _latest(stats, clock).select(*schemas.STATUS_COLUMNS, LAST_WINDOW)
+
+
+def later_windows(current: DataFrame, stats: DataFrame) -> DataFrame:
+    """The windows that begin after the last one a panel's status has seen; others came too late or were sent again."""
+    seen = current.select(F.col("panel_id").alias("_panel"), F.col(LAST_WINDOW).alias("_seen"))
+    known = stats.join(seen, F.col("panel_id") == F.col("_panel"), "left")
+    return known.where(F.col("_seen").isNull() | (F.col("window_start") > F.col("_seen"))).drop("_panel", "_seen")
+
+
 def advance_status(current: DataFrame, stats: DataFrame, clock: Column | None = None) -> DataFrame:
     """The status table after further windows: known panels are updated, new ones inserted, the rest kept.
 
-    A panel that was broken, and has been broken in all further windows, keeps its reason and time of breaking.
+    A panel that was broken, and has been broken in all further windows, keeps its reason and time of breaking. With
+    the column `last_window` in `current`, windows that do not begin after a panel's last one are rejected: a status
+    never goes back in time, and a window counts once. The result has that column too. Without it, the windows must
+    all be later ones.
     """
-    old, new = current.alias("old"), _latest(stats, clock).alias("new")
+    guarded = LAST_WINDOW in current.columns
+    new = _latest(later_windows(current, stats) if guarded else stats, clock).alias("new")
+    old = current.alias("old")
     updated = F.col("new.panel_id").isNotNull()
     holds = F.col("old.is_broken") & F.col("new.is_broken") & F.col("new.from_start")
     sticky = {"broken_since", "reason"}
     columns = [F.coalesce("old.panel_id", "new.panel_id").alias("panel_id")]
-    for name in schemas.STATUS_COLUMNS[1:]:
+    for name in schemas.STATUS_COLUMNS[1:] + [LAST_WINDOW] * guarded:
         take_new = updated & ~F.coalesce(holds, F.lit(False)) if name in sticky else updated
         columns.append(F.when(take_new, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name))
     return old.join(new, F.col("old.panel_id") == F.col("new.panel_id"), "full_outer").select(*columns)

@@ -15,33 +15,25 @@ BROADCAST_GROUPS = 500_000
 # Beyond that, a key is hot when it holds more than 1 / HOT_SHARES of all rows. Fewer than HOT_SHARES keys can do so.
 HOT_SHARES = 10_000
 
-# Looking for hot join keys: tables up to this size are not looked at, rows are counted in this many hash buckets, and
-# a key may have this many rows, or more in a table with many rows per bucket.
-SMALL_TABLE_BYTES = 1 << 30
+# Looking for hot join keys: rows are counted in this many hash buckets, and a key may have this many rows, or more in a
+# table with many rows per bucket.
 HASH_BUCKETS = 65_536
-HOT_ROWS = 1_000_000
+HOT_ROWS = 1_000
 BUCKET_TOLERANCE = 16
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of a frame, which for tables follows from their files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def has_hot_key(frames: list[DataFrame], keys: list[str]) -> bool:
+def has_hot_key(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
     """Whether a single key may hold too many rows of one of the frames for a task to work through.
 
     Rows are counted by hash bucket of their key, mostly on the map side, so the shuffle carries a few numbers per task.
-    A key has at most the rows of its bucket; if no bucket stands out, no key does. Reads the key columns only.
+    A key has at most the rows of its bucket; if no bucket stands out, no key does. Reads the key columns only, of
+    tables of any size: bytes on disk tell nothing about a key, as copies compress to nothing.
     """
-    large = [frame for frame in frames if estimated_bytes(frame) > SMALL_TABLE_BYTES]
-    if not large:
-        return False
     bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS)).alias("bucket")
-    buckets = [frame.dropna(subset=keys).select(F.lit(n).alias("frame"), bucket) for n, frame in enumerate(large)]
+    buckets = [frame.dropna(subset=keys).select(F.lit(n).alias("frame"), bucket) for n, frame in enumerate(frames)]
     counts = reduce(DataFrame.unionAll, buckets).groupBy("frame", "bucket").agg(F.count(F.lit(1)).alias("n"))
     per_frame = counts.groupBy("frame").agg(F.max("n").alias("fullest"), F.sum("n").alias("total")).collect()
-    return any(r.fullest > max(HOT_ROWS, BUCKET_TOLERANCE * r.total / HASH_BUCKETS) for r in per_frame)
+    return any(r.fullest > max(hot_rows, BUCKET_TOLERANCE * r.total / HASH_BUCKETS) for r in per_frame)
 
 
 def _same(rows: DataFrame, groups: DataFrame, keys: list[str]) -> Column:

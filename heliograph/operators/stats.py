@@ -15,8 +15,9 @@ AVERAGES = {"avg_efficiency": "efficiency", "avg_temp": "temperature_c", "avg_ir
 def _average(measure: str, copies: str | None) -> Column:
     if copies is None:
         return F.avg(measure)
-    seen = F.sum(F.when(F.col(measure).isNotNull(), F.col(copies)))
-    return F.try_divide(F.sum(F.col(measure) * F.col(copies)), seen)
+    weight = F.col(copies).cast("double")
+    seen = F.sum(F.when(F.col(measure).isNotNull(), weight))
+    return F.try_divide(F.sum(F.col(measure) * weight), seen)
 
 
 def window_stats(enriched: DataFrame, width: str = schemas.WINDOW, copies: str | None = None) -> DataFrame:

@@ -7,12 +7,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from heliograph import schemas, session
 from heliograph.functions import scalars, wire
 from heliograph.operators import skew
 
 COPIES = "copies"
+WHOLE = "decimal(38, 0)"
 
 
 def watermarked(frame: DataFrame, delay: str = schemas.WATERMARK) -> DataFrame:
@@ -69,27 +71,39 @@ def enrich(frames: Mapping[str, DataFrame], once_each: bool = False) -> DataFram
     return add_features(match_measurements(frames) if once_each else join_measurements(frames))
 
 
+def _doubles(frame: DataFrame) -> list[str]:
+    return [f.name for f in frame.schema.fields if isinstance(f.dataType, DoubleType)]
+
+
 def collapse_copies(frame: DataFrame) -> DataFrame:
     """One row per distinct message with the number of its `copies`.
 
-    Counting is partial on the map side, so a message sent over and over reaches the shuffle once per task.
+    Counting is partial on the map side, so a message sent over and over reaches the shuffle once per task. Grouping
+    takes -0.0 for 0.0, so the sign of a zero is grouped by as well and put back.
     """
-    return frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias(COPIES))
+    # Spark's numeric functions make no difference between the zeros; only their texts differ.
+    below_zero = {
+        f"_sign_{n}": F.when(F.col(n) == 0, F.col(n).cast("string") == "-0.0").otherwise(False) for n in _doubles(frame)
+    }
+    signed = frame.withColumns(below_zero)
+    counted = signed.groupBy(*signed.columns).agg(F.count(F.lit(1)).alias(COPIES))
+    restored = {n: F.when(F.col(f"_sign_{n}"), F.lit(-0.0)).otherwise(F.col(n)) for n in _doubles(frame)}
+    return counted.withColumns(restored).drop(*below_zero)
 
 
 def enrich_counted(frames: Mapping[str, DataFrame]) -> DataFrame:
     """`enrich` for feeds with resent messages (batch): one row per distinct joined reading.
 
-    `copies` says how many rows the plain join would have made of it, which is the product of the copies on each side
-    (a double, as n**5 soon leaves the range of BIGINT). Repeated messages are counted before the join, so n copies on
-    each of the five sides stay one row.
+    `copies` says how many rows the plain join would have made of it, which is the product of the copies on each side,
+    as a whole number of up to 38 digits. Repeated messages are counted before the join, so n copies on each of the
+    five sides stay one row.
     """
     counted = {
         kind: collapse_copies(frame).withColumnRenamed(COPIES, f"{kind}_copies") for kind, frame in frames.items()
     }
     joined = join_measurements(counted)
     per_kind = [f"{kind}_copies" for kind in schemas.KINDS]
-    product = reduce(lambda a, b: a * b, [F.col(name).cast("double") for name in per_kind])
+    product = reduce(lambda a, b: (a * b).cast(WHOLE), [F.col(name).cast(WHOLE) for name in per_kind])
     return add_features(joined.withColumn(COPIES, product).drop(*per_kind))
 
 
@@ -97,23 +111,27 @@ def expand_copies(counted: DataFrame, block: int = 10_000) -> DataFrame:
     """Plain rows from counted rows.
 
     Rows with up to `block` copies are repeated where they are. Rows with more are cut into blocks, and the blocks are
-    spread over the cluster before they are repeated, so no task makes a hot reading's rows alone.
+    spread over the cluster before they are repeated, so no task makes a hot reading's rows alone. More than `block`
+    blocks are cut in two steps, so that no row ever holds a long list.
     """
-    counted = session.materialise(counted, "counted")
-    few = counted.where(F.col(COPIES) <= block).withColumn("_block", F.lit(0).cast("long"))
-    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(COPIES) - 1) / block))
-    many = counted.where(F.col(COPIES) > block).withColumn("_block", F.explode(blocks))
-    spread = few.unionByName(many.repartition(*schemas.KEYS, "_block"))
-    in_block = F.least(F.lit(block).cast("long"), F.col(COPIES).cast("long") - F.col("_block") * block)
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_block))).drop(
-        "_block", "_copy", COPIES
-    )
-
-
-def enrich_table(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """The rows of `enrich` for tables of any content: the plain join, or, where some reading may have been sent so
-    often that it would fill a task, the counted one expanded again. Large tables are looked at when this is called."""
-    if skew.has_hot_key([frames[kind] for kind in schemas.KINDS], schemas.KEYS):
+    counted = session.materialise(counted, "counted").withColumn("_left", F.col(COPIES))
+    few = counted.where(F.col(COPIES) <= block)
+    many = counted.where(F.col(COPIES) > block)
+    for size in (block * block, block):
+        part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_left") - 1) / size).cast("long")))
+        left = F.least(F.lit(size).cast(WHOLE), F.col("_left") - F.col("_part").cast(WHOLE) * size).cast(WHOLE)
+        many = many.withColumn("_part", part).withColumn("_left", left)
+        many = many.repartition(*schemas.KEYS, "_part").drop("_part")
+    spread = few.unionByName(many)
+    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_left").cast("long")))
+    return spread.withColumn("_copy", repeated).drop("_left", "_copy", COPIES)
+
+
+def enrich_table(frames: Mapping[str, DataFrame], hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+    """The rows of `enrich` for tables of any content: the plain join, or, where some key has so many rows that it may
+    fill a task, the counted one expanded again. Both give the same rows to the bit. Keys are counted when this is
+    called, whatever the size of the tables."""
+    if skew.has_hot_key([frames[kind] for kind in schemas.KINDS], schemas.KEYS, hot_rows):
         return expand_copies(enrich_counted(frames))
     return enrich(frames)
 

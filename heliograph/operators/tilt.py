@@ -32,9 +32,13 @@ def with_defaults(requests: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
+def _lit() -> Column:
+    """Irradiance above zero; NaN, which Spark orders above all numbers, is not."""
+    return F.coalesce(F.nanvl(F.col("irradiance_w_m2"), F.lit(None)) > 0, F.lit(False))
+
+
 def _answerable() -> Column:
-    irradiance = F.col("irradiance_w_m2")
-    return F.coalesce((irradiance > 0) & F.col("temperature_c").isNotNull(), F.lit(False))
+    return _lit() & F.col("temperature_c").isNotNull()
 
 
 def valid_requests(requests: DataFrame, now: Column | None = None) -> DataFrame:
@@ -44,8 +48,7 @@ def valid_requests(requests: DataFrame, now: Column | None = None) -> DataFrame:
 
 def rejected_requests(requests: DataFrame, now: Column | None = None) -> DataFrame:
     """The other requests, with the reason."""
-    no_light = ~F.coalesce(F.col("irradiance_w_m2") > 0, F.lit(False))
-    why = F.when(no_light, "irradiance_w_m2 must be greater than 0").otherwise("temperature_c is required")
+    why = F.when(~_lit(), "irradiance_w_m2 must be greater than 0").otherwise("temperature_c is required")
     return with_defaults(requests, now).where(~_answerable()).withColumn("rejected_because", why)
 
 

@@ -150,8 +150,8 @@ def answer(requests: DataFrame, model: PipelineModel, now: Column | None = None)
     return optimal_tilt(tilt.valid_requests(requests, now), model)
 
 
-def retrain(records: DataFrame, max_rows: int | None = MAX_RECORDS, **params) -> tuple[PipelineModel | None, DataFrame]:
-    """Fit on the earliest `max_rows` records (all, if None) and report `status` and `num_records`.
+def retrain(records: DataFrame, max_rows: int | None = None, **params) -> tuple[PipelineModel | None, DataFrame]:
+    """Fit on all records, or on the earliest `max_rows` by event time, and report `status` and `num_records`.
 
     The status is 'no_data' without records, 'no_label' without a label column or value, else 'retrained'.
     """

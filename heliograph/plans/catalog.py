@@ -27,6 +27,9 @@ NUDGE = 3.17e-8
 # Status tables are cut at this time: the windows before it make the current table, the later ones update it.
 CUT = "2024-01-20 00:00:00"
 
+# Closed windows reach the status jobs in drops that end at these times.
+WINDOW_DROPS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+
 
 def _plain_times(df: DataFrame) -> DataFrame:
     """Times as UTC wall clock, so that they compare with SQL timestamps whatever the reader's zone."""
@@ -37,7 +40,12 @@ def _plain_times(df: DataFrame) -> DataFrame:
 def _query(function: Query) -> Query:
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _plain_times(function(session.prepare(spark), sf_dir))
+        session.prepare(spark)
+        if not function.__name__.startswith("stream_"):
+            return _plain_times(function(spark, sf_dir))
+        # The streams run to their end in here, with one state partition per core.
+        with session.state_partitions(spark, spark.sparkContext.defaultParallelism):
+            return _plain_times(function(spark, sf_dir))
 
     QUERIES[function.__name__] = run
     return run
@@ -60,11 +68,11 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats(spark: SparkSession, sf_dir: str, width: str) -> DataFrame:
-    return _averages(stats.window_stats(_enriched(spark, sf_dir), width))
+    return stats.window_stats(_enriched(spark, sf_dir), width)
 
 
 def _status(spark: SparkSession, sf_dir: str, width: str = DAY) -> DataFrame:
-    return health.latest_status(_stats(spark, sf_dir, width))
+    return _averages(health.latest_status(_stats(spark, sf_dir, width)))
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,14 +108,20 @@ def enriched_resent(spark, sf_dir):
     return telemetry.expand_copies(telemetry.enrich_counted(feed.resent(feed.events(spark, sf_dir))))
 
 
+@_query
+def enriched_hot_readings(spark, sf_dir):
+    """Some temperatures are sent 1,500 times more: keys are counted, and the counted join is taken."""
+    return telemetry.enrich_table(feed.with_hot_readings(feed.events(spark, sf_dir), 1500))
+
+
 @_query
 def window_stats_1m(spark, sf_dir):
-    return _stats(spark, sf_dir, MINUTE)
+    return _averages(_stats(spark, sf_dir, MINUTE))
 
 
 @_query
 def window_stats_1d(spark, sf_dir):
-    return _stats(spark, sf_dir, DAY)
+    return _averages(_stats(spark, sf_dir, DAY))
 
 
 @_query
@@ -121,7 +135,7 @@ def window_stats_resent(spark, sf_dir):
 def window_stats_messages(spark, sf_dir):
     """Daily statistics as JSON messages and back."""
     text = stats.to_messages(_stats(spark, sf_dir, DAY))
-    return stats.from_messages(text)
+    return _averages(stats.from_messages(text))
 
 
 @_query
@@ -143,7 +157,7 @@ def expected_power(spark, sf_dir):
 
 @_query
 def angle_helpers(spark, sf_dir):
-    """Clamped tilt, wrapped azimuth, share of the day and clear-sky curve of every reading."""
+    """Clamped tilt, wrapped azimuth and share of the day of every reading."""
     rows = _readings(spark, sf_dir)
     moved = F.col("tilt_deg") * F.col("temperature_c") / 20 - 30
     return _rounded(
@@ -152,12 +166,10 @@ def angle_helpers(spark, sf_dir):
             scalars.clamp(moved, 0, 90).alias("clamped_tilt"),
             scalars.wrap_degrees(F.col("azimuth_deg") * F.col("temperature_c") - 9000).alias("wrapped_azimuth"),
             scalars.day_phase(F.col("timestamp")).alias("day_phase"),
-            scalars.clear_sky_irradiance(F.col("timestamp")).alias("clear_sky_w_m2"),
         ),
         "clamped_tilt",
         "wrapped_azimuth",
         "day_phase",
-        "clear_sky_w_m2",
     )
 
 
@@ -171,9 +183,8 @@ def _faults(spark, sf_dir, bucket=None, leave_one_out=False) -> DataFrame:
 
 @_query
 def peer_faults_exact(spark, sf_dir):
-    """Peers by exact time; the readings are stamped on the hour, as panels read on a schedule are."""
-    on_hour = F.date_trunc("hour", "timestamp")
-    rows = _readings(spark, sf_dir).select("panel_id", on_hour.alias("timestamp"), "irradiance_w_m2", "power_dc_w")
+    """Peers by exact time: every reading is taken by three panels at once, whose powers differ by up to 120 W."""
+    rows = feed.read_together(_readings(spark, sf_dir))
     return _rounded(faults.detect_faults(rows), "avg_power", "deviation")
 
 
@@ -234,7 +245,7 @@ def panel_health_1m(spark, sf_dir):
 @_query
 def panel_timeline(spark, sf_dir):
     """Status of every panel after each minute it reported in."""
-    return health.timeline(_stats(spark, sf_dir, MINUTE)).drop("as_of", "from_start")
+    return _averages(health.timeline(_stats(spark, sf_dir, MINUTE)).drop("as_of", "from_start"))
 
 
 @_query
@@ -254,7 +265,8 @@ def panel_status_daily(spark, sf_dir):
 
 
 def _cut_stats(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    rows = _stats(spark, sf_dir, MINUTE)
+    # Read by both halves, and made once.
+    rows = session.materialise(_stats(spark, sf_dir, MINUTE), "window_stats")
     cut = F.lit(CUT).cast("timestamp")
     return rows.where(F.col("window_start") < cut), rows.where(F.col("window_start") >= cut)
 
@@ -263,14 +275,14 @@ def _cut_stats(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def status_upsert(spark, sf_dir):
     """Status of the later windows merged into that of the earlier ones, rows replaced whole."""
     earlier, later = _cut_stats(spark, sf_dir)
-    return health.upsert_status(health.latest_status(earlier), health.latest_status(later))
+    return _averages(health.upsert_status(health.latest_status(earlier), health.latest_status(later)))
 
 
 @_query
 def status_advance(spark, sf_dir):
     """Status table advanced by the later windows; equals the status of all windows at once."""
     earlier, later = _cut_stats(spark, sf_dir)
-    return health.advance_status(health.latest_status(earlier), later)
+    return _averages(health.advance_status(health.latest_status(earlier), later))
 
 
 @_query
@@ -278,9 +290,28 @@ def status_table(spark, sf_dir):
     """Status written as two versions of a table and read back from the newest."""
     earlier, later = _cut_stats(spark, sf_dir)
     base = session.run_dir(spark, "status_table")
-    tables.write_version(health.latest_status(earlier), base, 1)
+    tables.write_version(health.latest_status_by_window(earlier), base, 1)
     tables.write_version(health.advance_status(tables.read_version(spark, base, 1), later), base, 2)
-    return tables.read_status(spark, base)
+    return _averages(tables.read_status(spark, base))
+
+
+@_query
+def nan_guards(spark, sf_dir):
+    """Rules and requests on values of which a third each are NaN: no rule fires for NaN, and NaN is no light."""
+    rows = feed.events(spark, sf_dir)
+    nan = F.lit(float("nan"))
+    odd = lambda n, value: F.when(F.col("event_id") % 3 == n, nan).otherwise(value)
+    columns = {
+        "avg_efficiency": odd(0, F.col("value") / 10),
+        "avg_temp": odd(1, F.col("value")),
+        "avg_irradiance": odd(2, F.col("value") * 3),
+        "irradiance_w_m2": odd(2, F.col("value") - 50),
+        "temperature_c": F.col("value"),
+    }
+    answered = tilt.valid_requests(rows.withColumns({**columns, **feed.anonymous()}), feed.no_time())
+    coded = answered.select("event_id", health.reason_code().alias("reason_code"))
+    refused = tilt.rejected_requests(rows.withColumns({**columns, **feed.anonymous()}), feed.no_time())
+    return coded.unionByName(refused.select("event_id", F.lit(-1).alias("reason_code")))
 
 
 # --- questions about the fleet
@@ -291,6 +322,12 @@ def panel_page(spark, sf_dir):
     return fleet.list_panels(_status(spark, sf_dir), skip=5, limit=20)
 
 
+@_query
+def panel_page_after(spark, sf_dir):
+    """The page behind a panel."""
+    return fleet.list_panels_after(_status(spark, sf_dir), "panel-3", limit=20)
+
+
 @_query
 def panel_lookup(spark, sf_dir):
     return fleet.get_panel(_status(spark, sf_dir), "panel-7")
@@ -505,7 +542,35 @@ def candidate_scores(spark, sf_dir):
 def retrain_status(spark, sf_dir):
     """Refit on all usable training records."""
     rows = training.training_records(feed.training_messages(feed.events(spark, sf_dir)), feed.no_time())
-    return training.retrain(rows, max_rows=None, **training.QUICK)[1]
+    return training.retrain(rows, **training.QUICK)[1]
+
+
+def _known_model(spark, sf_dir):
+    """A model whose predictions SQL can state: the label of its training records steps with the tilt and the hour
+    alone, in whole watts, and one tree of five levels takes the steps exactly."""
+    records = tilt.candidates(_readings(spark, sf_dir)).drop("power_dc_w")
+    by_tilt = F.when(F.col("tilt_deg") < 22, 10).when(F.col("tilt_deg") < 42, 30).otherwise(20)
+    label = by_tilt + F.when(F.hour("timestamp") < 12, 0).otherwise(F.when(F.col("tilt_deg") < 8, 40).otherwise(4))
+    return training.fit(records.withColumn("power_dc_w", label.cast("double")), maxIter=1, maxDepth=5)
+
+
+def _saved_and_loaded(spark, model):
+    return training.load(training.save(model, session.run_dir(spark, "models"), 1))
+
+
+@_query
+def optimal_tilt_known(spark, sf_dir):
+    """Best tilt for every reading by a model of known steps, saved and read back."""
+    model = _saved_and_loaded(spark, _known_model(spark, sf_dir))
+    chosen = training.optimal_tilt(_readings(spark, sf_dir), model)
+    return _rounded(chosen, "predicted_power").select(*schemas.KEYS, "optimal_tilt", "predicted_power")
+
+
+@_query
+def candidate_scores_known(spark, sf_dir):
+    """Predictions of the same model for every candidate."""
+    scored = training.score(tilt.candidates(_readings(spark, sf_dir)), _known_model(spark, sf_dir))
+    return _rounded(scored, "prediction").select(*schemas.KEYS, "tilt_deg", "prediction")
 
 
 # --- streams, run to the end of the table
@@ -550,36 +615,56 @@ def _closed_windows(spark, sf_dir, name) -> tuple[str, brokers.Folder]:
     base = session.run_dir(spark, name)
     folder = brokers.Folder(f"{base}/topics")
     enriched = _enriched_stream(spark, sf_dir, once_each=True)
-    text = stats.to_messages(_averages(stats.window_stats(enriched)))
+    text = stats.to_messages(stats.window_stats(enriched))
     topic = schemas.TOPICS["window_stats"]
     jobs.send(text, folder, topic, f"{base}/checkpoints/windows", availableNow=True).awaitTermination()
     return base, folder
 
 
+def _window_drops(spark, made: brokers.Folder) -> list[DataFrame]:
+    """Closed windows in three drops: every seventh one of the first comes late, and some are sent again."""
+    windows = stats.from_messages(made.history(spark, schemas.TOPICS["window_stats"]))
+    windows = session.materialise(windows, "windows")
+    start = F.col("window_start")
+    first, second = (F.lit(t).cast("timestamp") for t in WINDOW_DROPS)
+    minute = F.floor(F.unix_seconds(start) / 60)
+    held = (start < first) & (minute % 7 == 0)
+    again = minute % 5 == 0
+    return [
+        windows.where((start < first) & ~held),
+        windows.where(((start >= first) & (start < second)) | held | (again & (start < first))),
+        windows.where((start >= second) | (again & (start < second))),
+    ]
+
+
 @_query
 def stream_panel_changes(spark, sf_dir):
-    """Keyed state over the closed windows."""
-    base, folder = _closed_windows(spark, sf_dir, "stream_panel_changes")
-    path = f"{base}/changes"
-    jobs.start_panel_changes(spark, folder, path, f"{base}/checkpoints", availableNow=True).awaitTermination()
-    return spark.read.parquet(path)
+    """Keyed state over the closed windows, which come in several drops, some late and some twice."""
+    base, made = _closed_windows(spark, sf_dir, "stream_panel_changes")
+    folder, path = brokers.Folder(f"{base}/drops"), f"{base}/changes"
+    for drop in _window_drops(spark, made):
+        folder.write(stats.to_messages(drop), schemas.TOPICS["window_stats"])
+        jobs.start_panel_changes(spark, folder, path, f"{base}/checkpoints", availableNow=True).awaitTermination()
+    return _averages(spark.read.parquet(path))
 
 
 @_query
 def stream_panel_status(spark, sf_dir):
-    """Versioned status table kept by a stream over the closed windows."""
-    base, folder = _closed_windows(spark, sf_dir, "stream_panel_status")
-    path = f"{base}/status"
-    jobs.start_panel_status(spark, folder, path, f"{base}/checkpoints", availableNow=True).awaitTermination()
-    return tables.read_status(spark, path)
+    """Versioned status table kept by a stream over the same drops."""
+    base, made = _closed_windows(spark, sf_dir, "stream_panel_status")
+    folder, path = brokers.Folder(f"{base}/drops"), f"{base}/status"
+    for drop in _window_drops(spark, made):
+        folder.write(stats.to_messages(drop), schemas.TOPICS["window_stats"])
+        jobs.start_panel_status(spark, folder, path, f"{base}/checkpoints", availableNow=True).awaitTermination()
+    return _averages(tables.read_status(spark, path))
 
 
 @_query
 def stream_faults(spark, sf_dir):
-    """Fault alerts written by a stream."""
+    """Fault alerts written by a stream that arrives in several micro-batches, which split hours."""
     base = session.run_dir(spark, "stream_faults")
     folder = brokers.Folder(f"{base}/topics")
-    rows = feed.readings(feed.events_stream(spark, sf_dir)).select(*schemas.KEYS, "power_dc_w")
+    rows = feed.readings(feed.events_by_drops(spark, sf_dir, f"{base}/events")).select(*schemas.KEYS, "power_dc_w")
     jobs.start_fault_alerts(rows, folder, f"{base}/checkpoints", bucket=HOUR, availableNow=True).awaitTermination()
     alerts = folder.history(spark, schemas.TOPICS["faults"])
     details = "details STRUCT<current_power: DOUBLE, average_others: DOUBLE, deviation: DOUBLE>"
@@ -587,6 +672,68 @@ def stream_faults(spark, sf_dir):
     return _rounded(parsed.select("key", "a.panel_id", "a.timestamp", "a.details.*"), "average_others", "deviation")
 
 
+def _in_two_drops(spark, sf_dir, name, run) -> brokers.Folder:
+    """The topics of all readings, written in two drops, of which the second has some of the oldest messages again,
+    too late by then. `run` is called after each drop, so a job starts, ends and starts again from its checkpoint."""
+    base = session.run_dir(spark, name)
+    topics = brokers.Folder(f"{base}/topics")
+    oldest, old, new, newest = feed.in_drops(feed.events(spark, sf_dir), 4)
+    topics.write(feed.messages(oldest.unionAll(old)))
+    run(topics, base)
+    topics.write(feed.messages(new.unionAll(newest).unionAll(oldest.where("event_id % 10 = 0"))))
+    run(topics, base)
+    return topics
+
+
+@_query
+def stream_job_enriched(spark, sf_dir):
+    """The job of enriched readings over message topics."""
+
+    def run(topics, base):
+        jobs.start_enriched(spark, topics, topics, f"{base}/checkpoints", availableNow=True).awaitTermination()
+
+    topics = _in_two_drops(spark, sf_dir, "stream_job_enriched", run)
+    columns = "panel_id STRING, timestamp TIMESTAMP, power_ac_w DOUBLE, efficiency DOUBLE, temp_per_power DOUBLE"
+    return wire.decode(topics.history(spark, schemas.TOPICS["enriched"]), columns)
+
+
+@_query
+def stream_job_window_stats(spark, sf_dir):
+    """The job of window statistics over message topics, matched by grouping."""
+
+    def run(topics, base):
+        started = jobs.start_window_stats(spark, topics, topics, f"{base}/checkpoints", once_each=True, availableNow=True)
+        started.awaitTermination()
+
+    topics = _in_two_drops(spark, sf_dir, "stream_job_window_stats", run)
+    return _averages(stats.from_messages(topics.history(spark, schemas.TOPICS["window_stats"])))
+
+
+@_query
+def stream_job_stats_from_enriched(spark, sf_dir):
+    """The same from the topic that the job of enriched readings writes."""
+
+    def run(topics, base):
+        checkpoints, once = f"{base}/checkpoints", {"availableNow": True}
+        jobs.start_enriched(spark, topics, topics, checkpoints, once_each=True, **once).awaitTermination()
+        jobs.start_window_stats(spark, topics, topics, checkpoints, from_enriched=True, **once).awaitTermination()
+
+    topics = _in_two_drops(spark, sf_dir, "stream_job_stats_from_enriched", run)
+    return _averages(stats.from_messages(topics.history(spark, schemas.TOPICS["window_stats"])))
+
+
+@_query
+def stream_job_rejects(spark, sf_dir):
+    """The job that keeps unreadable messages."""
+    base = session.run_dir(spark, "stream_job_rejects")
+    topics = brokers.Folder(f"{base}/topics")
+    for drop in feed.in_drops(feed.events(spark, sf_dir), 2):
+        topics.write(feed.raw_messages(drop), schemas.TOPICS["temperature"])
+        run = jobs.start_rejects(spark, topics, "temperature", topics, "rejects", f"{base}/checkpoints", availableNow=True)
+        run.awaitTermination()
+    return topics.history(spark, "rejects").select("key", F.length("value").alias("n_chars"))
+
+
 @_query
 def stream_control_commands(spark, sf_dir):
     """Commands written by a stream that scores every reading with the model."""

@@ -18,6 +18,13 @@ EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
 # Time used where a message or request has none, so that results can be repeated.
 NO_TIME = "2024-02-01 12:00:00"
 
+# Added to the whole percents of efficiency, so that no average of a few lies on a limit of the health rules, where
+# the last digits of a sum would decide.
+OFF_LIMITS = 0.371
+
+# Odd number texts and how often they occur.
+ODD_NUMBERS = {"0x1p3": 60, "1_0": 70}
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table."""
@@ -36,7 +43,7 @@ def _wide(rows: DataFrame) -> DataFrame:
         F.concat(F.lit("panel-"), F.col("user_id")).alias("panel_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.least(F.col("value") * 10, F.lit(1200.0)).alias("irradiance_w_m2"),
-        (dc * k / 100).alias("power_ac_w"),
+        (dc * (k + OFF_LIMITS) / 100).alias("power_ac_w"),
         dc.alias("power_dc_w"),
         (15 + F.col("event_id") % 80).cast("double").alias("temperature_c"),
         (20 + 10 * (F.col("user_id") % 3)).cast("double").alias("tilt_deg"),
@@ -78,6 +85,29 @@ def resent(rows: DataFrame) -> dict[str, DataFrame]:
     return {kind: once[kind].unionAll(twice[kind]) for kind in schemas.KINDS}
 
 
+def with_hot_readings(rows: DataFrame, copies: int) -> dict[str, DataFrame]:
+    """The measurement frames of a feed in which every 500th reading's temperature is sent `copies` more times."""
+    frames = measurements(rows)
+    often = F.explode(F.sequence(F.lit(1), F.lit(copies)))
+    sent = measurements(rows.where("event_id % 500 = 1"))["temperature"].withColumn("copy", often).drop("copy")
+    return {**frames, "temperature": frames["temperature"].unionAll(sent)}
+
+
+def in_drops(rows: DataFrame, numbers: int) -> list[DataFrame]:
+    """The events in stretches of time of equal width, as they would arrive."""
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    place = F.floor((time - F.lit(first)) * numbers / F.lit(last - first + 1))
+    return [rows.where(place == n) for n in range(numbers)]
+
+
+def events_by_drops(spark: SparkSession, sf_dir: str, path: str, numbers: int = 5) -> DataFrame:
+    """The events table as a stream that arrives in drops, one file and one micro-batch each. Drops split hours."""
+    for drop in in_drops(events(spark, sf_dir), numbers):
+        drop.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def messages(rows: DataFrame, kinds: list[str] = schemas.KINDS) -> DataFrame:
     """JSON messages of every reading, the event id standing in for the random message id."""
     return telemetry.fan_out(_wide(rows), F.col("event_id").cast("string"), kinds)
@@ -115,7 +145,13 @@ def training_messages(rows: DataFrame) -> DataFrame:
     )
     sparse = F.struct("panel_id", time, "irradiance_w_m2")
     null_number = F.struct("panel_id", time, F.lit(None).cast("double").alias("temperature_c"))
-    quoted = F.struct("panel_id", time, F.col("power_dc_w").cast("string").alias("power_dc_w"))
+    hexadecimal, underscored = ODD_NUMBERS
+    number = (
+        F.when(F.col("k") < ODD_NUMBERS[hexadecimal], hexadecimal)
+        .when(F.col("k") < ODD_NUMBERS[underscored], underscored)
+        .otherwise(F.col("power_dc_w").cast("string"))
+    )
+    quoted = F.struct("panel_id", time, number.alias("power_dc_w"))
     bad_number = F.struct("panel_id", time, F.lit("abc").alias("irradiance"))
     nameless = F.struct(F.lit("yesterday").alias("timestamp"), "power_dc_w")
     kind, k = F.col("event_type"), F.col("k")
@@ -149,3 +185,23 @@ def prediction_requests(rows: DataFrame) -> DataFrame:
 def no_time() -> Column:
     """The stand-in time as a column."""
     return F.lit(NO_TIME).cast("timestamp")
+
+
+def anonymous() -> dict[str, Column]:
+    """What a request has besides its numbers, all of it missing."""
+    return {
+        "panel_id": F.lit(None).cast("string"),
+        "timestamp": F.lit(None).cast("timestamp"),
+        "send_to_kafka": F.lit(None).cast("boolean"),
+    }
+
+
+def read_together(rows: DataFrame) -> DataFrame:
+    """Each reading three times at its exact time, by panels of their own, with 0, 60 and 120 W more."""
+    extra = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("n")
+    return rows.select("*", extra).select(
+        F.concat("panel_id", F.lit("/"), "n").alias("panel_id"),
+        "timestamp",
+        "irradiance_w_m2",
+        (F.col("power_dc_w") + 60 * F.col("n")).alias("power_dc_w"),
+    )

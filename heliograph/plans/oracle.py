@@ -10,7 +10,7 @@ WIDE = """
 wide AS (
   SELECT 'panel-' || user_id AS panel_id, ts AS "timestamp", least(value * 10, 1200.0::DOUBLE) AS irradiance_w_m2,
          (CASE WHEN event_id % 20 = 0 THEN 0.0::DOUBLE ELSE value END)
-           * CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) / 100 AS power_ac_w,
+           * (CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) + 0.371::DOUBLE) / 100 AS power_ac_w,
          CASE WHEN event_id % 20 = 0 THEN 0.0::DOUBLE ELSE value END AS power_dc_w,
          CAST(15 + event_id % 80 AS DOUBLE) AS temperature_c,
          CAST(20 + 10 * (user_id % 3) AS DOUBLE) AS tilt_deg,
@@ -65,8 +65,7 @@ def _stats(base: str, width: str) -> str:
 stats AS (
   SELECT panel_id, time_bucket(INTERVAL '{width}', "timestamp") AS window_start,
          time_bucket(INTERVAL '{width}', "timestamp") + INTERVAL '{width}' AS window_end,
-         {_r("avg(efficiency)")} AS avg_efficiency, {_r("avg(temperature_c)")} AS avg_temp,
-         {_r("avg(irradiance_w_m2)")} AS avg_irradiance
+         avg(efficiency) AS avg_efficiency, avg(temperature_c) AS avg_temp, avg(irradiance_w_m2) AS avg_irradiance
   FROM enriched GROUP BY ALL)"""
 
 
@@ -81,7 +80,31 @@ mark AS (
                (SELECT max("timestamp") FROM orient)) - INTERVAL '10 seconds' AS t),
 stats AS (SELECT * FROM all_stats WHERE window_end <= (SELECT t FROM mark))"""
 
-_STATS_COLUMNS = "panel_id, window_start, window_end, avg_efficiency, avg_temp, avg_irradiance"
+_STATS_COLUMNS = f"""panel_id, window_start, window_end, {_r("avg_efficiency")} AS avg_efficiency,
+  {_r("avg_temp")} AS avg_temp, {_r("avg_irradiance")} AS avg_irradiance"""
+
+# Windows that reach the status jobs in drops: one held back is accepted only if its panel has seen no later one.
+DROPPED_STATS = f"""{CLOSED_STATS.replace("stats AS (SELECT * FROM all_stats", "closed AS (SELECT * FROM all_stats")},
+tagged AS (
+  SELECT *, window_start < TIMESTAMP '2024-01-10 00:00:00' AS early,
+         window_start < TIMESTAMP '2024-01-10 00:00:00' AND epoch_us(window_start) // 60000000 % 7 = 0 AS held
+  FROM closed),
+firsts AS (SELECT panel_id, max(window_start) AS seen FROM tagged WHERE early AND NOT held GROUP BY panel_id),
+stats AS (
+  SELECT tagged.* FROM tagged LEFT JOIN firsts USING (panel_id)
+  WHERE NOT held OR seen IS NULL OR window_start > seen)"""
+
+# Windows of a job over message topics without gaps, and of one that reads what the first has written: the readings
+# that the watermark has passed, with times in milliseconds.
+JOB_STATS = f"""{_stats(WHOLE, "1 minute").replace("stats AS (", "all_stats AS (")},
+stats AS (
+  SELECT * FROM all_stats WHERE window_end <= (SELECT max("timestamp") FROM wide) - INTERVAL '10 seconds')"""
+REJOINED_STATS = f"""{_stats(WHOLE.replace("enriched AS (", "whole AS (") + """,
+enriched AS (
+  SELECT * REPLACE (date_trunc('milliseconds', "timestamp") AS "timestamp") FROM whole
+  WHERE "timestamp" <= (SELECT max("timestamp") FROM wide) - INTERVAL '10 seconds')""", "1 minute").replace("stats AS (", "all_stats AS (")},
+stats AS (
+  SELECT * FROM all_stats WHERE window_end <= (SELECT max("timestamp") FROM enriched) - INTERVAL '10 seconds')"""
 
 
 def _health(stats: str) -> str:
@@ -91,13 +114,14 @@ coded AS (
                  WHEN avg_temp > 85 THEN 3 WHEN avg_irradiance < 10 AND avg_temp > 25 THEN 4 ELSE 0 END AS reason_code
   FROM stats),
 health AS (
-  SELECT *, reason_code > 0 AS is_broken,
+  SELECT * REPLACE ({_r("avg_efficiency")} AS avg_efficiency, {_r("avg_temp")} AS avg_temp,
+                    {_r("avg_irradiance")} AS avg_irradiance), reason_code > 0 AS is_broken,
          CASE reason_code
-           WHEN 1 THEN printf('Low efficiency: %.2f%%', avg_efficiency)
+           WHEN 1 THEN printf('Low efficiency: %.2f%%', coded.avg_efficiency)
            WHEN 2 THEN printf('Low efficiency (%.2f%%) despite adequate irradiance (%.0f W/m²)',
-                              avg_efficiency, avg_irradiance)
-           WHEN 3 THEN printf('Temperature anomaly: %.1f°C', avg_temp)
-           WHEN 4 THEN printf('No irradiance detected despite warm temperature (%.1f°C)', avg_temp) END AS reason
+                              coded.avg_efficiency, coded.avg_irradiance)
+           WHEN 3 THEN printf('Temperature anomaly: %.1f°C', coded.avg_temp)
+           WHEN 4 THEN printf('No irradiance detected despite warm temperature (%.1f°C)', coded.avg_temp) END AS reason
   FROM coded)"""
 
 
@@ -180,10 +204,12 @@ _TIME6 = "strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f+00:00')"
 
 _TRAINING = f"""{WIDE},
 shaped AS (
-  SELECT *, CASE WHEN event_type = 'signup' AND k < 50 THEN 'null' WHEN event_type = 'signup' THEN 'quoted'
+  SELECT *, CASE WHEN event_type = 'signup' AND k < 50 THEN 'null' WHEN event_type = 'signup' AND k < 60 THEN 'text'
+                 WHEN event_type = 'signup' THEN 'quoted'
                  WHEN event_type <> 'error' THEN event_type WHEN k < 30 THEN 'text' WHEN k < 60 THEN 'broken'
                  ELSE 'nameless' END AS shape
-  FROM wide),
+  FROM (SELECT * REPLACE (CASE WHEN event_type = 'signup' AND k BETWEEN 60 AND 69 THEN 10.0::DOUBLE ELSE power_dc_w END
+                          AS power_dc_w) FROM wide)),
 records AS (
   SELECT CASE WHEN shape = 'nameless' THEN 'p1' ELSE panel_id END AS panel_id,
          CASE WHEN shape = 'nameless' THEN TIMESTAMP '2024-02-01 12:00:00' ELSE "timestamp" END AS "timestamp",
@@ -251,6 +277,14 @@ SQL: dict[str, str] = {
   date_trunc('milliseconds', "timestamp") AS "timestamp", power_ac_w, efficiency, temp_per_power FROM enriched""",
     ),
     "enriched_resent": _with(RESENT, "SELECT * FROM enriched"),
+    "enriched_hot_readings": _with(
+        ENRICHED.replace("joined AS (", """hot AS (
+  SELECT * FROM temp UNION ALL
+  SELECT t.* FROM (SELECT panel_id, "timestamp", temperature_c FROM wide
+                   WHERE event_id % 500 = 1 AND NOT (event_type = 'error' AND k > 90)) t CROSS JOIN range(1500)),
+joined AS (""").replace("JOIN temp USING", "JOIN hot USING"),
+        "SELECT * FROM enriched",
+    ),
     "window_stats_1m": _with(MINUTE_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "window_stats_1d": _with(DAY_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "window_stats_resent": _with(_stats(RESENT, "1 day"), f"SELECT {_STATS_COLUMNS} FROM stats"),
@@ -269,13 +303,14 @@ FROM (SELECT *, CAST(printf('%.2f', greatest(0.0::DOUBLE, irradiance_w_m2 * (1.6
   round(least(90.0, greatest(0.0, tilt_deg * temperature_c / 20 - 30)) + 3.17e-8, 6) AS clamped_tilt,
   round(azimuth_deg * temperature_c - 9000 - 360 * floor((azimuth_deg * temperature_c - 9000) / 360) + 3.17e-8, 6)
     AS wrapped_azimuth,
-  round(phase + 3.17e-8, 6) AS day_phase, round(greatest(0.0, sin(pi() * phase)) * 1000 + 3.17e-8, 6) AS clear_sky_w_m2
+  round(phase + 3.17e-8, 6) AS day_phase
 FROM (SELECT *, epoch_us("timestamp") % 86400000000 / 86400000000.0::DOUBLE AS phase FROM wide)""",
     ),
     "peer_faults_exact": _with(
-        _peers(_HOUR),
-        """SELECT panel_id, peer_time AS "timestamp", irradiance_w_m2, power_dc_w, peer_time,
-  round(avg_power + 3.17e-8, 6) AS avg_power, round(deviation + 3.17e-8, 6) AS deviation FROM found""",
+        _peers('"timestamp"').replace("FROM wide)),", """FROM (
+    SELECT * REPLACE (panel_id || '/' || n AS panel_id, power_dc_w + 60 * n AS power_dc_w)
+    FROM wide CROSS JOIN range(3) AS copies(n)))),"""),
+        f"SELECT {_FAULT_COLUMNS} FROM found",
     ),
     "peer_faults_hourly": _with(_peers(_HOUR), f"SELECT {_FAULT_COLUMNS} FROM found"),
     "peer_faults_leave_one_out": _with(
@@ -327,6 +362,17 @@ SELECT {_STATUS_COLUMNS} FROM merged""",
     "panel_page": _with(
         _timeline(DAY_STATS), f"SELECT {_STATUS_COLUMNS} FROM status ORDER BY panel_id LIMIT 20 OFFSET 5"
     ),
+    "panel_page_after": _with(
+        _timeline(DAY_STATS),
+        f"SELECT {_STATUS_COLUMNS} FROM status WHERE panel_id > 'panel-3' ORDER BY panel_id LIMIT 20",
+    ),
+    "nan_guards": """SELECT event_id, CASE
+    WHEN event_id % 3 = 2 OR value <= 50 THEN -1
+    WHEN event_id % 3 <> 0 AND value / 10 < 5 THEN 1
+    WHEN event_id % 3 <> 0 AND value * 3 > 100 AND value / 10 < 10 THEN 2
+    WHEN event_id % 3 <> 1 AND value > 85 THEN 3
+    WHEN value * 3 < 10 AND event_id % 3 <> 1 AND value > 25 THEN 4 ELSE 0 END AS reason_code
+FROM events""",
     "panel_lookup": _with(_timeline(DAY_STATS), f"SELECT {_STATUS_COLUMNS} FROM status WHERE panel_id = 'panel-7'"),
     "broken_panels": _with(_timeline(DAY_STATS), f"SELECT {_STATUS_COLUMNS} FROM status WHERE is_broken"),
     "fleet_statistics": _with(
@@ -428,15 +474,43 @@ FROM valid""",
 WHERE irradiance_w_m2 IS NOT NULL AND temperature_c IS NOT NULL""",
     ),
     "retrain_status": _with(_TRAINING, "SELECT 'retrained' AS status, count(*) AS num_records FROM records"),
+    "optimal_tilt_known": _with(
+        WIDE,
+        f"""SELECT panel_id, "timestamp", CASE WHEN {_HOUR_OF_DAY} < 12 THEN 25.0::DOUBLE ELSE 0.0::DOUBLE END AS optimal_tilt,
+  round(CASE WHEN {_HOUR_OF_DAY} < 12 THEN 30.0::DOUBLE ELSE 50.0::DOUBLE END + 3.17e-8, 6) AS predicted_power
+FROM wide""",
+    ),
+    "candidate_scores_known": _with(
+        WIDE,
+        f"""SELECT panel_id, "timestamp", CAST(t.tilt AS DOUBLE) AS tilt_deg,
+  round(CAST(CASE WHEN t.tilt < 22 THEN 10 WHEN t.tilt < 42 THEN 30 ELSE 20 END
+    + CASE WHEN {_HOUR_OF_DAY} < 12 THEN 0 WHEN t.tilt < 8 THEN 40 ELSE 4 END AS DOUBLE) + 3.17e-8, 6) AS prediction
+FROM wide CROSS JOIN generate_series(0, 60, 5) AS t(tilt)""",
+    ),
     "stream_enriched_features": _with(ENRICHED, "SELECT * FROM enriched"),
     "stream_window_stats": _with(CLOSED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "stream_window_stats_by_grouping": _with(CLOSED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
-    "stream_panel_changes": _with(_timeline(CLOSED_STATS), f"SELECT {_TIMELINE_COLUMNS} FROM timeline"),
-    "stream_panel_status": _with(_timeline(CLOSED_STATS), f"SELECT {_STATUS_COLUMNS} FROM status"),
+    "stream_panel_changes": _with(_timeline(DROPPED_STATS), f"SELECT {_TIMELINE_COLUMNS} FROM timeline"),
+    "stream_panel_status": _with(_timeline(DROPPED_STATS), f"SELECT {_STATUS_COLUMNS} FROM status"),
     "stream_faults": _with(
         _peers(_HOUR),
         f"""SELECT panel_id AS key, panel_id, {ISO} AS "timestamp", power_dc_w AS current_power,
-  round(avg_power + 3.17e-8, 6) AS average_others, round(deviation + 3.17e-8, 6) AS deviation FROM found""",
+  round(avg_power + 3.17e-8, 6) AS average_others, round(deviation + 3.17e-8, 6) AS deviation FROM found
+WHERE peer_time + INTERVAL '1 hour' <= (SELECT max("timestamp") FROM wide) - INTERVAL '10 seconds'""",
+    ),
+    "stream_job_enriched": _with(
+        WHOLE,
+        """SELECT panel_id, date_trunc('milliseconds', "timestamp") AS "timestamp", power_ac_w, efficiency,
+  CASE WHEN power_dc_w > 0 THEN temperature_c / power_dc_w END AS temp_per_power FROM enriched""",
+    ),
+    "stream_job_window_stats": _with(JOB_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
+    "stream_job_stats_from_enriched": _with(REJOINED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
+    "stream_job_rejects": _with(
+        _RAW,
+        """SELECT CAST(event_id AS VARCHAR) AS key, CAST(CASE shape WHEN 'junk' THEN length('junk ' || event_id)
+    ELSE length('{"panel_id":"","timestamp":"soon","temperature_c":.0}') + length(panel_id)
+      + length(CAST(CAST(temperature_c AS BIGINT) AS VARCHAR)) END AS INTEGER) AS n_chars
+FROM raw WHERE shape IN ('junk', 'untimed')""",
     ),
     "stream_control_commands": _with(
         WIDE,

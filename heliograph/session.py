@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,7 +69,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="heliograph-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -130,16 +131,7 @@ def use_checkpoints(spark: SparkSession) -> None:
 
 
 @contextmanager
-def state_settings(spark: SparkSession) -> Iterator[None]:
-    """Settings for a streaming query started inside the block; the session gets its own back afterwards.
-
-    The number of state partitions is fixed by the first start of a checkpoint. It is taken from
-    `spark.sql.shuffle.partitions` when that was chosen for the cluster, and is the number of cores when that still has
-    Spark's default of 200.
-    """
-    wanted = dict(STATE_SETTINGS)
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        wanted["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
+def _set(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -151,3 +143,16 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def state_settings(spark: SparkSession) -> AbstractContextManager[None]:
+    """Settings for a streaming query started inside the block; the session gets its own back afterwards."""
+    return _set(spark, STATE_SETTINGS)
+
+
+def state_partitions(spark: SparkSession, number: int) -> AbstractContextManager[None]:
+    """Streaming queries first started inside the block get this many state partitions.
+
+    The number is fixed by the first start of a checkpoint. Outside such a block it is `spark.sql.shuffle.partitions`.
+    """
+    return _set(spark, {"spark.sql.shuffle.partitions": str(number)})

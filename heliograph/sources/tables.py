@@ -5,23 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from heliograph import schemas, session
+from heliograph.operators import health
 
 VERSION = "version"
 
+STORED = f"{schemas.PANEL_STATUS}, {health.LAST_WINDOW} TIMESTAMP"
+
 
 def empty_status(spark: SparkSession) -> DataFrame:
     """A status table without panels."""
-    return spark.createDataFrame([], schemas.PANEL_STATUS)
+    return spark.createDataFrame([], STORED)
 
 
 def write_version(status: DataFrame, base: str, version: int) -> None:
     """Write one whole version of the status table. The version read before it is never touched."""
-    status.select(*schemas.STATUS_COLUMNS).write.mode("overwrite").parquet(f"{base}/{VERSION}={version}")
+    stored = [*schemas.STATUS_COLUMNS, *(c for c in status.columns if c == health.LAST_WINDOW)]
+    status.select(*stored).write.mode("overwrite").parquet(f"{base}/{VERSION}={version}")
 
 
 def read_version(spark: SparkSession, base: str, version: int) -> DataFrame:
-    """One version of the status table."""
-    return spark.read.schema(schemas.PANEL_STATUS).parquet(f"{base}/{VERSION}={version}")
+    """One version of the status table, with the start of each panel's last window as `last_window`."""
+    return spark.read.schema(STORED).parquet(f"{base}/{VERSION}={version}")
 
 
 def versions(spark: SparkSession, base: str) -> list[int]:
@@ -47,9 +51,10 @@ def forget_versions(spark: SparkSession, base: str, keep: int) -> None:
 
 
 def read_status(spark: SparkSession, base: str) -> DataFrame:
-    """The newest version, or an empty table."""
+    """The newest version, or an empty table, as its readers know it."""
     version = latest_version(spark, base)
-    return empty_status(spark) if version is None else read_version(spark, base, version)
+    found = empty_status(spark) if version is None else read_version(spark, base, version)
+    return found.select(*schemas.STATUS_COLUMNS)
 
 
 def read_status_jdbc(spark: SparkSession, url: str, table: str = "panel_status", **options: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """The streaming jobs: enriched features, window statistics, panel status, fault alerts, tilt control.
 
 Each `start_*` function takes a source and a sink from `heliograph.sources.brokers` and a folder for checkpoints, and
-returns the running query. `trigger` arguments are those of `DataStreamWriter.trigger`. State settings, among them the
-number of state partitions, are those of `session.state_settings`.
+returns the running query. `trigger` arguments are those of `DataStreamWriter.trigger`. State settings are those of
+`session.state_settings`; the number of state partitions is `spark.sql.shuffle.partitions`, or that of an enclosing
+`session.state_partitions`.
 """
 
 from __future__ import annotations
@@ -117,7 +118,8 @@ def start_panel_status(
     """Panel status table, one new version per micro-batch, of which the newest `keep` (two or more) stay.
 
     Micro-batch n reads version n - 1 and writes version n. A repeated micro-batch therefore reads the same input and
-    replaces only what it wrote itself. One table belongs to one checkpoint.
+    replaces only what it wrote itself. One table belongs to one checkpoint. Windows that do not begin after the last
+    one of their panel are rejected (see `health.advance_status`).
     """
 
     def advance(windows: DataFrame, batch_id: int) -> None:
@@ -134,25 +136,27 @@ def start_fault_alerts(
     readings: DataFrame,
     sink: Sink,
     checkpoints: str,
-    bucket: str | None = None,
+    bucket: str = "1 hour",
     leave_one_out: bool = False,
     threshold: float = faults.THRESHOLD_W,
+    delay: str = schemas.WATERMARK,
     on_count: Callable[[int, int], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Fault alerts for a stream of readings; the peers of a reading are those of its micro-batch.
+    """Fault alerts for a stream of readings; the peers of a reading are all readings of its time `bucket`.
 
+    A bucket is judged when the watermark has passed it, so its alerts do not depend on which readings came together.
     `on_count` is told the micro-batch id and its number of faults, counted while they are written.
     """
+    found = faults.detect_faults_stream(readings, bucket, leave_one_out, threshold, delay)
 
     def report(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
-        found = faults.detect_faults(batch, bucket, leave_one_out, threshold)
-        sink.write(faults.counted(faults.alerts(found, threshold), seen), schemas.TOPICS["faults"], batch_id)
+        sink.write(faults.counted(faults.alerts(batch, threshold), seen), schemas.TOPICS["faults"], batch_id)
         if on_count:
             on_count(batch_id, seen.get["fault_count"])
 
-    return _for_each(readings, _held(report), f"{checkpoints}/faults", trigger)
+    return _for_each(found, report, f"{checkpoints}/faults", trigger)
 
 
 def start_tilt_control(
@@ -193,20 +197,6 @@ def await_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def _held(report: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Keep a micro-batch while it is read more than once, so the source is read once, and clean up after it."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            with session.scratch(batch.sparkSession):
-                report(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    return run
-
-
 def _for_each(stream: DataFrame, work: Callable, checkpoint: str, trigger: dict) -> StreamingQuery:
     with session.state_settings(stream.sparkSession):
         return _start(stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint), trigger)

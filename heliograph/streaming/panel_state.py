@@ -15,8 +15,8 @@ from heliograph.operators import health
 # The processor travels to the executors whole, so they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# The time is kept in microseconds, which no worker's time zone changes.
-STATE = "is_broken BOOLEAN, broken_since BIGINT, reason STRING"
+# Times are kept in microseconds, which no worker's time zone changes.
+STATE = "is_broken BOOLEAN, broken_since BIGINT, reason STRING, last_window BIGINT"
 
 CHANGES = (
     "panel_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_efficiency DOUBLE, avg_temperature DOUBLE, "
@@ -29,19 +29,24 @@ class PanelHealth(StatefulProcessor):
     """Emits a panel's status after each of its windows and remembers the last one.
 
     The rules have been applied in the JVM already; here is only what depends on the panel's past. A micro-batch may
-    deliver windows in any order, so they are put in time order first. What is held for that is one row per closed
-    window of the panel, as copies of a window are dropped while they are read.
+    deliver windows in any order, so they are put in time order first. A window that does not begin after the last one
+    of an earlier micro-batch came too late, or was sent again, and is rejected. What is held at once is one row per
+    new window of the panel in the micro-batch, which `max_per_batch` of the source bounds.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        windows = next(rows)
-        for more in rows:
-            windows = pd.concat([windows, more]).drop_duplicates()
-        windows = windows.drop_duplicates().sort_values("window_start", ignore_index=True)
-        was_broken, since, reason = (self._last.get() if self._last.exists() else None) or (False, None, None)
+        state = self._last.get() if self._last.exists() else None
+        was_broken, since, reason, seen = state or (False, None, None, None)
+        parts = []
+        for part in rows:
+            new = part if seen is None else part[part["window_start"] > pd.Timestamp(seen, unit="us")]
+            parts.append(new.drop_duplicates())
+        windows = pd.concat(parts).drop_duplicates().sort_values("window_start", ignore_index=True)
+        if windows.empty:
+            return
 
         broken = windows["is_broken"].astype(bool)
         before = broken.shift(fill_value=bool(was_broken))
@@ -58,10 +63,11 @@ class PanelHealth(StatefulProcessor):
         windows.loc[~broken & before, "change"] = "recovered"
 
         last = windows.iloc[-1]
+        at = last["window_start"].value // 1000
         if last["is_broken"]:
-            self._last.update((True, last["broken_since"].value // 1000, last["reason"]))
+            self._last.update((True, last["broken_since"].value // 1000, last["reason"], at))
         else:
-            self._last.update((False, None, None))
+            self._last.update((False, None, None, at))
         yield windows.rename(columns={"avg_temp": "avg_temperature"})[_COLUMNS]
 
     def close(self) -> None:
@@ -71,7 +77,8 @@ class PanelHealth(StatefulProcessor):
 def panel_changes(stats: DataFrame, clock: Column | None = None) -> DataFrame:
     """Status of every panel after each of its windows, from a stream of window statistics.
 
-    Same rows as `health.timeline` gives for a table. Needs the RocksDB state store on the session.
+    Same rows as `health.timeline` gives for a table of the accepted windows: those that begin after every window of
+    their panel in earlier micro-batches. Needs the RocksDB state store on the session.
     """
     return (
         health.classify(stats, clock)

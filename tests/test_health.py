@@ -182,3 +182,18 @@ def test_status_versions(spark, status, tmp_path):
     assert tables.latest_version(spark, base) == 2
     assert rows(tables.read_status(spark, base), "panel_id") == [("p1",)]
     assert tables.read_version(spark, base, 1).count() == 3
+
+
+def test_nan_fires_no_rule(spark):
+    nan = float("nan")
+    windows = [("p0", 0, nan, 90.0, 5.0), ("p1", 0, 50.0, nan, 5.0), ("p2", 0, 7.0, 20.0, nan), ("p3", 0, nan, nan, nan)]
+    found = health.classify(stats_frame(spark, windows)).select("panel_id", "reason_code")
+    assert rows(found) == [("p0", 3), ("p1", 0), ("p2", 0), ("p3", 0)]
+
+
+def test_advance_rejects_older_and_resent_windows(spark):
+    first = [("p0", 5, 50.0, 20.0, 500.0), ("p1", 5, 3.0, 20.0, 500.0)]
+    again = [("p0", 2, 3.0, 20.0, 500.0), ("p0", 5, 50.0, 20.0, 500.0), ("p1", 6, 50.0, 20.0, 500.0)]
+    current = health.latest_status_by_window(stats_frame(spark, first))
+    found = health.advance_status(current, stats_frame(spark, again)).drop(health.LAST_WINDOW)
+    assert rows(found) == rows(health.latest_status(stats_frame(spark, [*first, again[2]])))

@@ -65,10 +65,9 @@ def test_steep_panel_still_gets_half_of_the_light(spark):
     assert [r.p for r in found] == [144.0, 0.0]
 
 
-def test_day_phase_and_clear_sky(spark):
+def test_day_phase(spark):
     df = spark.createDataFrame([(at(0),), (at(-12 * 3600),)], "t TIMESTAMP")
-    found = df.select(scalars.day_phase(F.col("t")), F.round(scalars.clear_sky_irradiance(F.col("t")), 6)).collect()
-    assert [tuple(r) for r in found] == [(0.5, 1000.0), (0.0, 0.0)]
+    assert [r[0] for r in df.select(scalars.day_phase(F.col("t"))).collect()] == [0.5, 0.0]
 
 
 def test_times_as_text_and_back(spark):
@@ -85,10 +84,14 @@ def test_times_as_text_and_back(spark):
 
 
 def test_numbers_from_text(spark):
-    texts = ["3.5", " 7 ", "1e3", "-2", "abc", "", "1.5d", "1.5F", "2f ", None]
-    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    """As Python's float() reads decimal text."""
+    good = ["3.5", " 7 ", "1e3", "-2", "+.5", "5.", "1_0", "1_000.2_5e1_0", "inf", "-Infinity", "\t8\n"]
+    bad = ["abc", "", " ", "1.5d", "1.5F", "2f ", "0x1p3", "0x10", "_1", "1_", "1__0", "1e", ".", "1,5", None]
+    df = spark.createDataFrame([(t,) for t in good + bad], "t STRING")
     found = [r[0] for r in df.select(scalars.parse_number(F.col("t"))).collect()]
-    assert found == [3.5, 7.0, 1000.0, -2.0, None, None, None, None, None, None]
+    assert found == [float(t) for t in good] + [None] * len(bad)
+    nan = spark.createDataFrame([("nan",)], "t STRING").select(scalars.parse_number(F.col("t"))).first()[0]
+    assert nan != nan
 
 
 def test_epoch_id(spark):

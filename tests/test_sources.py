@@ -84,14 +84,15 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
 
 def test_state_settings_are_given_back(spark):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    key, number = "spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key), spark.conf.get(number)
+    spark.conf.set(number, "200")
     try:
         with session.state_settings(spark):
-            assert spark.conf.get(key) == session.ROCKSDB
-            assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+            assert (spark.conf.get(key), spark.conf.get(number)) == (session.ROCKSDB, "200")
+            with session.state_partitions(spark, 7):
+                assert spark.conf.get(number) == "7"
+        assert spark.conf.get(number) == "200"
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert spark.conf.get(key) == before
+        spark.conf.set(number, before[1])
+    assert spark.conf.get(key) == before[0]

@@ -1,14 +1,13 @@
 """Streams over folders of message files: same answers as the batch operators, late rows, restarts, keyed state."""
 
 import json
-import pathlib
 import random
 
 import pytest
 from helpers import at, readings_frame, rows, stats_frame
 from pyspark.sql import functions as F
 
-from heliograph import schemas, session
+from heliograph import schemas
 from heliograph.functions import wire
 from heliograph.operators import faults, health, stats, telemetry, tilt, training
 from heliograph.sources import brokers, tables
@@ -151,7 +150,7 @@ def test_status_table_follows_the_stream(spark, setup):
     assert tables.versions(spark, status) == [1, 2]
     assert rows(tables.read_status(spark, status)) == rows(health.latest_status(stats_frame(spark, windows)))
     early = stats_frame(spark, [w for w in windows if w[1] < 20])
-    assert rows(tables.read_version(spark, status, 1)) == rows(health.latest_status(early))
+    assert rows(tables.read_version(spark, status, 1)) == rows(health.latest_status_by_window(early))
 
 
 def _reading_stream(spark, path, readings):
@@ -159,28 +158,48 @@ def _reading_stream(spark, path, readings):
     return spark.readStream.schema(readings.schema).parquet(path)
 
 
-def test_fault_alerts_per_batch(spark, setup):
-    _, out, checkpoints, base = setup
-    batches = [_readings(spark, 0, n=30), _readings(spark, 7200, n=30)]
-    counts = {}
-    options = {"bucket": "1 hour", "threshold": 15.0, "on_count": counts.__setitem__, **ONCE}
-    for readings in batches:
-        stream = _reading_stream(spark, f"{base}/readings", readings)
-        jobs.start_fault_alerts(stream, out, checkpoints, **options).awaitTermination()
-    found = out.history(spark, schemas.TOPICS["faults"])
-    wanted = [faults.alerts(faults.detect_faults(b, "1 hour", threshold=15.0), 15.0) for b in batches]
-    keyed = lambda df: sorted((r.key, json.loads(r.value)["timestamp"]) for r in df.collect())
-    assert keyed(found) == keyed(wanted[0].unionAll(wanted[1])) and found.count() > 0
-    assert counts == {0: wanted[0].count(), 1: wanted[1].count()}
+def test_late_and_resent_windows_do_not_turn_a_status_back(spark, setup):
+    """A healthy window, then an older broken one and the same one again in later micro-batches."""
+    source, _, checkpoints, base = setup
+    drops = [
+        [("p0", 1, 50.0, 20.0, 500.0), ("p1", 1, 3.0, 20.0, 500.0)],
+        [("p0", 5, 50.0, 20.0, 500.0), ("p1", 2, 3.0, 20.0, 500.0)],
+        [("p0", 2, 3.0, 20.0, 500.0), ("p1", 2, 3.0, 20.0, 500.0), ("p1", 0, 50.0, 20.0, 500.0)],
+        [("p0", 5, 50.0, 20.0, 500.0), ("p1", 3, 50.0, 20.0, 500.0)],
+    ]
+    for drop in drops:
+        _publish(spark, source, drop)
+        jobs.start_panel_changes(spark, source, f"{base}/changes", checkpoints, **ONCE).awaitTermination()
+        jobs.start_panel_status(spark, source, f"{base}/status", checkpoints, **ONCE).awaitTermination()
+    accepted = stats_frame(spark, drops[0] + drops[1] + drops[3][1:])
+    found = spark.read.parquet(f"{base}/changes")
+    assert rows(found) == rows(health.timeline(accepted), *found.columns)
+    assert rows(tables.read_status(spark, f"{base}/status")) == rows(health.latest_status(accepted))
 
 
-def test_a_fault_batch_leaves_no_scratch_tables(spark, setup):
+@pytest.mark.parametrize("leave_one_out", [False, True])
+def test_faults_do_not_depend_on_micro_batches(spark, setup, leave_one_out):
+    """Readings of an hour in several micro-batches and two starts, an hour that stays open, and late readings."""
     _, out, checkpoints, base = setup
-    shared = pathlib.Path(session.shared_root(spark))
-    before = set(shared.glob("groups-*"))
-    stream = _reading_stream(spark, f"{base}/readings", _readings(spark, 0, n=30))
-    jobs.start_fault_alerts(stream, out, checkpoints, bucket="1 hour", threshold=15.0, **ONCE).awaitTermination()
-    assert set(shared.glob("groups-*")) == before
+    whole = _readings(spark, 0, n=60, panels=4, step=500)
+    path, counts = f"{base}/readings", {}
+    options = {"bucket": "1 hour", "threshold": 15.0, "leave_one_out": leave_one_out, "on_count": counts.__setitem__}
+    times = F.unix_seconds("timestamp") - F.lit(int(at(0).timestamp()))
+    cuts = [0, 900, 2500, 4100, 9000]
+    parts = [whole.where((times >= a) & (times < b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    late = parts[0].withColumn("power_dc_w", F.lit(1e6))
+    for number, part in enumerate([*parts, late]):
+        part.coalesce(1).write.mode("append").parquet(path)
+        if number in (1, 3, 4):
+            stream = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(path)
+            jobs.start_fault_alerts(stream, out, checkpoints, **options, **ONCE).awaitTermination()
+    last = whole.agg(F.max("timestamp")).first()[0].timestamp() - 10
+    wanted = faults.detect_faults(whole, "1 hour", leave_one_out, 15.0)
+    wanted = wanted.where(F.unix_seconds("peer_time") + 3600 <= last)
+    keyed = lambda df: sorted((r.key, json.loads(r.value)["timestamp"]) for r in df.collect())
+    found = out.history(spark, schemas.TOPICS["faults"])
+    assert keyed(found) == keyed(faults.alerts(wanted, 15.0)) and found.count() > 0
+    assert sum(counts.values()) == found.count()
 
 
 def test_control_commands_from_live_readings(spark, setup):

@@ -1,5 +1,7 @@
 import json
+import struct
 from datetime import datetime
+from decimal import Decimal
 
 from helpers import at, readings_frame, rows
 from pyspark.sql import functions as F
@@ -83,28 +85,48 @@ def test_resent_messages_multiply_and_are_counted(spark):
     counted = telemetry.enrich_counted(frames)
     assert plain.count() == 18
     assert counted.count() == 6
-    assert rows(counted.groupBy("copies").count()) == [(2.0, 3), (4.0, 3)]
+    assert rows(counted.groupBy("copies").count()) == [(Decimal(2), 3), (Decimal(4), 3)]
     assert rows(telemetry.expand_copies(counted, block=3)) == rows(plain)
     weighted = stats.window_stats(counted, copies="copies")
     assert rows(weighted) == rows(stats.window_stats(plain))
 
 
-def test_hot_readings_are_found_and_give_the_same_rows(spark, monkeypatch, tmp_path):
+def _bits(df):
+    """Rows with every double as its bytes, so that -0.0 is not 0.0."""
+    return sorted(
+        (tuple(struct.pack("d", v) if isinstance(v, float) else v for v in r) for r in df.collect()), key=repr
+    )
+
+
+def test_hot_readings_are_found_and_give_the_same_rows(spark, monkeypatch):
     frames = _frames(spark)
     hot = frames["temperature"].limit(1).crossJoin(spark.range(300)).drop("id")
     frames["temperature"] = frames["temperature"].unionAll(hot)
     keyless = frames["power_dc"].withColumn("panel_id", F.lit(None).cast("string"))
     frames["power_dc"] = frames["power_dc"].unionAll(keyless.crossJoin(spark.range(300)).drop("id"))
-    monkeypatch.setattr(skew, "SMALL_TABLE_BYTES", 0)
+    frames["irradiance"] = frames["irradiance"].withColumn("irradiance_w_m2", F.lit(-0.0))
+    frames["power_ac"] = frames["power_ac"].unionAll(frames["power_ac"].withColumn("power_ac_w", F.lit(0.0)))
+    frames["power_ac"] = frames["power_ac"].unionAll(frames["power_ac"].withColumn("power_ac_w", F.lit(-0.0)))
     assert not skew.has_hot_key(list(frames.values()), schemas.KEYS)
-    monkeypatch.setattr(skew, "HOT_ROWS", 100)
-    assert skew.has_hot_key([frames["temperature"]], schemas.KEYS)
-    assert not skew.has_hot_key([frames["power_dc"]], schemas.KEYS)
+    assert skew.has_hot_key([frames["temperature"]], schemas.KEYS, 100)
+    assert not skew.has_hot_key([frames["power_dc"]], schemas.KEYS, 100)
+    plain = telemetry.enrich(frames)
     monkeypatch.setattr(telemetry, "enrich", None)
-    found = telemetry.enrich_table(frames)
+    found = telemetry.enrich_table(frames, hot_rows=100)
     monkeypatch.undo()
-    assert rows(found) == rows(telemetry.enrich(frames))
-    assert rows(telemetry.enrich_table(frames)) == rows(found)
+    assert _bits(found) == _bits(plain) and plain.count() > 300
+    assert _bits(telemetry.enrich_table(frames)) == _bits(plain)
+
+
+def test_copies_are_counted_exactly(spark):
+    """More copies than a double can count: 3**34 has 17 digits, and their product with 2 and 1 is exact."""
+    one = {k: f.limit(1) for k, f in _frames(spark).items()}
+    counted = telemetry.enrich_counted(one)
+    big = counted.withColumn("copies", F.lit(3**34).cast(telemetry.WHOLE))
+    assert big.first()["copies"] == Decimal(3**34)
+    assert dict(counted.dtypes)["copies"] == "decimal(38,0)"
+    few = counted.withColumn("copies", F.lit(1234).cast(telemetry.WHOLE))
+    assert telemetry.expand_copies(few, block=10).count() == 1234 * counted.count()
 
 
 def test_fan_out_and_back(spark):
