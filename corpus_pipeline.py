@@ -1,8 +1,9 @@
 """A training-data pipeline over `documents`, in five stages that each call one operator.
 
 Each stage takes (spark, docs, sf_dir), reads `docs` as the stage before wrote it, and returns a table. All but the last
-return the columns of `docs`. Texts that are NULL or empty are rejected by the first stage, as it wants 20 words;
-repeated rows are near-duplicates and leave one; extra columns go along; no documents give no rows.
+return the columns of `docs`. Files tell the rows of `docs` apart, so no stage copies it first. Texts that are NULL or
+empty are rejected by the first stage, as it wants 20 words; repeated rows are near-duplicates and leave one; extra
+columns go along; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -25,17 +26,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least doc_id."""
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, from_files=True)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated; all others stay as they are."""
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"), from_files=True)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets replaced; `n_chars`, where there is one, follows the text."""
-    redacted = secret_scans.redact(docs)
+    redacted = secret_scans.redact(docs, from_files=True)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         redacted = redacted.withColumn("n_chars", F.char_length("text").cast(kind))

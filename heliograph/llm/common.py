@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heliograph import session
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Python handles this many bytes of text at a time.
@@ -27,6 +30,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def told_apart(docs: DataFrame, name: str, from_files: bool) -> DataFrame:
+    """`docs` with a column `name` that tells its rows apart and is the same at every reading.
+
+    The rows of a table read `from_files` have it already: file and place in it. That does not change when executors
+    are lost or files are cut otherwise. Any other table is written with numbered rows.
+    """
+    if from_files and "_metadata" not in docs.columns:
+        try:
+            return docs.withColumn(name, F.struct("_metadata.file_path", "_metadata.row_index"))
+        except AnalysisException:  # not from files after all
+            pass
+    return session.materialise(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of `value`, with `value` computed once per row however often `body` names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

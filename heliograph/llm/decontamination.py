@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from heliograph import session
-from heliograph.llm.common import LOWER, UPPER, fresh, strings, table
+from heliograph.llm.common import LOWER, UPPER, fresh, strings, table, told_apart
 
 WINDOW, COVERAGE = 13, 20
 
@@ -65,7 +66,7 @@ class Automaton:
                 state = self._extend(state, word)
                 path.append(state)
             ends.append([(number, s) for s in path])
-        # `whole[s]`: of the windows that end with s's words, the length and the items, longest first.
+        # `windows[s]`: the windows whose last words are those of state s, as length and items.
         self.names = [name for name, _ in items]
         self.windows: dict[int, dict[int, set[int]]] = {}
         for path in ends:
@@ -245,7 +246,7 @@ def contamination(
     """
     spark = docs.sparkSession
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    kind = chosen.schema["id"].dataType.simpleString()
+    kind = chosen.schema["id"].dataType.simpleString()  # may be a struct
     automata = [
         spark.sparkContext.broadcast(a)
         for a in blocks(benchmark, window, block_words, item_column, item_text_column)
@@ -275,6 +276,19 @@ def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
     return pd.Series(made, dtype=object)
 
 
+def _kept(held: Broadcast, at: int, coverage: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def contaminated(text: str | None) -> bool:
+        cut = words(text or "")
+        n_hit = sum(b - a for a, b in held.value.hits(cut)[0])
+        return n_hit > 0 and coverage * n_hit >= len(cut)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not contaminated(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return run
+
+
 def clean(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -283,14 +297,22 @@ def clean(
     coverage: int = COVERAGE,
     block_words: int = BLOCK_WORDS,
     text_column: str = "text",
+    from_files: bool = False,
 ) -> DataFrame:
     """The rows of `docs` that are not contaminated, with all their columns, whatever their names.
 
     Of those that stay, hit spans of more than `longest` words are cut out of the text; None leaves every text as it is.
-    Rows are numbered in a written copy of `docs`. NULL and empty texts stay.
+    NULL and empty texts stay. Where one automaton holds the whole benchmark and nothing is to be cut, rows are dropped
+    where they are read. Otherwise findings are joined to the rows, which takes a second reading of `docs`; unless it is
+    a table read `from_files`, it is written first.
     """
+    if longest is None:
+        automata = list(islice(blocks(benchmark, window, block_words, "item_id", "text"), 2))
+        if len(automata) < 2:
+            held = docs.sparkSession.sparkContext.broadcast((automata or [Automaton([], window)])[0])
+            return docs.mapInArrow(_kept(held, docs.columns.index(text_column), coverage), docs.schema)
     row = fresh(docs, "row")
-    numbered = session.materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = told_apart(docs, row, from_files)
     found = contamination(numbered, benchmark, window, coverage, block_words, row, text_column)
     if longest is None:
         return numbered.join(found.filter("contaminated").select(row), row, "left_anti").drop(row)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from heliograph import session
-from heliograph.llm.common import fresh, strings, table
+from heliograph.llm.common import fresh, strings, table, told_apart
 
 # Parts complete each other if they begin at most this many code points apart.
 SCOPE = 200
@@ -41,7 +41,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _WEAK = {
     "secret": re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{32,88}={0,2}(?![A-Za-z0-9+/=])"),
-    "identifier": re.compile(r"(?ai:access_?key_?id|client_?id|account_?id|username|login)[\"']?\x20*[:=]\x20*[\"']?[\w.@-]{3,64}"),
+    "identifier": re.compile(
+        r"(?ai:access_?key_?id|client_?id|account_?id|username|login)[\"']?\x20*[:=]\x20*[\"']?[\w.@-]{3,64}"
+    ),
     "endpoint": re.compile(r"\b(?:[a-z][a-z0-9+.-]{1,19}://[^\s\"'<>]{4,}|[a-z0-9.-]{1,100}\.amazonaws\.com)"),
 }
 
@@ -149,39 +151,62 @@ def scan(docs: DataFrame, scope: int = SCOPE, id_column: str = "doc_id", text_co
 def written(spans: Column) -> Column:
     """Spans as text: kind:start:end, comma-joined."""
     names = F.array(*map(F.lit, KINDS))
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))),
-        ",",
-    )
+
+    def one(span: Column) -> Column:
+        return F.concat_ws(":", F.get(names, span["kind"]), span["start"].cast("string"), span["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, one), ",")
+
+
+def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with every span replaced by its kind in brackets; overlapping spans by the first one's."""
+    done, at = [], 0
+    for start, kind, end in spans:
+        if start >= at:
+            done += [text[at:start], f"[{KINDS[kind]}]"]
+        at = max(at, end)
+    return "".join([*done, text[at:]])
 
 
 def _masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    def mask(text: str, found) -> str:
-        done, at = [], 0
-        for s in found:
-            if s["start"] >= at:
-                done += [text[at : s["start"]], f"[{KINDS[s['kind']]}]"]
-            at = max(at, s["end"])
-        return "".join([*done, text[at:]])
-
-    return pd.Series(
-        [t if f is None or not len(f) else mask(t, f) for t, f in zip(texts, spans, strict=True)], dtype=object
-    )
+    found = [[(s["start"], s["kind"], s["end"]) for s in own] for own in spans]
+    return pd.Series([mask(t, f) for t, f in zip(texts, found, strict=True)], dtype=object)
+
+
+def _parted(at: int, weak: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows with weak spans as they are, or the other rows with their sure spans masked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            base = [base_spans(t or "") for t in texts]
+            chosen = [bool(weak_spans(t or "", b)) == weak for t, b in zip(texts, base, strict=True)]
+            if not weak:
+                done = [mask(t, b) if b else t for t, b in zip(texts, base, strict=True)]
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(done, batch.schema.field(at).type))
+            yield batch.filter(pa.array(chosen, pa.bool_()))
+
+    return run
 
 
-def redact(docs: DataFrame, scope: int = SCOPE, text_column: str = "text") -> DataFrame:
+def redact(docs: DataFrame, scope: int = SCOPE, text_column: str = "text", from_files: bool = False) -> DataFrame:
     """`docs` with every reported span replaced by its kind in brackets; overlapping spans by the first one's.
 
-    All columns and rows are kept, whatever their names; a text without spans, or NULL, is not touched. Rows are
-    numbered in a written copy of `docs`.
+    All columns and rows are kept, whatever their names; a text without spans, or NULL, is not touched. Texts without
+    weak spans are done where they are read. Only the others are joined with what linking has found; for that their
+    rows are told apart, and unless `docs` is a table read `from_files`, they are written first.
     """
+    at = docs.columns.index(text_column)
+    plain = docs.mapInArrow(_parted(at, weak=False), docs.schema)
     row = fresh(docs, "row")
-    numbered = session.materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    found = scan(numbered, scope, row, text_column).filter(F.size("spans") > 0)
+    numbered = told_apart(docs, row, from_files)
+    doubtful = numbered.mapInArrow(_parted(at, weak=True), numbered.schema)
+    found = scan(doubtful, scope, row, text_column)
     spans = fresh(numbered, "spans")
-    joined = numbered.join(found.select(F.col(row), F.col("spans").alias(spans)), row, "left")
+    joined = doubtful.join(found.select(F.col(row), F.col("spans").alias(spans)), row)
     masked = F.pandas_udf(_masked, StringType())
-    return joined.withColumn(text_column, masked(F.col(text_column), F.col(spans))).select(*docs.columns)
+    linked = joined.withColumn(text_column, masked(text_column, spans)).select(*docs.columns)
+    return plain.unionByName(linked)
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

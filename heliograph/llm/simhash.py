@@ -17,9 +17,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from heliograph import session
-from heliograph.llm.common import LOWER, UPPER, fresh, strings, table
+from heliograph.llm.common import LOWER, UPPER, fresh, strings, table, told_apart
 from heliograph.llm.components import components
 
 SHINGLE, BITS, SEED = 3, 2, 42
@@ -80,8 +81,8 @@ def _fingerprints(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 def fingerprints(docs: DataFrame, columns: list[str], text_column: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The given columns and `point`: the fingerprint as a signed 64-bit number."""
     chosen = docs.select(*columns, F.col(text_column).alias("text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(_fingerprints(shingle), f"{fields}, point bigint")
+    made = StructType([*chosen.schema.fields[:-1], StructField("point", LongType())])
+    return chosen.mapInArrow(_fingerprints(shingle), made)
 
 
 def _distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -267,14 +268,19 @@ def simhash_groups(
 
 
 def one_of_each(
-    docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    from_files: bool = False,
 ) -> DataFrame:
     """The rows of `docs`, one of each component: the least id, and of rows with this id the first row.
 
-    All columns are kept, whatever their names. Rows are numbered in a written copy of `docs`. NULL ids come last.
+    All columns are kept, whatever their names. NULL ids come last. `docs` is read twice, for fingerprints and for what
+    stays; unless it is a table read `from_files`, it is written first.
     """
     row = fresh(docs, "row")
-    numbered = session.materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = told_apart(docs, row, from_files)
     chosen = numbered.select(F.col(id_column).alias("id"), F.col(row).alias("row"), F.col(text_column).alias("text"))
     marked = fingerprints(chosen, ["id", "row"], "text", shingle)
     best = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("best")
