@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from heliograph.llm import decontamination, license_scans, packing, quality_rules, secret_scans, sharding, simhash, token_counts, url_filters, warc
+from heliograph.llm import (
+    decontamination,
+    license_scans,
+    packing,
+    quality_rules,
+    secret_scans,
+    sharding,
+    simhash,
+    token_counts,
+    url_filters,
+    warc,
+)
 
 QUERIES = {
     f.__name__: f

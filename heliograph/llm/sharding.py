@@ -92,7 +92,9 @@ def assign(
     )
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, key_column: str = "doc_id", text_column: str = "text") -> None:
+def write_shards(
+    docs: DataFrame, path: str, limit: int = SHARD_BYTES, key_column: str = "doc_id", text_column: str = "text"
+) -> None:
     """Write `docs` as one Parquet folder per shard below `path`, by the column "shard"; an empty prefix is "all"."""
     placed = assign(docs, limit, key_column, text_column)
     shard = placed.columns[-4]

@@ -45,7 +45,8 @@ def test_archives_are_whole_and_hold_the_payloads(spark):
     assert len(files) >= 3
     for f in files:
         with gzip.open(os.path.join(path, f)) as stream:
-            assert stream.read().startswith(b"WARC/1.1\r\n")
+            data = stream.read()  # a task without rows leaves an archive without records
+            assert not data or data.startswith(b"WARC/1.1\r\n")
     records = warc.read_records(spark, path, payloads=True).filter("type = 'response'").collect()
     assert sorted(bytes(r["payload"]).decode() for r in records) == sorted(h for _, _, h in rows)
 
