@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliograph import session
-from heliograph.llm.common import table
+from heliograph.llm.common import fresh, table, told_apart
 
 CRLF = "\r\n"
 
@@ -69,16 +69,18 @@ def _one_line(text: Column) -> Column:
     return F.when(bad, F.replace(F.url_encode(safe), F.lit("+"), F.lit("%20"))).otherwise(safe)
 
 
-def plan_captures(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
+def plan_captures(pages: DataFrame, least: int = REVISIT_BYTES, from_files: bool = False) -> DataFrame:
     """Rows (row, page_id, url, payload, digest, first_row): `first_row` is that of the response a revisit refers to.
 
     Of the captures with one payload of at least `least` bytes, that with the largest page_id is the response, and of
     these, if rows repeat, the last row; NULL ids come first. Payloads are compared by SHA-256. Only the digests of
-    payloads met twice are joined, so a payload that a third of all captures share is spread by a skew join.
+    payloads met twice are joined, so a payload that a third of all captures share is spread by a skew join. `pages` is
+    read twice; unless it is a table read `from_files`, its rows are written first.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"),
+    row = fresh(pages, "row")
+    rows = told_apart(pages, row, from_files).select(
+        F.col(row).alias("row"),
         "page_id",
         "url",
         payload.alias("payload"),
@@ -97,17 +99,23 @@ def plan_captures(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
         "first_row", F.when(F.col("first_row") != F.col("row"), F.col("first_row"))
     )
     return joined.drop("same").unionByName(
-        small.drop("same").withColumn("first_row", F.lit(None).cast("bigint"))
+        small.drop("same").withColumn("first_row", F.when(F.lit(False), F.col("row")))
     )
 
 
-def write_archives(pages: DataFrame, path: str, least: int = REVISIT_BYTES, per_file: int = FILE_CAPTURES) -> None:
+def write_archives(
+    pages: DataFrame,
+    path: str,
+    least: int = REVISIT_BYTES,
+    per_file: int = FILE_CAPTURES,
+    from_files: bool = False,
+) -> None:
     """Write every row of `pages` (page_id, url, html) as three records into gzip archives below `path`.
 
     The payload is the html in UTF-8, NULL as empty. NULL urls become empty and odd characters in them are encoded.
     The committed output of failed tasks is left to Spark's writer. Extra columns are not read.
     """
-    c = plan_captures(pages, least)
+    c = plan_captures(pages, least, from_files)
     capture, uri = _urn("capture", F.col("row")), _one_line(F.col("url"))
     target = _header("WARC-Target-URI", uri)
     digest = _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))
@@ -251,7 +259,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page, read the archives back, and tell what became of each page."""
     pages = table(spark, sf_dir, "pages")
     path = session.run_dir(spark, "archives")
-    write_archives(pages, path)
+    write_archives(pages, path, from_files=True)
     captures = session.materialise(assemble(read_records(spark, path)), "captures")
     kind = pages.schema["page_id"].dataType
     return resolve(captures).select(
