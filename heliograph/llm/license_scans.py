@@ -1,12 +1,14 @@
 """License scans by conditional compression: which template, given as a dictionary, makes a block the smallest.
 
 Blocks of lines around license words are candidates. Each is compressed alone and with every template as a raw
-dictionary; templates are ranked by how much smaller the block gets, and the best ones are confirmed by comparing words.
+dictionary; templates are ranked by how much smaller the block gets, and confirmed by comparing words.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
@@ -27,8 +29,8 @@ _CUE = re.compile(CUE, re.I | re.A)
 # that no template confirms is tried again with WIDE characters after it, as a notice may run over lines without cues.
 AROUND, BLOCK, WIDE = 300, 8000, 700
 
-# Templates compared word by word, best first, and the largest share of a template's words that may differ.
-CONFIRMED, DIFFERING = 3, 0.15
+# The largest share of a template's words that may be missing, and that may be put between them.
+DIFFERING = 0.15
 
 LEVEL = 9
 
@@ -107,6 +109,7 @@ class Templates:
         self.names = [name for name, _, _ in templates]
         self.wording = [words(text) for _, text, _ in templates]
         self.keys = [key.split() for _, _, key in templates]
+        self.most = [int(DIFFERING * len(own) + (len(own) < 20)) for own in self.wording]
         raw = zstandard.DICT_TYPE_RAWCONTENT
         self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.given = [
@@ -124,24 +127,93 @@ class Templates:
         gains = [(1 - len(c.compress(data)) / alone, i) for i, c in enumerate(self.given)]
         return sorted(gains, key=lambda x: (-x[0], x[1]))
 
+    def matches(self, block: list[str], i: int) -> list[tuple[int, int, list[str], list[str]]]:
+        """(first word, end, missing words, words between) of the places where the block has the wording of template `i`.
+
+        Places do not overlap and are in order; of those that would, the one with fewer differing words is taken. Every
+        place holds all key words, so only stretches around the rarest of them are compared.
+        """
+        own, keys, most = self.wording[i], Counter(self.keys[i]), self.most[i]
+        if any(block.count(key) < n for key, n in keys.items()):
+            return []
+        rare = min(keys, key=block.count)
+        before = len(own) - 1 - own[::-1].index(rare) + most  # from its last place in the wording
+        after = len(own) - own.index(rare) + most
+        stretches: list[list[int]] = []
+        for at in (j for j, w in enumerate(block) if w == rare):
+            start, end = max(0, at - before), at + after
+            if stretches and start <= stretches[-1][1]:
+                stretches[-1][1] = end
+            else:
+                stretches.append([start, end])
+        found = []
+        for start, end in stretches:
+            part = block[start:end]
+            if sum((Counter(own) & Counter(part)).values()) >= len(own) - most:
+                found += [(start + x, start + y, *rest) for x, y, *rest in self._aligned(part, i)]
+        return found
+
+    def _aligned(self, part: list[str], i: int) -> list[tuple[int, int, list[str], list[str]]]:
+        """`matches` of a stretch: the fewest words between for every number of missing ones, over pairs of equal words."""
+        own, keys, most = self.wording[i], Counter(self.keys[i]), self.most[i]
+        at: dict[str, list[int]] = {}
+        for j, word in enumerate(part):
+            at.setdefault(word, []).append(j)
+        must = [k for k, w in enumerate(own) if own.count(w) == keys[w]]
+        skips = lambda a, b: any(a < k < b for k in must)
+        best: dict[tuple[int, int], dict[int, tuple[int, tuple | None]]] = {}
+        for k, word in enumerate(own):
+            back = [q for q in range(max(0, k - 1 - most), k) if not skips(q, k)]
+            for j in at.get(word, ()):
+                here: dict[int, tuple[int, tuple | None]] = {} if k > most or skips(-1, k) else {k: (0, None)}
+                for q in back:
+                    places = at.get(own[q], [])
+                    for x in places[bisect_left(places, j - 1 - most) : bisect_left(places, j)]:
+                        for missing, (added, _) in best.get((q, x), {}).items():
+                            less, more = missing + k - q - 1, added + j - x - 1
+                            if less <= most and more <= most and (less not in here or more < here[less][0]):
+                                here[less] = (more, (q, x, missing))
+                if here:
+                    best[k, j] = here
+        ends = sorted(
+            (missing + len(own) - 1 - k + added, j, k, missing)
+            for (k, j), here in best.items()
+            if not skips(k, len(own))
+            for missing, (added, _) in here.items()
+            if missing + len(own) - 1 - k <= most
+        )
+        found: list[tuple[int, int, list[str], list[str]]] = []
+        for _, j, k, missing in ends:
+            if any(x <= j < y for x, y, _, _ in found):
+                continue
+            met, step = {}, (k, j, missing)
+            while step:
+                met[step[0]] = step[1]
+                step = best[step[0], step[1]][step[2]][1]
+            start, kept = min(met.values()), Counter(own[x] for x in met)
+            if any(x < j + 1 and start < y for x, y, _, _ in found) or keys - kept:
+                continue
+            between = [part[x] for x in range(start, j + 1) if x not in set(met.values())]
+            found.append((start, j + 1, [w for x, w in enumerate(own) if x not in met], between))
+        return sorted(found)
+
     def differences(self, block: list[str], i: int) -> tuple[bool, list[str], list[str]]:
         """Whether the block has the wording of template `i`; its words that are missing, and words put between them."""
+        for _, _, missing, added in self.matches(block, i):
+            return True, missing, added
         own = self.wording[i]
         runs = [m for m in SequenceMatcher(None, own, block, autojunk=False).get_matching_blocks() if m.size]
         met = {k for m in runs for k in range(m.a, m.a + m.size)}
         missing = [w for k, w in enumerate(own) if k not in met]
         added = [w for x, y in zip(runs, runs[1:], strict=False) for w in block[x.b + x.size : y.b]]
-        kept = [own[k] for k in sorted(met)]
-        whole = all(kept.count(key) >= self.keys[i].count(key) for key in self.keys[i])
-        near = max(len(missing), len(added)) <= DIFFERING * len(own) + (len(own) < 20)
-        return whole and near, missing, added
+        return False, missing, added
 
 
 def _best(primed: Templates, block: list[str]) -> tuple[bool, float, int, str]:
     """Confirmed or not, gain, template and differing words of the best template for a block."""
     ranked = primed.ranked(block)
-    found = [(gain, i, *primed.differences(block, i)) for gain, i in ranked[:CONFIRMED]]
-    gain, i, sure, missing, added = next((f for f in found if f[2]), found[0])
+    gain, i = next(((gain, i) for gain, i in ranked if primed.matches(block, i)), ranked[0])
+    sure, missing, added = primed.differences(block, i)
     return sure, round(gain, 6), i, " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in added])
 
 

@@ -1,4 +1,6 @@
+import itertools
 import random
+from collections import Counter
 
 import pytest
 
@@ -50,3 +52,66 @@ def test_very_long_text(spark):
     assert all(r["end"] - r["start"] <= scans.BLOCK + scans.WIDE for r in rows)
     covered = sum(r["end"] - r["start"] for r in rows)
     assert covered >= len(text) - len(rows) * 2
+
+
+LEGAL = (
+    "The parties agree that no warranty of any kind, express or implied, shall apply to the software or its documentation, "
+    "and that permission to copy, modify, publish and distribute this work in source or binary form is subject to the "
+    "following conditions, provided that the copyright holder keeps the notice in all copies of the program, "
+)
+PLAIN = "we walked along the river for an hour and then had a long lunch with old friends from the village near the lake, "
+
+
+@pytest.mark.parametrize("n", range(len(scans.TEMPLATES)))
+@pytest.mark.parametrize("prose", [PLAIN, LEGAL])
+def test_every_template_in_long_prose_lines(n, prose):
+    primed = scans.Templates(scans.TEMPLATES)
+    text = prose * 4 + scans.TEMPLATES[n][1] + " " + prose * 4
+    found = {primed.names[row[4]] for row in scans.notices(text, primed) if row[2]}
+    assert scans.TEMPLATES[n][0] in found
+
+
+@pytest.mark.parametrize("n", range(len(scans.TEMPLATES)))
+def test_every_template_in_merged_blocks(n):
+    primed = scans.Templates(scans.TEMPLATES)
+    lines = ["no warranty of any kind is given", "the copyright notice in the source must stay", "the public license applies"]
+    text = "\n".join(lines * 8 + [scans.TEMPLATES[n][1].replace("\n", " ")] + lines * 8)
+    assert len(scans.blocks(text)) == 1
+    found = {primed.names[row[4]] for row in scans.notices(text, primed) if row[2]}
+    assert scans.TEMPLATES[n][0] in found
+
+
+def test_matches_equal_brute_force():
+    rnd = random.Random(6)
+    primed = scans.Templates((("X", "a b c d a e f g", "c"), ("Y", "k a l", "k l")))
+
+    def within(kept, part):
+        rest = iter(part)
+        return all(w in rest for w in kept)
+
+    def fits(i, part):  # some choice of missing words leaves all key words and a rest that the part has in order
+        own, most = primed.wording[i], primed.most[i]
+        for n in range(most + 1):
+            for kept in itertools.combinations(own, len(own) - n):
+                if len(part) - len(kept) <= most and not Counter(primed.keys[i]) - Counter(kept) and within(kept, part):
+                    return True
+        return False
+
+    seen = set()
+    for _ in range(600):
+        i = rnd.randrange(2)
+        block = list(primed.wording[i])
+        for _ in range(rnd.randrange(5)):
+            at = rnd.randrange(len(block))
+            block[at : at + rnd.randrange(2)] = rnd.choices("abcdefgkl", k=rnd.randrange(2))
+        block = rnd.choices("abcdefgkl", k=rnd.randrange(6)) + block + rnd.choices("abcdefgkl", k=rnd.randrange(6))
+        places = primed.matches(block, i)
+        for start, end, missing, added in places:
+            assert max(len(missing), len(added)) <= primed.most[i]
+            assert end - start == len(primed.wording[i]) - len(missing) + len(added)
+        spans = [(x, y) for x in range(len(block)) for y in range(x + 1, len(block) + 1) if fits(i, block[x:y])]
+        assert bool(places) == bool(spans)
+        # Every place that is left out overlaps one that is taken.
+        assert all(any(x < end and start < y for start, end, _, _ in places) for x, y in spans)
+        seen.add((i, bool(places)))
+    assert len(seen) == 4
