@@ -1,7 +1,8 @@
 """License scans by conditional compression: which template, given as a dictionary, makes a block the smallest.
 
 Blocks of lines around license words are candidates. Each is compressed alone and with every template as a raw
-dictionary; templates are ranked by how much smaller the block gets, and confirmed by comparing words.
+dictionary; templates are ranked by how much smaller the block gets, and confirmed by comparing words. Every place that a
+template has in a block is a notice, so several licenses side by side are all found.
 """
 
 from __future__ import annotations
@@ -24,9 +25,10 @@ CUE = (
     r"|creative commons|\bcc0|\bcc by"
 )
 _CUE = re.compile(CUE, re.I | re.A)
+_MARKS = re.compile(r"[^\w\s]*")  # what ends a sentence belongs to its last word
 
-# A longer line is a candidate only this far around its cues; merged lines are cut into blocks of about BLOCK. A block
-# that no template confirms is tried again with WIDE characters after it, as a notice may run over lines without cues.
+# A longer line is a candidate only this far around its cues; merged lines are cut into blocks of about BLOCK. Notices
+# are looked for up to WIDE characters after a block, as they may run over lines without cues.
 AROUND, BLOCK, WIDE = 300, 8000, 700
 
 # The largest share of a template's words that may be missing, and that may be put between them.
@@ -82,8 +84,11 @@ TEMPLATES = (
 )
 
 
+_WORD = re.compile(r"[^\W_]+")
+
+
 def words(text: str) -> list[str]:
-    return re.findall(r"[^\W_]+", text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
@@ -127,6 +132,11 @@ class Templates:
         gains = [(1 - len(c.compress(data)) / alone, i) for i, c in enumerate(self.given)]
         return sorted(gains, key=lambda x: (-x[0], x[1]))
 
+    def gain(self, block: list[str], i: int) -> float:
+        """The share for one template."""
+        data = " ".join(block).encode()
+        return 1 - len(self.given[i].compress(data)) / len(self.alone.compress(data))
+
     def matches(self, block: list[str], i: int) -> list[tuple[int, int, list[str], list[str]]]:
         """(first word, end, missing words, words between) of the places where the block has the wording of template `i`.
 
@@ -209,27 +219,64 @@ class Templates:
         return False, missing, added
 
 
-def _best(primed: Templates, block: list[str]) -> tuple[bool, float, int, str]:
-    """Confirmed or not, gain, template and differing words of the best template for a block."""
-    ranked = primed.ranked(block)
-    gain, i = next(((gain, i) for gain, i in ranked if primed.matches(block, i)), ranked[0])
-    sure, missing, added = primed.differences(block, i)
-    return sure, round(gain, 6), i, " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in added])
+def _places(primed: Templates, block: list[str]) -> list[tuple[int, int, int, list[str], list[str]]]:
+    """(first word, end, template, missing words, words between) of all notices that words confirm, in order.
+
+    Of places that overlap, the one with the most met words, less two for every differing one, is taken, and then the
+    one whose template saves the block most. What lies between the places taken is searched again for others.
+    """
+    met = [(x, y, i, less, more) for i in range(len(primed.names)) for x, y, less, more in primed.matches(block, i)]
+    if not met:
+        return []
+    rank = {i: n for n, (_, i) in enumerate(primed.ranked(block))}
+    met.sort(key=lambda p: (3 * len(p[3]) + 2 * len(p[4]) - len(primed.wording[p[2]]), rank[p[2]], p[0]))
+    owned, taken = set(), []
+    for place in met:
+        own = range(place[0], place[1])
+        if owned.isdisjoint(own):
+            owned.update(own)
+            taken.append(place)
+    taken.sort()
+    found = list(taken)
+    for x, y in zip([0, *(p[1] for p in taken)], [*(p[0] for p in taken), len(block)], strict=True):
+        found += [(x + first, x + end, *rest) for first, end, *rest in _places(primed, block[x:y])]
+    return sorted(found)
 
 
 def notices(text: str, primed: Templates) -> Iterator[tuple[int, int, bool, float, int, str]]:
-    """(start, end, confirmed, gain, template, differences) of the candidate blocks of a text."""
+    """(start, end, confirmed, gain, template, differences) of every confirmed notice of a text, and of what else of its
+    candidate blocks has a license word."""
     done = 0
-    for start, end in blocks(text):
+    spans = blocks(text)
+    for (start, end), (following, _) in zip(spans, [*spans[1:], (len(text) + 1, 0)], strict=True):
         if end <= done:
-            continue  # part of a notice that was confirmed
-        best = _best(primed, words(text[start:end]))
-        if not best[0]:
-            wide = _best(primed, words(text[start : end + WIDE]))
-            if wide[0]:
-                best, end = wide, min(len(text), end + WIDE)
-        yield start, end, *best
-        done = end if best[0] else done
+            continue  # inside a notice that was confirmed
+        at = max(start, done)
+        said = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text, at, min(len(text), end + WIDE))]
+        block = [w for w, _, _ in said]
+        # A notice that begins in the next block is left to it.
+        met = [p for p in _places(primed, block) if said[p[0]][1] < following]
+        for first, after, i, missing, added in met:
+            begin, until = said[first][1], said[after - 1][2]
+            until = _MARKS.match(text, until).end()
+            yield from _others(text, at, min(begin, end), primed)
+            data = block[first:after]
+            yield begin, until, True, round(primed.gain(data, i), 6), i, _written(missing, added)
+            at = done = until
+        yield from _others(text, at, end, primed)
+
+
+def _others(text: str, start: int, end: int, primed: Templates) -> Iterator[tuple[int, int, bool, float, int, str]]:
+    """The unconfirmed candidate that a stretch without notices is, if it has a license word."""
+    if start < end and _CUE.search(text, start, end):
+        block = words(text[start:end])
+        gain, i = primed.ranked(block)[0]
+        _, missing, added = primed.differences(block, i)
+        yield start, end, False, round(gain, 6), i, _written(missing, added)
+
+
+def _written(missing: list[str], added: list[str]) -> str:
+    return " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in added])
 
 
 def _scan(templates: tuple) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -253,14 +300,15 @@ def _scan(templates: tuple) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 def scan(
     docs: DataFrame, templates: tuple = TEMPLATES, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per candidate block: id, block (from 0), start and end in code points, license, template, gain,
-    confirmed, differences.
-
-    `license` is that of the best template that its words confirm, or else of the best by `gain`, the share of the
-    compressed size saved, and then `confirmed` is false. `differences` lists the template's missing words with "-" and
-    words between the met ones with "+". Texts without a license word, so NULL and empty ones, give no row. Repeated
-    rows and NULL ids stay; other columns are not read. Whole texts are searched where they are read, without a shuffle;
-    a text takes time in proportion to its length.
+    """One row per notice, and per rest of a candidate block that has a license word: id, block (from 0, in order),
+    start and end in code points, license, template, gain, confirmed, differences.
+
+    Every place that the words of a template confirm is a row of its own, from its first met word to the marks after its
+    last one; of places that overlap, the best. In the other rows `confirmed` is false and `license` is that of the best
+    template by `gain`, the share of the row's compressed size saved. `differences` lists the template's missing words
+    with "-" and words between the met ones with "+". Texts without a license word, so NULL and empty ones, give no row.
+    Repeated rows and NULL ids stay; other columns are not read. Whole texts are searched where they are read, without a
+    shuffle; a text takes time in proportion to its length.
     """
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = chosen.schema["id"].dataType.simpleString()

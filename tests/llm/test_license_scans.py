@@ -115,3 +115,50 @@ def test_matches_equal_brute_force():
         assert all(any(x < end and start < y for start, end, _, _ in places) for x, y in spans)
         seen.add((i, bool(places)))
     assert len(seen) == 4
+
+
+def _found(text):
+    primed = scans.Templates(scans.TEMPLATES)
+    return [(primed.names[row[4]] if row[2] else None, text[row[0] : row[1]]) for row in scans.notices(text, primed)]
+
+
+def test_notices_on_adjacent_lines():
+    lines = [
+        "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "All rights reserved.",
+        "The other license is not known here.", "All rights reserved.",
+    ]
+    text = "\n".join(lines)
+    assert len(scans.blocks(text)) == 1
+    assert _found(text) == [
+        ("Apache-2.0", lines[0]), ("MIT", lines[1]), ("reserved", lines[2]), (None, f"\n{lines[3]}\n"), ("reserved", lines[4])
+    ]
+
+
+def test_notices_in_one_line():
+    text = "It is Released under the MIT License. Or Licensed under CC BY-SA 4.0, as you wish. " + PLAIN
+    assert [x for x in _found(text) if x[0]] == [
+        ("MIT", "Released under the MIT License."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0,")
+    ]
+
+
+@pytest.mark.parametrize("between", [1, 300, 600, 900])
+def test_notices_near_each_other(between):
+    wrapped = next(t for _, t, key in scans.TEMPLATES if key == "permission sublicense software")
+    gap = "\n" + (PLAIN * 10)[:between] + "\n"
+    text = wrapped + gap + "Released under the ISC License." + gap + "Licensed under CC BY 4.0."
+    assert len(scans.blocks(wrapped)) > 1  # widened
+    assert _found(text) == [("MIT", wrapped), ("ISC", "Released under the ISC License."), ("CC-BY-4.0", "Licensed under CC BY 4.0.")]
+
+
+def test_every_pair_of_templates():
+    primed = scans.Templates(scans.TEMPLATES)
+    for (one, first, _), (two, second, _) in itertools.permutations(scans.TEMPLATES, 2):
+        for gap in ("\n", "\n\n" + "word " * 20 + "\n"):
+            rows = [row for row in scans.notices(first + gap + second, primed) if row[2]]
+            assert [primed.names[row[4]] for row in rows] == [one, two], (first, second, gap)
+
+
+def test_overlapping_places_give_the_best():
+    text = "This work is licensed under the GNU Lesser General Public License, version 2.1"
+    assert _found(text)[0][0] == "LGPL" and len(_found(text)) == 1
+    assert [name for name, _ in _found("Licensed under CC BY-SA 4.0.")] == ["CC-BY-SA-4.0"]
