@@ -19,7 +19,8 @@ from pyspark.sql.types import StringType
 from heliograph import session
 from heliograph.llm.common import fresh, strings, table, told_apart
 
-# Parts complete each other if they begin at most this many code points apart.
+# Parts complete each other if they begin at most this many code points apart. A part that is longer than that reaches
+# as far beyond its end.
 SCOPE = 200
 
 # Kinds in the order in which spans of one start are listed; those after `hex` are weak.
@@ -40,11 +41,11 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _WEAK = {
-    "secret": re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{32,88}={0,2}(?![A-Za-z0-9+/=])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/=])"),
     "identifier": re.compile(
-        r"(?ai:access_?key_?id|client_?id|account_?id|username|login)[\"']?\x20*[:=]\x20*[\"']?[\w.@-]{3,64}"
+        r"(?ai:access_?key_?id|client_?id|account_?id|username|login)[\"']?\x20*[:=]\x20*[\"']?[\w.@-]{3,}"
     ),
-    "endpoint": re.compile(r"\b(?:[a-z][a-z0-9+.-]{1,19}://[^\s\"'<>]{4,}|[a-z0-9.-]{1,100}\.amazonaws\.com)"),
+    "endpoint": re.compile(r"\b(?:[a-z][a-z0-9+.-]{1,19}://[^\s\"'<>]{4,}|[a-z0-9.-]{1,253}\.amazonaws\.com)"),
 }
 
 SPAN = "struct<start: bigint, kind: int, end: bigint>"
@@ -103,17 +104,26 @@ def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
 def _near(parts: DataFrame, others: DataFrame, scope: int) -> DataFrame:
     """The parts that have one of `others` of the same row within the scope.
 
-    Both sides are dealt by row and stretch of text, so neither a long text nor a row with very many parts meets in one
-    task, and spans that do not overlap bound the pairs of a stretch.
+    Both sides are dealt by row and the stretches of text that they reach, so neither a long text nor a row with very many
+    parts meets in one task, and spans that do not overlap bound the pairs of a stretch.
     """
-    stretch = F.floor(F.col("start") / scope)
-    keyed = parts.withColumn("stretch", stretch)
+    long = F.col("end") - F.col("start") > scope
+    first = F.floor(F.col("start") / scope)
+    last = F.floor((F.col("end") + scope) / scope)
+    keyed = parts.withColumn("stretch", F.explode(F.sequence(first, F.when(long, last).otherwise(first))))
     reached = others.select(
-        "row", F.col("start").alias("other"), F.explode(F.sequence(stretch - 1, stretch + 1)).alias("stretch")
+        "row",
+        F.col("start").alias("other"),
+        F.when(long, F.col("end")).alias("other_end"),
+        F.explode(F.sequence(first - 1, F.when(long, last).otherwise(first + 1))).alias("stretch"),
     )
-    near = F.abs(keyed["start"] - reached["other"]) <= scope
+    start, end, other, other_end = keyed["start"], keyed["end"], reached["other"], reached["other_end"]
+    after = (other >= start) & (end - start > scope) & (other - end <= scope)
+    before = (start >= other) & other_end.isNotNull() & (start - other_end <= scope)
+    near = (F.abs(start - other) <= scope) | after | before
     same = (keyed["row"] == reached["row"]) & (keyed["stretch"] == reached["stretch"])
-    return keyed.join(reached, same & near, "left_semi").drop("stretch")
+    met = keyed.join(reached, same & near, "left_semi").drop("stretch")
+    return met.dropDuplicates(["row", "start", "kind", "end"])  # a long part is dealt to several stretches
 
 
 def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
