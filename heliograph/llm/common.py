@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -49,16 +49,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def by_bytes(texts: list[str], most: int = BATCH_BYTES) -> Iterator[slice]:
-    """Cut a list of texts into runs of about `most` characters; a longer text is a run of its own."""
+def by_bytes(sizes: Sequence[int], most: int = BATCH_BYTES) -> Iterator[slice]:
+    """Cut a list of texts, given by their bytes, into runs of at most `most` bytes; a longer text is a run of its own."""
     start = held = 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > most:
+    for i, size in enumerate(sizes):
+        if i > start and held + size > most:
             yield slice(start, i)
             start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield slice(start, len(texts))
+        held += size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
 
 
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:

@@ -1,10 +1,11 @@
-"""Token counts: texts are encoded in Arrow batches, and only lengths come back."""
+"""Token counts: Arrow batches are cut by bytes, their texts encoded one by one, and only lengths come back."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +19,13 @@ VOCABULARY, LIMIT = "byte_bpe_50k.json", 512
 def _lengths(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, names = strings(batch, "text"), batch.column("id")
-            for part in by_bytes(texts):
-                counts = [sum(len(x) for x in segments.ids(path, text)) for text in texts[part]]
-                sizes = [len(text.encode()) for text in texts[part]]
-                some = names.slice(part.start, part.stop - part.start)
+            sizes = pc.fill_null(pc.cast(pc.binary_length(batch.column("text")), pa.int64()), 0)
+            for part in by_bytes(sizes.to_pylist()):
+                own = batch.slice(part.start, part.stop - part.start)
+                counts = [sum(len(x) for x in segments.ids(path, text)) for text in strings(own, "text")]
+                some = sizes.slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays(
-                    [some, pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"]
+                    [own.column("id"), some, pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"]
                 )
 
     return run
@@ -36,8 +37,9 @@ def count_tokens(
     """One row per row of `docs`: its id, bytes in UTF-8, tokens, and whether these exceed `limit`.
 
     No shuffle: rows are counted where they are read. A NULL or empty text has 0 bytes and 0 tokens; repeated rows and
-    NULL ids stay; other columns are not read; no rows give no rows. Batches hold about 1 MiB of text, and longer texts
-    are encoded in pieces cut at safe boundaries, so memory is bounded by one text.
+    NULL ids stay; other columns are not read; no rows give no rows. Slices of at most 1 MiB of UTF-8, or one
+    longer text, are made Python strings at a time; longer texts are encoded in pieces cut at safe boundaries. Memory is
+    thus bounded by Spark's Arrow batch and one text or slice.
     """
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = chosen.schema["id"].dataType.simpleString()

@@ -4,10 +4,12 @@ import zlib
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from heliograph.llm import packing, segments, token_counts
+from heliograph.llm.common import strings
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -61,6 +63,18 @@ def test_other_vocabularies(name):
         assert got == [model.encode(t) for t in ODD]
 
 
+def test_slices_are_cut_by_bytes(monkeypatch):
+    """Each slice alone becomes Python strings, and is weighed in UTF-8."""
+    made = []
+    monkeypatch.setattr(token_counts, "strings", lambda batch, c: made.append(batch.column(c).to_pylist()) or strings(batch, c))
+    texts = ["日本" * 100_000, "é" * 300_000, None, "", "ab" * 100_000, "日" * 500_000, "x"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(7)), "text": pa.array(texts, pa.string())})
+    found = pa.Table.from_batches(list(token_counts._lengths(PATH)(iter([batch])))).to_pydict()
+    assert made == [[texts[0]], texts[1:5], [texts[5]], [texts[6]]]
+    assert found["id"] == list(range(7)) and found["n_bytes"] == [len((t or "").encode()) for t in texts]
+    assert found["n_tokens"] == [len(_ids(t or "")) for t in texts]
+
+
 def test_counts(spark, library):
     rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(None, None, None), (3, "x ", "x"), (3, "w " * 600, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
