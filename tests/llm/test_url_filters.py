@@ -52,6 +52,16 @@ def test_held_out_names(spark, model):
     assert right >= 0.9 * len(rows)
 
 
+def test_given_hosts_left_out_of_the_table(spark):
+    """Hosts of the given pages, judged by a model that has not seen their names."""
+    left = u.labelled_urls(spark, without=u.GIVEN)
+    assert u.labelled_urls(spark).count() - left.count() == 6 * len(u.GIVEN)
+    assert not left.filter(u.F.col("url").rlike("|".join(rf"[/.]{n}[.]" for n in u.GIVEN))).count()
+    rows = [(i, f"http://{n}.example.org/en/{i}") for i, n in enumerate(u.GIVEN)]
+    judged = u.judge(spark.createDataFrame(rows, "page_id long, url string"), u.fit(left)).collect()
+    assert all((r["score"] >= 0.5) == ("-" in u.GIVEN[r["page_id"]]) for r in judged)
+
+
 def test_long_repeated_and_missing(spark, model):
     rows = [(1, "http://h.org/" + "ab" * 100_000), (2, "x"), (2, "x"), (None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
