@@ -1,8 +1,9 @@
 """Best-fit packing of documents into sequences, with a certificate per partition.
 
 Documents are dealt to partitions of a bounded number of pieces. Each is packed by best-fit decreasing and compared with
-lower bounds from dual feasible functions. A partition whose bins equal its bound is proven optimal and done. The others
-exchange their documents, by another dealing, and are packed again, for as long as that saves sequences.
+lower bounds from dual feasible functions. A partition whose bins equal its bound is proven optimal. The others exchange
+their documents, by another dealing, and are packed again, for as long as that saves sequences and there are more than the
+bound of all pieces. A single one exchanges with certified partitions.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ from heliograph.llm.common import strings, table
 
 VOCABULARY, CAPACITY, END = "byte_bpe_50k.json", 2048, 0
 
-# Pieces dealt to one partition, and how often partitions with a gap exchange documents at most. More rounds can only
-# save further sequences; every round leaves a whole packing.
-DEALT, ROUNDS = 50_000, 4
+# Pieces dealt to one partition, and how many certified partitions take part when only one has a gap.
+DEALT, BESIDE = 50_000, 3
 
 PIECE = ["piece", "start", "length", "ids_crc32"]
 PLACED = "piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint, gap bigint"
@@ -84,9 +84,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     f_e: lengths over capacity - e count as a whole bin, those below e as nothing. u_k: a length x counts as
     floor((k + 1) x / capacity) of k parts of a bin, or as x / capacity where (k + 1) x divides evenly. Whole numbers only.
     """
-    if not len(lengths):
-        return 0
-    n = np.bincount(lengths, minlength=capacity + 1)
+    return _bound(np.bincount(lengths, minlength=capacity + 1), capacity) if len(lengths) else 0
+
+
+def _bound(n: np.ndarray, capacity: int) -> int:
+    """`lower_bound` of `n[x]` pieces of each length x."""
     size = np.arange(capacity + 1)
     below, weight = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * size)])
     e = np.arange(capacity // 2 + 1)
@@ -144,11 +146,12 @@ def _packed(items: DataFrame, n: int, first: int, capacity: int, dealt: int) ->
     return session.materialise(placed, "packed"), parts
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, dealt: int = DEALT, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, dealt: int = DEALT, rounds: int | None = None) -> DataFrame:
     """Give every piece a sequence and an offset in it: the columns of `pieces`, sequence_id, offset, gap.
 
     `gap` is how many sequences the partition of the piece has above its proven lower bound; 0 certifies it. Sequences
-    are without holes from 0. Equal lengths go in any order. `pieces` should be a written table, as it is read twice.
+    are without holes from 0. Equal lengths go in any order. Partitions exchange pieces for at most `rounds`, or as long
+    as it saves sequences; every round leaves a whole packing. `pieces` should be a written table, as it is read thrice.
     """
     full = pieces.filter(F.col("length") == capacity).select(
         "id",
@@ -158,24 +161,33 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, dealt: int = DEALT, rounds
         F.lit(0).cast("bigint").alias("gap"),
     )
     items = pieces.filter(F.col("length") < capacity).select("id", *PIECE)
-    packed, first = _packed(items, items.count(), 0, capacity, dealt)
-    done = [full]
-    for _ in range(rounds):
-        open_rows = packed.filter("gap > 0")
-        n, had, parts = open_rows.agg(
-            F.count("*"), F.count_if(F.col("offset") == 0), F.count_distinct(F.shiftright("sequence_id", 25))
-        ).first()
-        if parts < 2:
-            break
-        again, more = _packed(open_rows.select("id", *PIECE), n, first, capacity, dealt)
+    sizes = np.zeros(capacity + 1, np.int64)
+    for length, n in items.groupBy("length").count().collect():
+        sizes[length] = n
+    least = _bound(sizes, capacity) if sizes.any() else 0
+    packed, first = _packed(items, int(sizes.sum()), 0, capacity, dealt)
+    total, part = packed.filter("offset = 0").count(), F.shiftright("sequence_id", 25)
+    while total > least and rounds != 0:
+        chosen = F.col("gap") > 0
+        found = packed.filter(chosen).select(F.count_distinct(part)).first()[0]
+        if found < 2:
+            room = capacity * F.count_if(F.col("offset") == 0) - F.sum("length")
+            others = packed.filter("gap = 0").groupBy(part.alias("part")).agg(room.alias("room"))
+            names = [r["part"] for r in others.orderBy(F.desc("room"), "part").limit(BESIDE).collect()]
+            if not found or not names:
+                break
+            chosen = chosen | part.isin(names)
+        own = packed.filter(chosen)
+        n, had = own.agg(F.count("*"), F.count_if(F.col("offset") == 0)).first()
+        again, more = _packed(own.select("id", *PIECE), n, first, capacity, dealt)
         first += more
-        if again.filter("offset = 0").count() >= had:
+        saved = had - again.filter("offset = 0").count()
+        if saved <= 0:
             break
-        done.append(packed.filter("gap = 0"))
-        packed = again
-    for part in done:
-        packed = packed.unionByName(part)
-    return packed
+        total -= saved
+        packed = packed.filter(~chosen).unionByName(again)
+        rounds = rounds if rounds is None else rounds - 1
+    return packed.unionByName(full)
 
 
 def pack_documents(

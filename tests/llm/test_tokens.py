@@ -162,3 +162,18 @@ def test_partitions_with_a_gap_exchange_documents(spark):
     assert len(once) == len(more) == 3000 and sorted(more["id"]) == list(range(3000))
     assert _checked(more, 100) <= _checked(once, 100)
     assert set(more.columns) == {"id", *packing.PIECE, "sequence_id", "offset", "gap"}
+
+
+def test_a_lone_partition_with_a_gap_exchanges_with_certified_ones(spark):
+    saved = 0
+    for seed, n, low, high in ((1, 60, 15, 45), (14, 60, 15, 45), (17, 120, 5, 50)):
+        rnd = random.Random(seed)
+        assert (rnd.choice([60, 80, 120]), rnd.choice([(10, 60), (5, 50), (15, 45)])) == (n, (low, high))
+        rows = [(i, 0, 0, rnd.randrange(low, high), i) for i in range(n)]
+        pieces = spark.createDataFrame(rows, "id long, piece int, start long, length long, ids_crc32 long").coalesce(1)
+        once = packing.pack(pieces, 100, dealt=20, rounds=0).toPandas()
+        assert once[once.gap > 0].sequence_id.floordiv(1 << 25).nunique() == 1
+        more = packing.pack(pieces, 100, dealt=20).toPandas()
+        assert sorted(more["id"]) == list(range(n))
+        saved += _checked(once, 100) - _checked(more, 100)
+    assert saved > 0
