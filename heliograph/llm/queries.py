@@ -13,6 +13,7 @@ from heliograph.llm import (
     token_counts,
     url_filters,
     warc,
+    whitening,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
         sharding.op8_sharding,
         token_counts.op9_token_counts,
         warc.op10_warc,
+        whitening.op11_embedding_whitening,
     )
 }
 
