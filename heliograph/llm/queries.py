@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from heliograph.llm import (
+    collocations,
     decontamination,
     license_scans,
     packing,
@@ -30,6 +31,7 @@ QUERIES = {
         token_counts.op9_token_counts,
         warc.op10_warc,
         whitening.op11_embedding_whitening,
+        collocations.op12_phrase_collocations,
     )
 }
 
@@ -38,4 +40,5 @@ SQL: dict[str, str] = {
     "op7_benchmark_decontamination": decontamination.SQL,
     "op8_sharding": sharding.SQL,
     "op10_warc": warc.SQL,
+    "op12_phrase_collocations": collocations.SQL,
 }
