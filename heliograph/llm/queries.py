@@ -11,6 +11,7 @@ from heliograph.llm import (
     secret_scans,
     sharding,
     simhash,
+    suffix_dedup,
     token_counts,
     url_filters,
     warc,
@@ -32,6 +33,7 @@ QUERIES = {
         warc.op10_warc,
         whitening.op11_embedding_whitening,
         collocations.op12_phrase_collocations,
+        suffix_dedup.op13_suffix_array_dedup,
     )
 }
 
