@@ -43,4 +43,5 @@ SQL: dict[str, str] = {
     "op8_sharding": sharding.SQL,
     "op10_warc": warc.SQL,
     "op12_phrase_collocations": collocations.SQL,
+    "op13_suffix_array_dedup": suffix_dedup.SQL,
 }
