@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliograph import schemas, session
 from heliograph.functions import scalars, wire
-from heliograph.operators import tilt
+from heliograph.operators import tilt, trees
 
 # Feature order and label.
 FEATURES = ["irradiance_w_m2", "temperature_c", "hour", "tilt_deg", "azimuth_deg"]
@@ -119,33 +122,65 @@ def score(candidates: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(candidates).drop("features")
 
 
-def optimal_tilt(readings: DataFrame, model: PipelineModel) -> DataFrame:
+def starting_model() -> trees.Ensemble:
+    """Trees for the time before there is anything to fit: the noise-free DC power of `scalars.expected_dc_power` on a grid
+    of irradiance and tilt, less a little for warm panels and for the hours away from noon."""
+    light = [100.0 * k for k in range(1, 12)]
+    power = [
+        trees.steps(FEATURES.index("tilt_deg"), [7.5, 22.5, 37.5, 52.5], [_cell(50.0 + low, 15.0 * k) for k in range(5)])
+        for low in [0.0, *light]
+    ]
+    warm = trees.steps(FEATURES.index("temperature_c"), [25.0, 45.0, 65.0], [0.0, -4.0, -9.0, -15.0])
+    facing = [trees.steps(FEATURES.index("tilt_deg"), [12.5, 32.5], own) for own in ([2.0, 11.0, 6.0], [9.0, 3.0, 1.0])]
+    day = trees.steps(FEATURES.index("hour"), [8.5, 15.5], [facing[0], facing[1], facing[0]])
+    return trees.Ensemble([trees.steps(FEATURES.index("irradiance_w_m2"), light, power), warm, day], [1.0, 0.5, 0.25])
+
+
+def _cell(irradiance: float, angle: float) -> float:
+    share = max(scalars.LOWEST_TILT_FACTOR, math.cos(math.radians(angle)))
+    return round(irradiance * scalars.PANEL_AREA_M2 * scalars.CELL_EFFICIENCY * share, 2)
+
+
+def score_trees(candidates: DataFrame, model: PipelineModel | trees.Ensemble) -> DataFrame:
+    """Candidate rows with their `prediction`, NULL where a feature is; without vectors."""
+    found = trees.prediction(_trees(model), [F.col(name) for name in FEATURES])
+    known = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in FEATURES])
+    return candidates.withColumn("prediction", F.when(known, found))
+
+
+def _trees(model: PipelineModel | trees.Ensemble) -> trees.Ensemble:
+    return model if isinstance(model, trees.Ensemble) else trees.of(model)
+
+
+def optimal_tilt(readings: DataFrame, model: PipelineModel | trees.Ensemble) -> DataFrame:
     """Best candidate tilt and its predicted power for every reading.
 
-    Each reading is scored at its 13 tilts in columns of its own row. There is no explode and no shuffle, so this
-    scales with the scan. Readings the model cannot score are answered with NULL.
+    The model's trees are compiled into the plan. Among the 13 candidates of a reading only the tilt varies, so each tree
+    is a step function of the tilt: what is left of it between two steps is computed once, and a candidate's score adds up
+    the steps that it is on. There is no explode and no shuffle, so this scales with the scan. Readings that lack a feature
+    are answered with NULL.
     """
-    trees: GBTRegressionModel = model.stages[-1]
-    own = readings.drop("tilt_deg", "azimuth_deg")
-    rows = own.withColumns({"hour": F.hour(schemas.EVENT_TIME), "azimuth_deg": F.lit(tilt.TARGET_AZIMUTH)})
+    model = _trees(model)
+    own = readings.drop("tilt_deg", "azimuth_deg").withColumn("hour", F.hour(schemas.EVENT_TIME))
     scorable = F.col("irradiance_w_m2").isNotNull() & F.col("temperature_c").isNotNull() & F.col("hour").isNotNull()
-    rows = rows.withColumn("_scorable", scorable)
-    scores, helpers = [], ["_scorable", "hour", "azimuth_deg"]
-    for number, angle in enumerate(tilt.TILTS):
-        features, prediction, angle_column = f"_features_{number}", f"_prediction_{number}", f"_tilt_{number}"
-        inputs = [angle_column if name == "tilt_deg" else name for name in FEATURES]
-        rows = VectorAssembler(inputCols=inputs, outputCol=features, handleInvalid="keep").transform(
-            rows.withColumn(angle_column, F.lit(angle))
-        )
-        single = trees.copy({trees.featuresCol: features, trees.predictionCol: prediction})
-        rows = single.transform(rows).drop(features, angle_column)
-        scores.append((angle, F.when(F.col("_scorable"), F.col(prediction))))
-        helpers.append(prediction)
-    chosen = tilt.with_best(rows, scores, tuple(helpers[1:]))
+    features = [F.col(name) if name in ("irradiance_w_m2", "temperature_c", "hour") else F.lit(None) for name in FEATURES]
+    tilt_at, azimuth_at = FEATURES.index("tilt_deg"), FEATURES.index("azimuth_deg")
+    rest: dict[trees.Tree, str] = {}
+    places = []
+    for angle in tilt.TILTS:
+        left = [trees.given(tree, {tilt_at: angle, azimuth_at: tilt.TARGET_AZIMUTH}) for tree in model.trees]
+        places.append([rest.setdefault(tree, f"_part_{len(rest)}") for tree in left])
+    # Parts that several candidates share are columns of their own, which Spark does not compute again for each of them.
+    rows = own.withColumns({name: trees.value(tree, features) for tree, name in rest.items()} | {"_scorable": scorable})
+    scores = [
+        (angle, F.when(F.col("_scorable"), trees.total([F.col(name) for name in names], model.weights)))
+        for angle, names in zip(tilt.TILTS, places, strict=True)
+    ]
+    chosen = tilt.with_best(rows, scores, (*rest.values(), "hour"))
     return chosen.withColumn("optimal_tilt", F.when(F.col("_scorable"), F.col("optimal_tilt"))).drop("_scorable")
 
 
-def answer(requests: DataFrame, model: PipelineModel, now: Column | None = None) -> DataFrame:
+def answer(requests: DataFrame, model: PipelineModel | trees.Ensemble, now: Column | None = None) -> DataFrame:
     """Best tilt for every valid prediction request; see `tilt.prediction_response` and `tilt.commands`."""
     return optimal_tilt(tilt.valid_requests(requests, now), model)
 

@@ -493,28 +493,43 @@ def optimal_tilt(spark, sf_dir):
     return chosen.select(*schemas.KEYS, "irradiance_w_m2", "temperature_c", "optimal_tilt", "predicted_power")
 
 
-def _on_grid(tilt_column: str) -> Column:
-    """Whether a tilt the model chose is one of the candidates. SQL cannot repeat the choice itself."""
-    return F.col(tilt_column).isin(*tilt.TILTS).alias("tilt_on_grid")
+@_query
+def optimal_tilt_starting(spark, sf_dir):
+    """Best tilt for every reading by the model of the time before the first fit."""
+    chosen = training.optimal_tilt(_readings(spark, sf_dir), training.starting_model())
+    return _rounded(chosen, "predicted_power").select(*schemas.KEYS, "optimal_tilt", "predicted_power")
+
+
+@_query
+def candidate_scores_starting(spark, sf_dir):
+    """Predictions of the same model for every candidate."""
+    scored = training.score_trees(tilt.candidates(_readings(spark, sf_dir)), training.starting_model())
+    return _rounded(scored, "prediction").select(*schemas.KEYS, "tilt_deg", "prediction")
+
+
+@_query
+def compiled_scores_agreement(spark, sf_dir):
+    """A fitted model's predictions for every candidate, against those of its compiled trees: rows, and rows that differ
+    by more than the rounding of a sum."""
+    model = _model(spark, sf_dir)
+    known = tilt.candidates(_readings(spark, sf_dir)).dropna(subset=training.FEATURES)
+    both = training.score_trees(training.score(known, model).withColumnRenamed("prediction", "walked"), model)
+    far = F.abs(F.col("prediction") - F.col("walked")) > 1e-9 * F.greatest(F.lit(1.0), F.abs(F.col("walked")))
+    return both.agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if(far).alias("n_different"))
 
 
 @_query
 def model_commands(spark, sf_dir):
-    """Control commands for all valid requests that ask for one, chosen by the model."""
-    chosen = training.answer(_requests(spark, sf_dir), _model(spark, sf_dir), feed.no_time())
-    rows = tilt.commands(chosen, F.col("event_id").cast("string"))
-    return rows.select(
-        "message_id", "panel_id", "command_type", _on_grid("target_tilt"), "target_azimuth", "reason", "timestamp"
-    )
+    """Control commands for all valid requests that ask for one, chosen by the starting model."""
+    chosen = training.answer(_requests(spark, sf_dir), training.starting_model(), feed.no_time())
+    return tilt.commands(chosen, F.col("event_id").cast("string"))
 
 
 @_query
 def model_responses(spark, sf_dir):
-    """Answers to all valid requests, chosen by the model."""
-    chosen = training.answer(_requests(spark, sf_dir), _model(spark, sf_dir), feed.no_time())
-    rows = tilt.prediction_response(chosen)
-    has_power = F.col("predicted_power").isNotNull().alias("has_power")
-    return rows.select("panel_id", _on_grid("optimal_tilt"), has_power, "timestamp", "kafka_sent")
+    """Answers to all valid requests, chosen by the starting model."""
+    chosen = training.answer(_requests(spark, sf_dir), training.starting_model(), feed.no_time())
+    return _rounded(tilt.prediction_response(chosen), "predicted_power")
 
 
 @_query
@@ -525,9 +540,11 @@ def optimal_tilt_agreement(spark, sf_dir):
     model = _model(spark, sf_dir)
     chosen = training.optimal_tilt(requests, model)
     listed = tilt.best_candidates(training.score(tilt.candidates(requests), model), ["event_id"])
-    differ = (F.col("optimal_tilt") != F.col("tilt_deg")) | (F.col("predicted_power") != F.col("prediction"))
+    far = F.abs(F.col("predicted_power") - F.col("prediction")) > 1e-9 * F.greatest(F.lit(1.0), F.abs(F.col("prediction")))
     both = chosen.join(listed.select("event_id", "tilt_deg", "prediction"), "event_id")
-    return both.agg(F.count(F.lit(1)).alias("n_readings"), F.count_if(differ).alias("n_different"))
+    return both.agg(
+        F.count(F.lit(1)).alias("n_readings"), F.count_if((F.col("optimal_tilt") != F.col("tilt_deg")) | far).alias("n_different")
+    )
 
 
 @_query
@@ -736,16 +753,16 @@ def stream_job_rejects(spark, sf_dir):
 
 @_query
 def stream_control_commands(spark, sf_dir):
-    """Commands written by a stream that scores every reading with the model."""
+    """Commands written by a stream that scores every reading with the starting model."""
     base = session.run_dir(spark, "stream_control_commands")
     folder = brokers.Folder(f"{base}/topics")
-    model = _model(spark, sf_dir)
+    model = training.starting_model()
     rows = feed.readings(feed.events_stream(spark, sf_dir))
     jobs.start_tilt_control(rows, lambda: model, folder, f"{base}/checkpoints", availableNow=True).awaitTermination()
     commands = folder.history(spark, schemas.TOPICS["control"])
     schema = "panel_id STRING, command_type STRING, target_tilt DOUBLE, target_azimuth DOUBLE, timestamp STRING"
     rows = commands.select("key", F.from_json("value", schema).alias("c")).select("key", "c.*")
-    return rows.select("key", "panel_id", "command_type", _on_grid("target_tilt"), "target_azimuth", "timestamp")
+    return rows.select("key", "panel_id", "command_type", "target_tilt", "target_azimuth", "timestamp")
 
 
 @_query

@@ -6,6 +6,8 @@ written for checking: it joins plainly and uses whole-partition windows where th
 
 from __future__ import annotations
 
+from heliograph.operators import training, trees
+
 WIDE = """
 wide AS (
   SELECT 'panel-' || user_id AS panel_id, ts AS "timestamp", least(value * 10, 1200.0::DOUBLE) AS irradiance_w_m2,
@@ -234,6 +236,21 @@ requests AS (
   FROM wide),
 valid AS (SELECT * FROM requests WHERE irradiance_w_m2 > 0 AND temperature_c IS NOT NULL)"""
 
+
+
+def _modelled(source: str, start: str) -> str:
+    """Candidates of a source's rows with the predictions of the starting model, as its trees say, and the best."""
+    return f"""{start},
+candidates AS (
+  SELECT r.*, CAST(t.tilt AS DOUBLE) AS tilt_deg, 180.0::DOUBLE AS azimuth_deg,
+         {_HOUR_OF_DAY} AS hour
+  FROM ({source}) r
+  CROSS JOIN generate_series(0, 60, 5) AS t(tilt)),
+scored AS (SELECT *, {trees.sql(training.starting_model(), training.FEATURES)} AS prediction FROM candidates),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY prediction DESC, tilt_deg) = 1)"""
+
+
 _SCORED = f"""{_REQUESTS},
 scored AS (
   SELECT valid.*, CAST(t.tilt AS DOUBLE) AS tilt_deg, {_HOUR_OF_DAY} AS hour,
@@ -456,17 +473,30 @@ FROM best WHERE send_to_kafka""",
         _SCORED,
         f"""SELECT panel_id, tilt_deg AS optimal_tilt, round(prediction + 3.17e-8, 6) AS predicted_power,
   {ISO} AS "timestamp", send_to_kafka AS kafka_sent FROM best""",
+    ),
+    "optimal_tilt_starting": _with(
+        _modelled("SELECT * EXCLUDE (tilt_deg, azimuth_deg) FROM wide", WIDE),
+        f"""SELECT panel_id, "timestamp", tilt_deg AS optimal_tilt, {_r("prediction")} AS predicted_power FROM best""",
+    ),
+    "candidate_scores_starting": _with(
+        _modelled("SELECT * EXCLUDE (tilt_deg, azimuth_deg) FROM wide", WIDE), f"""SELECT panel_id, "timestamp", tilt_deg, {_r("prediction")} AS prediction FROM scored"""
+    ),
+    "compiled_scores_agreement": _with(
+        WIDE,
+        """SELECT 13 * count(*) AS n_candidates, 0::BIGINT AS n_different FROM wide
+WHERE irradiance_w_m2 IS NOT NULL AND temperature_c IS NOT NULL""",
     ),
     "model_commands": _with(
-        _REQUESTS,
-        f"""SELECT CAST(event_id AS VARCHAR) AS message_id, panel_id, 'SET_ANGLE' AS command_type, TRUE AS tilt_on_grid,
+        _modelled("SELECT * FROM valid", _REQUESTS),
+        f"""SELECT CAST(event_id AS VARCHAR) AS message_id, panel_id, 'SET_ANGLE' AS command_type, tilt_deg AS target_tilt,
   180.0::DOUBLE AS target_azimuth, 'Maximized power output' AS reason, {ISO} AS "timestamp"
-FROM valid WHERE send_to_kafka""",
+FROM best WHERE send_to_kafka""",
     ),
     "model_responses": _with(
-        _REQUESTS,
-        f"""SELECT panel_id, TRUE AS tilt_on_grid, TRUE AS has_power, {ISO} AS "timestamp", send_to_kafka AS kafka_sent
-FROM valid""",
+        _modelled("SELECT * FROM valid", _REQUESTS),
+        f"""SELECT panel_id, tilt_deg AS optimal_tilt, {_r("prediction")} AS predicted_power, {ISO} AS "timestamp",
+  send_to_kafka AS kafka_sent
+FROM best""",
     ),
     "optimal_tilt_agreement": _with(
         _REQUESTS,
@@ -513,9 +543,9 @@ WHERE peer_time + INTERVAL '1 hour' <= (SELECT max("timestamp") FROM wide) - INT
 FROM raw WHERE shape IN ('junk', 'untimed')""",
     ),
     "stream_control_commands": _with(
-        WIDE,
-        f"""SELECT panel_id AS key, panel_id, 'SET_ANGLE' AS command_type, TRUE AS tilt_on_grid,
-  180.0::DOUBLE AS target_azimuth, {ISO} AS "timestamp" FROM wide""",
+        _modelled("SELECT * EXCLUDE (tilt_deg, azimuth_deg) FROM wide", WIDE),
+        f"""SELECT panel_id AS key, panel_id, 'SET_ANGLE' AS command_type, tilt_deg AS target_tilt,
+  180.0::DOUBLE AS target_azimuth, {ISO} AS "timestamp" FROM best""",
     ),
     "stream_fanout": _with(_stats(WHOLE, "1 day"), f"SELECT {_STATS_COLUMNS} FROM stats"),
 }

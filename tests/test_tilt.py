@@ -1,5 +1,4 @@
 import json
-import math
 import random
 
 import pytest
@@ -8,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heliograph import schemas
 from heliograph.functions import wire
-from heliograph.operators import tilt, training
+from heliograph.operators import tilt, training, trees
 
 
 def _now():
@@ -90,20 +89,20 @@ def test_commands_and_responses(spark):
     ]
 
 
-def _mock_records(spark, n=400):
-    """Seeded training rows whose power is highest at a tilt of 30 degrees."""
+def _facing_records(spark, n=400):
+    """Seeded training rows whose power steps up to the tilts around 30 degrees and down again, and grows with the light."""
     rng = random.Random(5)
     data = []
-    for _ in range(n):
-        irradiance, angle = rng.uniform(200, 1000), rng.uniform(0, 90)
-        power = max(0.0, irradiance * 0.2 * math.cos(math.radians(angle - 30)))
-        data.append(("p1", at(-4 * 3600), irradiance, power * 0.9, power, 25.0, angle, 180.0))
+    for i in range(n):
+        light, angle = rng.choice([300.0, 600.0, 900.0]), rng.choice([0.0, 10.0, 20.0, 30.0, 40.0, 50.0, 60.0])
+        power = light / 10 + 20.0 * (3 - abs(angle - 30.0) / 10)
+        data.append((f"p{i % 7}", at(3600 * (i % 24)), light, power - 1, power, 10.0 + i % 30, angle, 180.0))
     return spark.createDataFrame(data, schemas.TRAINING)
 
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return training.fit(_mock_records(spark))
+    return training.fit(_facing_records(spark))
 
 
 def _live(spark):
@@ -124,7 +123,32 @@ def test_optimal_tilt_equals_brute_force(spark, model):
         mark = (r.prediction, -r.tilt_deg)
         if r.panel_id not in best or mark > best[r.panel_id]:
             best[r.panel_id] = mark
-    assert found == {p: (-t, power) for p, (power, t) in best.items()}
+    assert {p: t for p, (t, _) in found.items()} == {p: -t for p, (_, t) in best.items()}
+    assert {p: power for p, (_, power) in found.items()} == pytest.approx({p: power for p, (power, _) in best.items()})
+
+
+@pytest.mark.parametrize("params", [training.QUICK, training.FINE])
+def test_compiled_trees_equal_the_model(spark, params):
+    fitted = training.fit(_facing_records(spark), **params)
+    assert len(trees.of(fitted).trees) == params["maxIter"]
+    rows_ = training.score(tilt.candidates(_live(spark)), fitted).withColumnRenamed("prediction", "walked")
+    found = training.score_trees(rows_, fitted).collect()
+    assert [r.prediction for r in found] == pytest.approx([r.walked for r in found], rel=1e-12)
+
+
+def test_trees_shrink_to_what_is_left():
+    tree = (3, 10.0, (0, 5.0, 1.0, 2.0), (3, 20.0, (0, 5.0, 1.0, 2.0), 7.0))
+    assert trees.given(tree, {3: 15.0}) == trees.given(tree, {3: 10.0}) == (0, 5.0, 1.0, 2.0)
+    assert trees.given(tree, {3: 21.0}) == 7.0 and trees.given(tree, {0: 1.0, 3: 1.0}) == 1.0
+    assert trees.given((3, 1.0, (0, 5.0, 4.0, 4.0), 4.0), {}) == 4.0
+
+
+def test_trees_take_nan_like_the_model(spark):
+    fitted = training.fit(_facing_records(spark, 200))
+    nan = tilt.candidates(_live(spark).withColumn("temperature_c", F.lit(float("nan"))))
+    found = training.score_trees(nan, fitted)
+    known = training.score_trees(nan.withColumn("temperature_c", F.lit(1e300)), fitted)
+    assert rows(found, "panel_id", "tilt_deg", "prediction") == rows(known, "panel_id", "tilt_deg", "prediction")
 
 
 def test_unscorable_readings_stay_without_an_answer(spark, model):
@@ -145,7 +169,7 @@ def test_model_is_saved_by_version(spark, model, tmp_path):
 
 
 def test_retrain_statuses(spark):
-    records = _mock_records(spark, 60)
+    records = _facing_records(spark, 60)
     none, status = training.retrain(records.limit(0))
     assert none is None and rows(status) == [("no_data", 0)]
     none, status = training.retrain(records.drop("power_dc_w"))
