@@ -103,14 +103,18 @@ def write_shards(
     named.repartition(folder).write.partitionBy(folder).parquet(path)
 
 
+# The query's shards are smaller, so that small tables are split as well.
+QUERY_BYTES = 256 << 10
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shard of every document, in shards of 64 MiB of text."""
-    return assign(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    """The shard of every document, in shards of 256 KiB of text."""
+    return assign(table(spark, sf_dir, "documents"), QUERY_BYTES, columns=["doc_id"])
 
 
 SQL = f"""
 WITH keyed AS (
-  SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
+  SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) AS n_bytes,
     lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)), 60, '0') AS bits
   FROM documents
 ),
@@ -118,10 +122,10 @@ buckets AS (
   SELECT d, substr(bits, 1, d) AS prefix, sum(n_bytes) AS bytes, count(*) AS n
   FROM keyed, range(0, 31) AS depths(d) GROUP BY ALL
 ),
-fitting AS (SELECT * FROM buckets WHERE bytes <= {SHARD_BYTES} OR n = 1),
+fitting AS (SELECT * FROM buckets WHERE bytes <= {QUERY_BYTES} OR n = 1),
 shallowest AS (
   SELECT k.doc_id, k.n_bytes, f.prefix AS shard, f.d AS depth, f.bytes AS shard_bytes, f.n AS shard_rows,
-    row_number() OVER (PARTITION BY k.doc_id, k.bits ORDER BY f.d) AS place
+    row_number() OVER (PARTITION BY k.r ORDER BY f.d) AS place
   FROM keyed k JOIN fitting f ON substr(k.bits, 1, f.d) = f.prefix
 )
 SELECT doc_id, n_bytes, shard, CAST(depth AS INTEGER) AS depth, CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_rows
