@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,17 @@ def by_bytes(sizes: Sequence[int], most: int = BATCH_BYTES) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def slices(batch: pa.RecordBatch, column: str | int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most `most` bytes of text, so that only so much of it is made Python strings at a time.
+
+    What Arrow no longer needs is given back after every batch, as Spark keeps its Python workers for the next stages.
+    """
+    sizes = pc.fill_null(pc.cast(pc.binary_length(batch.column(column)), pa.int64()), 0).to_pylist()
+    for part in by_bytes(sizes, most):
+        yield batch.slice(part.start, part.stop - part.start)
+    pa.default_memory_pool().release_unused()
+
+
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     """A text column as Python strings, NULL as the empty text."""
     return [text or "" for text in batch.column(column).to_pylist()]

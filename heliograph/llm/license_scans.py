@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import strings, table
+from heliograph.llm.common import slices, strings, table
 
 CUE = (
     r"licen[sc]e|copyright|rights reserved|permission is hereby|permission to use|warrant(?:y|ies)|public domain|redistribut"
@@ -27,10 +27,6 @@ CUE = (
 _CUE = re.compile(CUE, re.I | re.A)
 _MARKS = re.compile(r"[^\w\s]*")  # what ends a sentence belongs to its last word
 
-# A longer line is a candidate only this far around its cues; merged lines are cut into blocks of about BLOCK. Notices
-# are looked for up to WIDE characters after a block, as they may run over lines without cues.
-AROUND, BLOCK, WIDE = 300, 8000, 700
-
 # The largest share of a template's words that may be missing, and that may be put between them.
 DIFFERING = 0.15
 
@@ -84,6 +80,15 @@ TEMPLATES = (
 )
 
 
+# A longer line is a candidate only this far around its cues, and notices are looked for so far after a block, as they
+# may run over lines without cues: twice the longest wording. Merged lines are cut into blocks of about BLOCK.
+def _reach(templates: tuple[tuple[str, str, str], ...]) -> int:
+    return 2 * max(len(text) for _, text, _ in templates)
+
+
+REACH = _reach(TEMPLATES)
+BLOCK = 8 * REACH
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -91,16 +96,16 @@ def words(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
+def blocks(text: str, reach: int = REACH) -> list[tuple[int, int]]:
     """Start and end of the candidate blocks of a text."""
     spans: list[list[int]] = []
     for cue in _CUE.finditer(text):
         if spans and cue.end() <= spans[-1][1]:
             continue  # on a line that is taken already
-        start = text.rfind("\n", max(0, cue.start() - AROUND), cue.start()) + 1 or max(0, cue.start() - AROUND)
-        end = text.find("\n", cue.end(), cue.end() + AROUND)
-        end = min(len(text), cue.end() + AROUND) if end < 0 else end
-        if spans and start <= spans[-1][1] + 1 and end - spans[-1][0] <= BLOCK:
+        start = text.rfind("\n", max(0, cue.start() - reach), cue.start()) + 1 or max(0, cue.start() - reach)
+        end = text.find("\n", cue.end(), cue.end() + reach)
+        end = min(len(text), cue.end() + reach) if end < 0 else end
+        if spans and start <= spans[-1][1] + 1 and end - spans[-1][0] <= 8 * reach:
             spans[-1][1] = end
         else:
             spans.append([max(start, spans[-1][1]) if spans else start, end])
@@ -112,6 +117,7 @@ class Templates:
 
     def __init__(self, templates: tuple[tuple[str, str, str], ...]):
         self.names = [name for name, _, _ in templates]
+        self.reach = _reach(templates)
         self.wording = [words(text) for _, text, _ in templates]
         self.keys = [key.split() for _, _, key in templates]
         self.most = [int(DIFFERING * len(own) + (len(own) < 20)) for own in self.wording]
@@ -125,11 +131,17 @@ class Templates:
             for own in self.wording
         ]
 
-    def ranked(self, block: list[str]) -> list[tuple[float, int]]:
+    def able(self, block: list[str]) -> list[int]:
+        """The templates whose key words the block has; no other one can match."""
+        there = Counter(block)
+        return [i for i, own in enumerate(self.keys) if not Counter(own) - there]
+
+    def ranked(self, block: list[str], among: list[int] | None = None) -> list[tuple[float, int]]:
         """Share of its compressed size that the block loses given each template, largest first; ties by order."""
         data = " ".join(block).encode()
         alone = len(self.alone.compress(data))
-        gains = [(1 - len(c.compress(data)) / alone, i) for i, c in enumerate(self.given)]
+        chosen = range(len(self.given)) if among is None else among
+        gains = [(1 - len(self.given[i].compress(data)) / alone, i) for i in chosen]
         return sorted(gains, key=lambda x: (-x[0], x[1]))
 
     def gain(self, block: list[str], i: int) -> float:
@@ -222,20 +234,21 @@ class Templates:
 def _places(primed: Templates, block: list[str]) -> list[tuple[int, int, int, list[str], list[str]]]:
     """(first word, end, template, missing words, words between) of all notices that words confirm, in order.
 
-    Of places that overlap, the one with the most met words, less two for every differing one, is taken, and then the
-    one whose template saves the block most. What lies between the places taken is searched again for others.
+    Templates whose key words are there are ranked by the size that the block loses, and confirmed down that ranking: first
+    those that some place has word for word, then those with differing words. A place that overlaps one taken before is
+    left. What lies between the places taken is ranked and searched again for others.
     """
-    met = [(x, y, i, less, more) for i in range(len(primed.names)) for x, y, less, more in primed.matches(block, i)]
-    if not met:
-        return []
-    rank = {i: n for n, (_, i) in enumerate(primed.ranked(block))}
-    met.sort(key=lambda p: (3 * len(p[3]) + 2 * len(p[4]) - len(primed.wording[p[2]]), rank[p[2]], p[0]))
+    ranking = [i for _, i in primed.ranked(block, able)] if (able := primed.able(block)) else []
+    met = [(i, primed.matches(block, i)) for i in ranking]
     owned, taken = set(), []
-    for place in met:
-        own = range(place[0], place[1])
-        if owned.isdisjoint(own):
-            owned.update(own)
-            taken.append(place)
+    for exact in (True, False):
+        for i, places in met:
+            for first, end, missing, added in places:
+                if (not missing and not added) == exact and owned.isdisjoint(range(first, end)):
+                    owned.update(range(first, end))
+                    taken.append((first, end, i, missing, added))
+    if not taken:
+        return []
     taken.sort()
     found = list(taken)
     for x, y in zip([0, *(p[1] for p in taken)], [*(p[0] for p in taken), len(block)], strict=True):
@@ -247,12 +260,12 @@ def notices(text: str, primed: Templates) -> Iterator[tuple[int, int, bool, floa
     """(start, end, confirmed, gain, template, differences) of every confirmed notice of a text, and of what else of its
     candidate blocks has a license word."""
     done = 0
-    spans = blocks(text)
+    spans = blocks(text, primed.reach)
     for (start, end), (following, _) in zip(spans, [*spans[1:], (len(text) + 1, 0)], strict=True):
         if end <= done:
             continue  # inside a notice that was confirmed
         at = max(start, done)
-        said = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text, at, min(len(text), end + WIDE))]
+        said = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text, at, min(len(text), end + primed.reach))]
         block = [w for w, _, _ in said]
         # A notice that begins in the next block is left to it.
         met = [p for p in _places(primed, block) if said[p[0]][1] < following]
@@ -282,7 +295,7 @@ def _written(missing: list[str], added: list[str]) -> str:
 def _scan(templates: tuple) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         primed = Templates(templates)
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, "text")):
             at, rows = [], []
             for i, text in enumerate(strings(batch, "text")):
                 for n, (start, end, sure, gain, chosen, differing) in enumerate(notices(text, primed)):
@@ -304,10 +317,10 @@ def scan(
     start and end in code points, license, template, gain, confirmed, differences.
 
     Every place that the words of a template confirm is a row of its own, from its first met word to the marks after its
-    last one; of places that overlap, the best. In the other rows `confirmed` is false and `license` is that of the best
+    last one; of places that overlap, that of the template ranked first by compression, word for word before others. In the other rows `confirmed` is false and `license` is that of the best
     template by `gain`, the share of the row's compressed size saved. `differences` lists the template's missing words
     with "-" and words between the met ones with "+". Texts without a license word, so NULL and empty ones, give no row.
-    Repeated rows and NULL ids stay; other columns are not read. Whole texts are searched where they are read, without a
+    Repeated rows and NULL ids stay; other columns are not read; no rows give no rows. Whole texts are searched where they are read, without a
     shuffle; a text takes time in proportion to its length.
     """
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))

@@ -49,7 +49,7 @@ def test_very_long_text(spark):
     text = "license " * 100_000 + "\nReleased under the ISC License."
     rows = _scan(spark, [text])
     assert rows[-1]["license"] == "ISC" or not rows[-1]["confirmed"]
-    assert all(r["end"] - r["start"] <= scans.BLOCK + scans.WIDE for r in rows)
+    assert all(r["end"] - r["start"] <= scans.BLOCK + scans.REACH for r in rows)
     covered = sum(r["end"] - r["start"] for r in rows)
     assert covered >= len(text) - len(rows) * 2
 
@@ -162,3 +162,31 @@ def test_overlapping_places_give_the_best():
     text = "This work is licensed under the GNU Lesser General Public License, version 2.1"
     assert _found(text)[0][0] == "LGPL" and len(_found(text)) == 1
     assert [name for name, _ in _found("Licensed under CC BY-SA 4.0.")] == ["CC-BY-SA-4.0"]
+
+
+def test_ranking_by_compression_decides(monkeypatch):
+    templates = (
+        ("short", "Released under the plain license.", "plain license"),
+        ("long", "You may use it freely. Released under the plain license. No warranty is given.", "plain license"),
+    )
+    primed = scans.Templates(templates)
+    text = "Hello there. " + templates[1][1]
+    assert [primed.names[row[4]] for row in scans.notices(text, primed) if row[2]] == ["long"]
+    ranked = scans.Templates.ranked
+    monkeypatch.setattr(scans.Templates, "ranked", lambda self, *given: ranked(self, *given)[::-1])
+    assert [primed.names[row[4]] for row in scans.notices(text, primed) if row[2]] == ["short"]
+
+
+def test_reach_follows_the_templates():
+    wording = "the owner of " + "many different things " * 60 + "gives a license to all"
+    primed = scans.Templates((("X", wording, "owner license"),))
+    text = "word " * 400 + wording + " and more" * 400
+    assert [(row[0], row[2]) for row in scans.notices(text, primed) if row[2]] == [(2000, True)]
+
+
+def test_empty_table_and_clashing_names(spark):
+    fields = "doc_id long, text string, block int, license string, id string, confirmed int"
+    assert scans.scan(spark.createDataFrame([], fields)).collect() == []
+    rows = [(None, "All rights reserved.", 1, "x", "y", 2)] * 2
+    found = scans.scan(spark.createDataFrame(rows, fields)).collect()
+    assert [(r["doc_id"], r["license"], r["confirmed"]) for r in found] == [(None, "reserved", True)] * 2
