@@ -12,7 +12,6 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +19,16 @@ from pyspark.sql import functions as F
 
 from heliograph import session
 from heliograph.llm import segments
-from heliograph.llm.common import strings, table
+from heliograph.llm.common import slices, strings, table
 
 VOCABULARY, CAPACITY, END = "byte_bpe_50k.json", 2048, 0
 
 # Pieces dealt to one partition, and how many certified partitions take part when only one has a gap.
 DEALT, BESIDE = 50_000, 3
 
+# A round of exchange goes on to the next one if it saves this share of the sequences above the bound, and one at least.
+GAIN = 0.02
+
 PIECE = ["piece", "start", "length", "ids_crc32"]
 PLACED = "piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint, gap bigint"
 
@@ -42,7 +44,7 @@ def _cut(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordBatc
             yield piece, a, b - a, zlib.crc32(found[a:b])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, "text")):
             at, made = [], []
             for i, text in enumerate(strings(batch, "text")):
                 own = list(rows(text))
@@ -124,15 +126,17 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, made
 
 
-def _place(capacity: int, first: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    def run(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
+def _place(capacity: int, first: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    def run(key: tuple, items: pa.Table) -> pa.Table:
         lengths = items["length"].to_numpy()
         bins, offsets, made = best_fit(lengths, capacity)
         # Even numbers; the odd ones are those of full pieces.
-        named = ((first + int(key[0])) << 25) + 2 * bins
-        return items.drop(columns="part").assign(
-            sequence_id=named, offset=offsets, gap=made - lower_bound(lengths, capacity)
-        )
+        named = ((first + key[0].as_py()) << 25) + 2 * bins
+        gap = np.full(len(lengths), made - lower_bound(lengths, capacity))
+        placed = items.drop_columns("part")
+        for name, column in (("sequence_id", named), ("offset", offsets), ("gap", gap)):
+            placed = placed.append_column(name, pa.array(column, pa.int64()))
+        return placed
 
     return run
 
@@ -142,7 +146,7 @@ def _packed(items: DataFrame, n: int, first: int, capacity: int, dealt: int) ->
     parts = max(1, -(-n // dealt))
     part = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(first)), F.lit(parts)).alias("part")
     kind = items.schema["id"].dataType.simpleString()
-    placed = items.select("*", part).groupBy("part").applyInPandas(_place(capacity, first), f"id {kind}, {PLACED}")
+    placed = items.select("*", part).groupBy("part").applyInArrow(_place(capacity, first), f"id {kind}, {PLACED}")
     return session.materialise(placed, "packed"), parts
 
 
@@ -151,7 +155,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, dealt: int = DEALT, rounds
 
     `gap` is how many sequences the partition of the piece has above its proven lower bound; 0 certifies it. Sequences
     are without holes from 0. Equal lengths go in any order. Partitions exchange pieces for at most `rounds`, or as long
-    as it saves sequences; every round leaves a whole packing. `pieces` should be a written table, as it is read thrice.
+    as a round saves a share of GAIN of the sequences above the bound of all pieces; every round leaves a whole packing. `pieces` should be a written table, as it is read thrice.
     """
     full = pieces.filter(F.col("length") == capacity).select(
         "id",
@@ -184,9 +188,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, dealt: int = DEALT, rounds
         saved = had - again.filter("offset = 0").count()
         if saved <= 0:
             break
-        total -= saved
+        above, total = total - least, total - saved
         packed = packed.filter(~chosen).unionByName(again)
         rounds = rounds if rounds is None else rounds - 1
+        if saved < GAIN * above:
+            break
     return packed.unionByName(full)
 
 
