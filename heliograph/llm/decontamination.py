@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from heliograph import session
-from heliograph.llm.common import LOWER, UPPER, fresh, strings, table, told_apart
+from heliograph.llm.common import LOWER, UPPER, fresh, slices, strings, table, told_apart
 
 WINDOW, COVERAGE = 13, 20
 
@@ -169,7 +169,7 @@ FOUND = "n_words bigint, starts array<bigint>, ends array<bigint>, items array<s
 def _scan(held: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = held.value
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, "text")):
             rows = []
             for text in strings(batch, "text"):
                 cut = words(text)

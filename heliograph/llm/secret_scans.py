@@ -10,14 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from heliograph import session
-from heliograph.llm.common import fresh, strings, table, told_apart
+from heliograph.llm.common import fresh, slices, strings, table, told_apart
 
 # Parts complete each other if they begin at most this many code points apart. A part that is longer than that reaches
 # as far beyond its end.
@@ -92,7 +90,7 @@ def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         return pa.array([[dict(zip(names, s, strict=True)) for s in row] for row in rows], kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, "text")):
             texts = strings(batch, "text")
             base = [base_spans(t) for t in texts]
             weak = [weak_spans(t, b) for t, b in zip(texts, base, strict=True)]
@@ -178,23 +176,18 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*done, text[at:]])
 
 
-def _masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    found = [[(s["start"], s["kind"], s["end"]) for s in own] for own in spans]
-    return pd.Series([mask(t, f) for t, f in zip(texts, found, strict=True)], dtype=object)
-
-
-def _parted(at: int, weak: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows with weak spans as they are, or the other rows with their sure spans masked."""
+def _masked(at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows without their last column, which has the spans that are masked in the text, column number `at`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            base = [base_spans(t or "") for t in texts]
-            chosen = [bool(weak_spans(t or "", b)) == weak for t, b in zip(texts, base, strict=True)]
-            if not weak:
-                done = [mask(t, b) if b else t for t, b in zip(texts, base, strict=True)]
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(done, batch.schema.field(at).type))
-            yield batch.filter(pa.array(chosen, pa.bool_()))
+        for batch in (own for whole in batches for own in slices(whole, at)):
+            texts, found = batch.column(at), batch.column(batch.num_columns - 1)
+            if found.null_count < len(found):
+                spans = [s and [(x["start"], x["kind"], x["end"]) for x in s] for s in found.to_pylist()]
+                done = [mask(t, s) if s else t for t, s in zip(texts.to_pylist(), spans, strict=True)]
+                texts = pa.array(done, texts.type)
+            columns = [texts if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
     return run
 
@@ -202,21 +195,18 @@ def _parted(at: int, weak: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 def redact(docs: DataFrame, scope: int = SCOPE, text_column: str = "text", from_files: bool = False) -> DataFrame:
     """`docs` with every reported span replaced by its kind in brackets; overlapping spans by the first one's.
 
-    All columns and rows are kept, whatever their names; a text without spans, or NULL, is not touched. Texts without
-    weak spans are done where they are read. Only the others are joined with what linking has found; for that their
-    rows are told apart, and unless `docs` is a table read `from_files`, they are written first.
+    All columns and rows are kept, whatever their names; a text without spans, or NULL, is not touched; very long texts
+    are taken whole; no rows give no rows. Texts are scanned once, and the spans written; then they are joined to the rows,
+    which is a second reading of `docs`. For that rows are told apart, and unless `docs` is a table read `from_files`, they
+    are written first. No task runs more than one Python function, so none holds more than one worker.
     """
-    at = docs.columns.index(text_column)
-    plain = docs.mapInArrow(_parted(at, weak=False), docs.schema)
     row = fresh(docs, "row")
     numbered = told_apart(docs, row, from_files)
-    doubtful = numbered.mapInArrow(_parted(at, weak=True), numbered.schema)
-    found = scan(doubtful, scope, row, text_column)
     spans = fresh(numbered, "spans")
-    joined = doubtful.join(found.select(F.col(row), F.col("spans").alias(spans)), row)
-    masked = F.pandas_udf(_masked, StringType())
-    linked = joined.withColumn(text_column, masked(text_column, spans)).select(*docs.columns)
-    return plain.unionByName(linked)
+    found = scan(numbered, scope, row, text_column).filter(F.size("spans") > 0)
+    marks = session.materialise(found.select(F.col(row), F.col("spans").alias(spans)), "marks")
+    joined = numbered.join(marks, row, "left").select(*docs.columns, spans)
+    return joined.mapInArrow(_masked(docs.columns.index(text_column)), docs.schema)
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

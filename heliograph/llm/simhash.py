@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from heliograph import session
-from heliograph.llm.common import LOWER, UPPER, fresh, strings, table, told_apart
+from heliograph.llm.common import LOWER, UPPER, fresh, slices, strings, table, told_apart
 from heliograph.llm.components import components
 
 SHINGLE, BITS, SEED = 3, 2, 42
@@ -68,7 +67,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, "text")):
             found = np.array([fingerprint(t, shingle) for t in strings(batch, "text")], np.uint64)
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
@@ -194,12 +193,12 @@ def _search(points: np.ndarray) -> _Groups:
     return groups
 
 
-def _stars(shard: pd.DataFrame) -> pd.DataFrame:
+def _stars(shard: pa.Table) -> pa.Table:
     points = np.unique(shard["point"].to_numpy())
     groups = _search(points.view(np.uint64))
     roots = np.array([groups.find(i) for i in range(len(points))], np.int64)
     linked = np.flatnonzero(roots != np.arange(len(points)))
-    return pd.DataFrame({"a": points[linked], "b": points[roots[linked]]})
+    return pa.table({"a": points[linked], "b": points[roots[linked]]})
 
 
 def _by_neighbours(points: DataFrame) -> DataFrame:
@@ -230,7 +229,7 @@ def links(points: DataFrame) -> DataFrame:
     sizes = dealt.groupBy("shard").count()
     oversize = [r["shard"] for r in sizes.filter(F.col("count") > SHARD_MOST).collect()]  # at most SHARDS numbers
     fitting = dealt.filter(~F.col("shard").isin(oversize)) if oversize else dealt
-    found = fitting.groupBy("shard").applyInPandas(_stars, "a bigint, b bigint")
+    found = fitting.groupBy("shard").applyInArrow(_stars, "a bigint, b bigint")
     if oversize:
         rest = dealt.filter(F.col("shard").isin(oversize)).select("point").distinct()
         found = found.unionByName(_by_neighbours(rest))
