@@ -107,6 +107,35 @@ def enrich_counted(frames: Mapping[str, DataFrame]) -> DataFrame:
     return add_features(joined.withColumn(COPIES, product).drop(*per_kind))
 
 
+def match_counted(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of `enrich_counted` from streams (or tables): one row per distinct joined reading, with `copies`.
+
+    Copies of a message are counted in keyed state first: however often it is sent, it is one state row. The distinct
+    messages of a panel and time are then gathered per kind, and combined when the watermark passes them. So resent
+    messages multiply neither state nor rows, where every copy would wait in all later joins. A zero counts as 0.0.
+    """
+    measures = [name for kind in schemas.KINDS for name in schemas.measure_names(kind)]
+
+    def padded(number: int, kind: str) -> DataFrame:
+        own, nothing = schemas.measure_names(kind), F.lit(None).cast("double")
+        columns = [(F.col(name) if name in own else nothing).alias(name) for name in measures]
+        return frames[kind].select(*schemas.KEYS, F.lit(number).alias("_kind"), *columns)
+
+    stacked = reduce(DataFrame.unionAll, [padded(number, kind) for number, kind in enumerate(schemas.KINDS)])
+    known = stacked.where(F.col(schemas.PANEL).isNotNull() & F.col(schemas.EVENT_TIME).isNotNull())
+    distinct = known.groupBy(*schemas.KEYS, "_kind", *measures).agg(F.count(F.lit(1)).alias("_n"))
+    lists = [
+        F.collect_list(F.when(F.col("_kind") == number, F.struct(*schemas.measure_names(kind), "_n"))).alias(f"_{kind}")
+        for number, kind in enumerate(schemas.KINDS)
+    ]
+    rows = distinct.groupBy(*schemas.KEYS).agg(*lists)
+    for kind in schemas.KINDS:  # a kind without a message leaves nothing
+        rows = rows.withColumn(f"_{kind}", F.explode(f"_{kind}"))
+    product = reduce(lambda a, b: (a * b).cast(WHOLE), [F.col(f"_{kind}._n").cast(WHOLE) for kind in schemas.KINDS])
+    values = [F.col(f"_{kind}.{name}").alias(name) for kind in schemas.KINDS for name in schemas.measure_names(kind)]
+    return add_features(rows.select(*schemas.KEYS, *values, product.alias(COPIES)))
+
+
 def expand_copies(counted: DataFrame, block: int = 10_000) -> DataFrame:
     """Plain rows from counted rows.
 

@@ -627,6 +627,15 @@ def stream_window_stats_by_grouping(spark, sf_dir):
     return _averages(_drained(rows.writeStream, spark, "stream_window_stats_by_grouping"))
 
 
+@_query
+def stream_window_stats_resent(spark, sf_dir):
+    """Windows of a stream with resent messages, whose copies are counted in keyed state."""
+    frames = feed.resent(feed.events_stream(spark, sf_dir))
+    counted = telemetry.match_counted({kind: telemetry.watermarked(frame) for kind, frame in frames.items()})
+    rows = stats.window_stats(counted, copies=telemetry.COPIES)
+    return _averages(_drained(rows.writeStream, spark, "stream_window_stats_resent"))
+
+
 def _closed_windows(spark, sf_dir, name) -> tuple[str, brokers.Folder]:
     """Window statistics messages made by a stream, in a folder."""
     base = session.run_dir(spark, name)

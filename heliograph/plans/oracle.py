@@ -82,6 +82,8 @@ mark AS (
                (SELECT max("timestamp") FROM orient)) - INTERVAL '10 seconds' AS t),
 stats AS (SELECT * FROM all_stats WHERE window_end <= (SELECT t FROM mark))"""
 
+CLOSED_RESENT = CLOSED_STATS.replace(FRAMES, RESENT_FRAMES)
+
 _STATS_COLUMNS = f"""panel_id, window_start, window_end, {_r("avg_efficiency")} AS avg_efficiency,
   {_r("avg_temp")} AS avg_temp, {_r("avg_irradiance")} AS avg_irradiance"""
 
@@ -520,6 +522,7 @@ FROM wide CROSS JOIN generate_series(0, 60, 5) AS t(tilt)""",
     "stream_enriched_features": _with(ENRICHED, "SELECT * FROM enriched"),
     "stream_window_stats": _with(CLOSED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "stream_window_stats_by_grouping": _with(CLOSED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
+    "stream_window_stats_resent": _with(CLOSED_RESENT, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "stream_panel_changes": _with(_timeline(DROPPED_STATS), f"SELECT {_TIMELINE_COLUMNS} FROM timeline"),
     "stream_panel_status": _with(_timeline(DROPPED_STATS), f"SELECT {_STATUS_COLUMNS} FROM status"),
     "stream_faults": _with(

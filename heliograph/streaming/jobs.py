@@ -83,16 +83,22 @@ def start_window_stats(
     width: str = schemas.WINDOW,
     from_enriched: bool = False,
     once_each: bool = False,
+    counted: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Window statistics as JSON messages, each window once, when the watermark has passed its end.
 
-    With `from_enriched` the input is the topic that `start_enriched` writes, and only one job keeps join state.
+    With `from_enriched` the input is the topic that `start_enriched` writes, and only one job keeps join state. With
+    `counted`, for feeds that may send a message very often, copies are counted before they meet and weigh the averages.
     """
-    enriched = (
-        rejoined_stream(spark, source) if from_enriched else enriched_stream(spark, source, once_each=once_each)
-    )
-    messages = stats.to_messages(stats.window_stats(enriched, width))
+    if from_enriched:
+        enriched = rejoined_stream(spark, source)
+    elif counted:
+        enriched = telemetry.match_counted({kind: measurement_stream(spark, source, kind) for kind in schemas.KINDS})
+    else:
+        enriched = enriched_stream(spark, source, once_each=once_each)
+    copies = telemetry.COPIES if counted and not from_enriched else None
+    messages = stats.to_messages(stats.window_stats(enriched, width, copies))
     return send(messages, sink, schemas.TOPICS["window_stats"], f"{checkpoints}/window_stats", **trigger)
 
 

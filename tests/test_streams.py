@@ -224,3 +224,31 @@ def test_several_queries_run_side_by_side(spark, setup):
     two.awaitTermination()
     spark.streams.resetTerminated()
     assert out.history(spark, schemas.TOPICS["enriched"]).count() == 15
+
+
+def test_copies_are_counted_in_state(spark, setup):
+    source, out, checkpoints, _ = setup
+    readings = _readings(spark, 0)
+    _send(source, readings)
+    one = telemetry.fan_out(readings.limit(1))
+    again = one.where(F.col("topic") == schemas.TOPICS["temperature"])
+    source.write(again.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(1500)))).drop("_copy"))
+    _send(source, _closing(spark, 600))
+    query = jobs.start_window_stats(spark, source, out, checkpoints, counted=True, **ONCE)
+    query.awaitTermination()
+    most = max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+    assert most <= 5 * 61
+    messages = {k: source.history(spark, schemas.TOPICS[k]) for k in schemas.KINDS}
+    frames = {k: wire.decode(m, schemas.measurement_schema(k)) for k, m in messages.items()}
+    wanted = stats.window_stats(telemetry.enrich(frames)).where(F.col("window_end") <= F.lit(at(590)))
+    assert _rounded(_windows(spark, out)) == _rounded(wanted)
+
+
+def test_counted_match_equals_counted_join(spark):
+    readings = _readings(spark, 0)
+    frames = telemetry.split_measurements(readings)
+    frames["irradiance"] = frames["irradiance"].unionAll(frames["irradiance"].limit(7)).unionAll(frames["irradiance"].limit(3))
+    frames["power_ac"] = frames["power_ac"].unionAll(frames["power_ac"].limit(5).withColumn("power_ac_w", F.lit(1.5)))
+    assert rows(telemetry.match_counted(frames).select(*sorted(telemetry.match_counted(frames).columns))) == rows(
+        telemetry.enrich_counted(frames).select(*sorted(telemetry.enrich_counted(frames).columns))
+    )
