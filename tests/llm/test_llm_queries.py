@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, sf_dir, database, name):
 
 def test_every_operator_is_registered():
     offered = entry_file.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in offered)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in offered)] == []
     assert "pipeline" in offered
 
 
