@@ -674,6 +674,39 @@ def stream_panel_changes(spark, sf_dir):
     return _averages(spark.read.parquet(path))
 
 
+# How late windows may come that are still put in their place.
+LATENESS = "1 day"
+
+
+def _late_drops(spark, made: brokers.Folder) -> list[DataFrame]:
+    """Closed windows in three drops. Every third one of a drop's last hours comes with the next drop, and many are sent
+    again, some of them long after they were judged."""
+    windows = stats.from_messages(made.history(spark, schemas.TOPICS["window_stats"]))
+    windows = session.materialise(windows, "windows")
+    start, minute = F.col("window_start"), F.floor(F.unix_seconds("window_start") / 60)
+    cuts = [F.lit(t).cast("timestamp") for t in WINDOW_DROPS]
+    drop = F.when(start < cuts[0], 0).when(start < cuts[1], 1).otherwise(2)
+    held = F.lit(False)
+    for cut in cuts:
+        held = held | ((start < cut) & (start >= cut - F.expr("INTERVAL 20 HOURS")) & (minute % 3 == 0))
+    placed = windows.withColumn("drop", drop + F.when(held, 1).otherwise(0))
+    again = placed.where(minute % 5 == 0).withColumn("drop", F.col("drop") + 1)
+    sent = placed.unionAll(again)
+    return [sent.where(F.col("drop") == n).drop("drop") for n in range(3)]
+
+
+@_query
+def stream_panel_changes_in_order(spark, sf_dir):
+    """Keyed state that keeps windows until no earlier one can come: late ones are put in order, copies count once."""
+    base, made = _closed_windows(spark, sf_dir, "stream_panel_changes_in_order")
+    folder, path = brokers.Folder(f"{base}/drops"), f"{base}/changes"
+    for drop in _late_drops(spark, made):
+        folder.write(stats.to_messages(drop), schemas.TOPICS["window_stats"])
+        run = jobs.start_panel_changes(spark, folder, path, f"{base}/checkpoints", lateness=LATENESS, availableNow=True)
+        run.awaitTermination()
+    return _averages(spark.read.parquet(path))
+
+
 @_query
 def stream_panel_status(spark, sf_dir):
     """Versioned status table kept by a stream over the same drops."""

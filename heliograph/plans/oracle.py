@@ -524,6 +524,12 @@ FROM wide CROSS JOIN generate_series(0, 60, 5) AS t(tilt)""",
     "stream_window_stats_by_grouping": _with(CLOSED_STATS, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "stream_window_stats_resent": _with(CLOSED_RESENT, f"SELECT {_STATS_COLUMNS} FROM stats"),
     "stream_panel_changes": _with(_timeline(DROPPED_STATS), f"SELECT {_TIMELINE_COLUMNS} FROM timeline"),
+    # All windows, late or not, as far as the watermark has come: a day before the last start.
+    "stream_panel_changes_in_order": _with(
+        _timeline(CLOSED_STATS),
+        f"""SELECT {_TIMELINE_COLUMNS} FROM timeline
+WHERE window_start <= (SELECT max(window_start) FROM stats) - INTERVAL '1 day'""",
+    ),
     "stream_panel_status": _with(_timeline(DROPPED_STATS), f"SELECT {_STATUS_COLUMNS} FROM status"),
     "stream_faults": _with(
         _peers(_HOUR),

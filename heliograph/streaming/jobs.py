@@ -103,10 +103,24 @@ def start_window_stats(
 
 
 def start_panel_changes(
-    spark: SparkSession, source: Broker, path: str, checkpoints: str, clock: Column | None = None, **trigger
+    spark: SparkSession,
+    source: Broker,
+    path: str,
+    checkpoints: str,
+    clock: Column | None = None,
+    lateness: str | None = None,
+    **trigger,
 ) -> StreamingQuery:
-    """Change log of panel status from keyed state, as a parquet table."""
-    changes = panel_state.panel_changes(window_stats_stream(spark, source), clock)
+    """Change log of panel status from keyed state, as a parquet table.
+
+    With `lateness`, windows wait that long for earlier ones and are judged in the order of time. Without it they are
+    judged at once, and one that does not begin after the last of its panel is rejected.
+    """
+    windows = window_stats_stream(spark, source)
+    if lateness is None:
+        changes = panel_state.panel_changes(windows, clock)
+    else:
+        changes = panel_state.ordered_changes(windows, lateness, clock)
     writer = changes.writeStream.format("parquet").outputMode("append").option("path", path)
     with session.state_settings(spark):
         return _start(writer.option("checkpointLocation", f"{checkpoints}/panel_changes"), trigger)

@@ -18,6 +18,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Times are kept in microseconds, which no worker's time zone changes.
 STATE = "is_broken BOOLEAN, broken_since BIGINT, reason STRING, last_window BIGINT"
 
+# A window that waits: start, end, averages, number of its rule, reason, time.
+WAITING = (
+    "window_start BIGINT, window_end BIGINT, avg_efficiency DOUBLE, avg_temp DOUBLE, avg_irradiance DOUBLE, "
+    "reason_code INT, reason STRING, as_of BIGINT"
+)
+
 CHANGES = (
     "panel_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_efficiency DOUBLE, avg_temperature DOUBLE, "
     "avg_irradiance DOUBLE, is_broken BOOLEAN, reason_code INT, broken_since TIMESTAMP, reason STRING, change STRING"
@@ -74,6 +80,97 @@ class PanelHealth(StatefulProcessor):
         pass
 
 
+def _micros(times: pd.Series) -> list[int]:
+    return [t.value // 1000 for t in times]
+
+
+def _plain(values: pd.Series) -> list:
+    return [None if pd.isna(v) else v for v in values]
+
+
+class OrderedPanelHealth(StatefulProcessor):
+    """Emits a panel's status after each of its windows, in the order of time, once no earlier window can come.
+
+    Windows wait in a list, which every micro-batch appends to without reading it. A timer at the earliest one waiting
+    fires when the watermark has passed it. The windows up to the watermark are then put in order and judged one by
+    one, and the others wait on. So what a panel holds is what came within the delay, one row per window; its size is
+    set by the delay and the width of the windows, however the rows were cut into micro-batches.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._last = handle.getValueState("last", "is_broken BOOLEAN, broken_since BIGINT, reason STRING")
+        self._waiting = handle.getListState("waiting", WAITING)
+        self._timer = handle.getValueState("timer", "at BIGINT")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for part in rows:
+            if part.empty:
+                continue
+            starts = _micros(part["window_start"])
+            columns = [starts, _micros(part["window_end"])]
+            columns += [_plain(part[name]) for name in ("avg_efficiency", "avg_temp", "avg_irradiance")]
+            columns += [[int(c) for c in part["reason_code"]], _plain(part["reason"]), _micros(part["as_of"])]
+            self._waiting.appendList(list(zip(*columns, strict=True)))
+            earliest = min(starts) if earliest is None else min(earliest, *starts)
+        if earliest is not None:
+            self._wake_at(earliest)
+        return iter(())
+
+    def _wake_at(self, micros: int) -> None:
+        """One timer per panel, at the earliest window that waits."""
+        at = -(-micros // 1000)
+        known = self._timer.get()[0] if self._timer.exists() else None
+        if known is not None and known <= at:
+            return
+        if known is not None:
+            self._handle.deleteTimer(known)
+        self._handle.registerTimer(at)
+        self._timer.update((at,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        self._timer.clear()
+        due: dict[tuple, tuple] = {}  # a window sent twice counts once
+        later = []
+        for row in self._waiting.get():
+            if row[0] <= passed:
+                due.setdefault(tuple(row[:5]), tuple(row))
+            else:
+                later.append(tuple(row))
+        if later:
+            self._waiting.put(later)
+            self._wake_at(min(row[0] for row in later))
+        else:
+            self._waiting.clear()
+
+        broken, since, reason = self._last.get() if self._last.exists() else (None, None, None)
+        made = []
+        for row in sorted(due.values(), key=lambda r: r[:2]):
+            start, end, *means, code, why, as_of = row
+            breaks = code != health.HEALTHY and not broken
+            recovers = code == health.HEALTHY and bool(broken)
+            broken = code != health.HEALTHY
+            if not broken:
+                since = reason = None
+            elif breaks:
+                since, reason = as_of, why
+            change = "broken" if breaks else "recovered" if recovers else None
+            made.append((key[0], start, end, *means, broken, code, since, reason, change))
+        if made:
+            self._last.update((broken, since, reason))
+            found = pd.DataFrame(made, columns=_COLUMNS)
+            for name in ("window_start", "window_end", "broken_since"):
+                found[name] = pd.to_datetime(found[name].astype("Int64"), unit="us")
+            for name in ("avg_efficiency", "avg_temperature", "avg_irradiance"):
+                found[name] = found[name].astype(float)
+            yield found
+
+    def close(self) -> None:
+        pass
+
+
 def panel_changes(stats: DataFrame, clock: Column | None = None) -> DataFrame:
     """Status of every panel after each of its windows, from a stream of window statistics.
 
@@ -87,3 +184,21 @@ def panel_changes(stats: DataFrame, clock: Column | None = None) -> DataFrame:
             statefulProcessor=PanelHealth(), outputStructType=CHANGES, outputMode="Append", timeMode="None"
         )
     )
+
+
+def ordered_changes(stats: DataFrame, lateness: str, clock: Column | None = None) -> DataFrame:
+    """The same with windows that come late, by up to `lateness`, put in their place.
+
+    A window is judged when the watermark, `lateness` behind the latest start of a window, has reached its start. Up to
+    there the rows are those that `health.timeline` gives for a table of all windows, in whatever order they came.
+    Windows later than that are dropped and counted by Spark (`numRowsDroppedByWatermark`); those without a start are
+    left out. Needs the RocksDB state store on the session.
+    """
+    timed = stats.where("window_start IS NOT NULL AND window_end IS NOT NULL").withWatermark("window_start", lateness)
+    return (
+        health.classify(timed, clock)
+        .groupBy("panel_id")
+        .transformWithStateInPandas(
+            statefulProcessor=OrderedPanelHealth(), outputStructType=CHANGES, outputMode="Append", timeMode="EventTime"
+        )
+    )

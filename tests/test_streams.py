@@ -252,3 +252,44 @@ def test_counted_match_equals_counted_join(spark):
     assert rows(telemetry.match_counted(frames).select(*sorted(telemetry.match_counted(frames).columns))) == rows(
         telemetry.enrich_counted(frames).select(*sorted(telemetry.enrich_counted(frames).columns))
     )
+
+
+def test_late_windows_are_put_in_order(spark, setup):
+    """Any window of the last ten minutes may come with a later drop, and some come again after they were judged."""
+    source, _, checkpoints, base = setup
+    windows = _history(11, panels=3, minutes=60)
+    drops = [
+        [w for w in windows if w[1] < 20 and not (w[1] >= 11 and w[1] % 2)],
+        [w for w in windows if 20 <= w[1] < 40 or (11 <= w[1] < 20 and w[1] % 2) or w[1] in (2, 18)],
+        [w for w in windows if 40 <= w[1] or w[1] in (5, 38)],
+    ]
+    for drop in drops:
+        _publish(spark, source, drop + drop[:4])
+        started = jobs.start_panel_changes(
+            spark, source, f"{base}/changes", checkpoints, lateness="10 minutes", **ONCE
+        )
+        started.awaitTermination()
+    # Nothing but time passes: the windows that waited are judged by a panel that is heard of no more.
+    _publish(spark, source, [("clock", 100, 50.0, 20.0, 500.0)])
+    jobs.start_panel_changes(
+        spark, source, f"{base}/changes", checkpoints, lateness="10 minutes", **ONCE
+    ).awaitTermination()
+    found = spark.read.parquet(f"{base}/changes")
+    assert rows(found) == rows(health.timeline(stats_frame(spark, windows)), *found.columns)
+
+
+def test_windows_beyond_the_lateness_are_dropped(spark, setup):
+    source, _, checkpoints, base = setup
+    drops = [
+        [("p0", 0, 50.0, 20.0, 500.0), ("p0", 30, 3.0, 20.0, 500.0), ("p1", 1, None, None, None)],
+        [("p0", 10, 3.0, 20.0, 500.0), ("p0", 25, 3.0, 90.0, 500.0), ("p0", 90, 50.0, 20.0, 500.0)],
+        [("p0", 200, 50.0, 20.0, 500.0)],
+    ]
+    for drop in drops:
+        _publish(spark, source, drop)
+        jobs.start_panel_changes(
+            spark, source, f"{base}/changes", checkpoints, lateness="10 minutes", **ONCE
+        ).awaitTermination()
+    accepted = [*drops[0], *drops[1][1:]]
+    found = spark.read.parquet(f"{base}/changes")
+    assert rows(found) == rows(health.timeline(stats_frame(spark, accepted)), *found.columns)
