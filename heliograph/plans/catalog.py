@@ -13,7 +13,7 @@ from heliograph import schemas, session
 from heliograph.functions import scalars, wire
 from heliograph.operators import faults, fleet, health, stats, telemetry, tilt, training
 from heliograph.plans import feed
-from heliograph.sources import brokers, tables
+from heliograph.sources import brokers, status_log, tables
 from heliograph.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -718,6 +718,23 @@ def stream_panel_status(spark, sf_dir):
     return _averages(tables.read_status(spark, path))
 
 
+@_query
+def stream_status_log(spark, sf_dir):
+    """Status kept as a base and changes over the same drops, each in two micro-batches with a restart in between, and
+    three new bases on the way."""
+    base, made = _closed_windows(spark, sf_dir, "stream_status_log")
+    folder, path = brokers.Folder(f"{base}/drops"), f"{base}/status"
+    for drop, cut in zip(_window_drops(spark, made), ("2024-01-05 00:00:00", *WINDOW_DROPS), strict=True):
+        older = F.col("window_start") < F.lit(cut).cast("timestamp")
+        for part in (drop.where(older), drop.where(~older)):
+            folder.write(stats.to_messages(part), schemas.TOPICS["window_stats"])
+            started = jobs.start_status_log(
+                spark, folder, path, f"{base}/checkpoints", buckets=8, compact_every=2, availableNow=True
+            )
+            started.awaitTermination()
+    return _averages(status_log.read_status(spark, path))
+
+
 @_query
 def stream_faults(spark, sf_dir):
     """Fault alerts written by a stream that arrives in several micro-batches, which split hours."""

@@ -531,6 +531,7 @@ FROM wide CROSS JOIN generate_series(0, 60, 5) AS t(tilt)""",
 WHERE window_start <= (SELECT max(window_start) FROM stats) - INTERVAL '1 day'""",
     ),
     "stream_panel_status": _with(_timeline(DROPPED_STATS), f"SELECT {_STATUS_COLUMNS} FROM status"),
+    "stream_status_log": _with(_timeline(DROPPED_STATS), f"SELECT {_STATUS_COLUMNS} FROM status"),
     "stream_faults": _with(
         _peers(_HOUR),
         f"""SELECT panel_id AS key, panel_id, {ISO} AS "timestamp", power_dc_w AS current_power,

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from heliograph import schemas, session
 from heliograph.functions import wire
 from heliograph.operators import faults, health, stats, telemetry, tilt, training
-from heliograph.sources import brokers, tables
+from heliograph.sources import brokers, status_log, tables
 from heliograph.streaming import panel_state
 
 Broker = brokers.Kafka | brokers.Folder
@@ -152,6 +152,30 @@ def start_panel_status(
     return _for_each(window_stats_stream(spark, source), advance, f"{checkpoints}/panel_status", trigger)
 
 
+def start_status_log(
+    spark: SparkSession,
+    source: Broker,
+    base: str,
+    checkpoints: str,
+    buckets: int = status_log.BUCKETS,
+    compact_every: int = status_log.COMPACT_EVERY,
+    clock: Column | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Panel status kept as a base and changes, for fleets of which a micro-batch hears only a part.
+
+    The same status as `start_panel_status` keeps; a micro-batch writes the panels that it touches and reads their buckets.
+    Every `compact_every` micro-batches the changes are merged into a new base.
+    """
+
+    def advance(windows: DataFrame, batch_id: int) -> None:
+        status_log.advance(windows, base, batch_id, buckets, clock)
+        if (batch_id + 1) % compact_every == 0:
+            status_log.compact(windows.sparkSession, base, batch_id, buckets)
+
+    return _for_each(window_stats_stream(spark, source), advance, f"{checkpoints}/status_log", trigger)
+
+
 def start_fault_alerts(
     readings: DataFrame,
     sink: Sink,
