@@ -13,7 +13,7 @@ from heliograph import schemas, session
 from heliograph.functions import scalars, wire
 from heliograph.operators import faults, fleet, health, stats, telemetry, tilt, training
 from heliograph.plans import feed
-from heliograph.sources import brokers, status_log, tables
+from heliograph.sources import brokers, registry, status_log, tables
 from heliograph.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -824,6 +824,54 @@ def stream_control_commands(spark, sf_dir):
     return rows.select("key", "panel_id", "command_type", "target_tilt", "target_azimuth", "timestamp")
 
 
+def _peaked() -> Column:
+    """Power with one best tilt, 35 degrees in the morning and 15 later, and far less for every other."""
+    angle = F.col("tilt_deg")
+    morning = F.when(angle < 35, 25).when(angle == 35, 125).otherwise(50)
+    later = F.when(angle < 15, 50).when(angle == 15, 150).otherwise(75)
+    return F.when(F.hour("timestamp") < 12, morning).otherwise(later)
+
+
+def _refit(spark, sf_dir, base) -> str:
+    """Training messages written to a topic, read back as its history, and the default refit on them published."""
+    topics, models = brokers.Folder(f"{base}/topics"), f"{base}/models"
+    topics.write(feed.labelled_messages(feed.events(spark, sf_dir), _peaked()), schemas.TOPICS["sensors"])
+    model, status = training.retrain(jobs.training_history(spark, topics))
+    if status.first()["status"] == "retrained":
+        registry.publish(spark, model, models)
+    return models
+
+
+@_query
+def refit_predictions(spark, sf_dir):
+    """What the default refit, of fifty rounds, predicts for every candidate: to steps of 25 W, per half day and tilt. No
+    single tree of its depth has all the steps of the label."""
+    _, model = registry.current(spark, _refit(spark, sf_dir, session.run_dir(spark, "refit_predictions")))
+    scored = training.score_trees(tilt.candidates(_readings(spark, sf_dir)), model)
+    rounded = (F.round(F.col("prediction") / 25) * 25).cast("bigint")
+    return scored.groupBy((F.hour("timestamp") < 12).alias("morning"), "tilt_deg").agg(
+        F.count(F.lit(1)).alias("n"), F.min(rounded).alias("lowest"), F.max(rounded).alias("highest")
+    )
+
+
+@_query
+def stream_refit_control(spark, sf_dir):
+    """Commands for the first half of the readings by the starting model and, after a refit on the history of the
+    training topic is published, for the second half by the refitted one, which the job follows."""
+    base = session.run_dir(spark, "stream_refit_control")
+    folder = brokers.Folder(f"{base}/topics")
+    model = registry.follow(spark, f"{base}/models")
+    for place, drop in enumerate(feed.in_drops(feed.events(spark, sf_dir), 2)):
+        if place == 1:
+            _refit(spark, sf_dir, base)
+        drop.coalesce(1).write.mode("append").parquet(f"{base}/events")
+        rows = feed.readings(spark.readStream.schema(feed.EVENTS).parquet(f"{base}/events"))
+        jobs.start_tilt_control(rows, model, folder, f"{base}/checkpoints", availableNow=True).awaitTermination()
+    return wire.decode(
+        folder.history(spark, schemas.TOPICS["control"]), "panel_id STRING, timestamp STRING, target_tilt DOUBLE"
+    )
+
+
 @_query
 def stream_fanout(spark, sf_dir):
     """Readings sent as five topics by a stream, then parsed, joined and averaged per day from those topics."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from heliograph import schemas
 from heliograph.functions import wire
-from heliograph.operators import telemetry
+from heliograph.operators import telemetry, tilt
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -168,6 +168,14 @@ def training_messages(rows: DataFrame) -> DataFrame:
     return wide.select(F.col("event_id").cast("string").alias("key"), value.alias("value"))
 
 
+def labelled_messages(rows: DataFrame, label: Column) -> DataFrame:
+    """Training messages that state a given power for every candidate tilt of every reading."""
+    powered = tilt.candidates(readings(rows)).withColumn("power_dc_w", label.cast("double"))
+    measures = [name for kind in schemas.KINDS for name in schemas.measure_names(kind) if name != "power_ac_w"]
+    time = F.date_format("timestamp", wire.MESSAGE_TIME).alias("timestamp")
+    return powered.select(F.col("panel_id").alias("key"), F.to_json(F.struct("panel_id", time, *measures)).alias("value"))
+
+
 def prediction_requests(rows: DataFrame) -> DataFrame:
     """Prediction requests, some without light, temperature, panel, time or send flag."""
     kind, k = F.col("event_type"), F.col("k")

@@ -556,6 +556,21 @@ FROM raw WHERE shape IN ('junk', 'untimed')""",
         _modelled("SELECT * EXCLUDE (tilt_deg, azimuth_deg) FROM wide", WIDE),
         f"""SELECT panel_id AS key, panel_id, 'SET_ANGLE' AS command_type, tilt_deg AS target_tilt,
   180.0::DOUBLE AS target_azimuth, {ISO} AS "timestamp" FROM best""",
+    ),
+    "refit_predictions": _with(
+        WIDE,
+        f"""SELECT morning, tilt_deg, count(*) AS n, min(w) AS lowest, max(w) AS highest FROM (
+  SELECT {_HOUR_OF_DAY} < 12 AS morning, CAST(t.tilt AS DOUBLE) AS tilt_deg, CAST(
+    CASE WHEN {_HOUR_OF_DAY} < 12 THEN CASE WHEN t.tilt < 35 THEN 25 WHEN t.tilt = 35 THEN 125 ELSE 50 END
+    ELSE CASE WHEN t.tilt < 15 THEN 50 WHEN t.tilt = 15 THEN 150 ELSE 75 END END AS BIGINT) AS w
+  FROM wide CROSS JOIN generate_series(0, 60, 5) AS t(tilt)) GROUP BY ALL""",
+    ),
+    "stream_refit_control": _with(
+        _modelled("SELECT * EXCLUDE (tilt_deg, azimuth_deg) FROM wide", WIDE),
+        f"""SELECT panel_id, {ISO} AS "timestamp", CASE
+    WHEN (epoch_us("timestamp") - lo) * 2 // (hi - lo + 1) = 0 THEN tilt_deg
+    WHEN {_HOUR_OF_DAY} < 12 THEN 35.0::DOUBLE ELSE 15.0::DOUBLE END AS target_tilt
+FROM best, (SELECT min(epoch_us("timestamp")) AS lo, max(epoch_us("timestamp")) AS hi FROM wide)""",
     ),
     "stream_fanout": _with(_stats(WHOLE, "1 day"), f"SELECT {_STATS_COLUMNS} FROM stats"),
 }
