@@ -2,15 +2,19 @@
 
 The automaton recognises every run of words of every item. Documents stream through it word by word; the longest match
 ending at each word tells which windows of the items occur. Items are cut into blocks of bounded size, one automaton
-each, so what is sent to the workers does not grow with the benchmark.
+each, built by Spark's tasks and kept in a table. The driver takes one at a time and sends it to the workers, so neither
+holds more of a benchmark, however large, than a block.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import reduce
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -26,7 +30,7 @@ from heliograph.llm.common import LOWER, UPPER, fresh, slices, strings, table, t
 WINDOW, COVERAGE = 13, 20
 
 # Words of benchmark items in one automaton, which has at most two states a word; a longer item is a block of its own.
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 100_000
 
 # Bytes below 0x80 other than letters and digits part words; others belong to them, so cutting bytes cuts no character.
 _FOLD = bytes(
@@ -45,8 +49,9 @@ def words(text: str) -> list[bytes]:
 class Automaton:
     """Suffix automaton of several word sequences, and for each state the items whose windows end there.
 
-    A window is `window` consecutive words, or the whole of a shorter item. `spell` numbers the words; `follows` has
-    the pairs of words that stand together in some item.
+    A window is `window` consecutive words, or the whole of a shorter item. `spell` numbers the words; `pairs` has the
+    pairs of words that stand together in some item. Once built, states are numbers in flat arrays: all moves in one
+    sorted array of state and word, and the windows that end at a state as a stretch of two more.
     """
 
     def __init__(self, items: list[tuple[int, list[bytes]]], window: int):
@@ -66,20 +71,40 @@ class Automaton:
                 state = self._extend(state, word)
                 path.append(state)
             ends.append([(number, s) for s in path])
-        # `windows[s]`: the windows whose last words are those of state s, as length and items.
         self.names = [name for name, _ in items]
-        self.windows: dict[int, dict[int, set[int]]] = {}
+        self.pairs = np.array(sorted(a * len(self.spell) + b for a, b in pairs), np.int64)
+        del pairs
+        # The windows whose last words are those of a state, as (length, number of an item).
+        windows: dict[int, set[tuple[int, int]]] = {}
         for path in ends:
             size = min(window, len(path))
             for number, state in path[size - 1 :]:
                 while self.length[self.link[state]] >= size:
                     state = self.link[state]
-                self.windows.setdefault(state, {}).setdefault(size, set()).add(number)
-        self.pairs = np.array(sorted(a * len(self.spell) + b for a, b in pairs), np.int64)
+                windows.setdefault(state, set()).add((size, number))
         # The nearest state with a window, along the links to ever shorter suffixes.
-        self.ending = [-1] * len(self.length)
+        ending = [-1] * len(self.length)
         for state in sorted(range(1, len(self.length)), key=self.length.__getitem__):
-            self.ending[state] = state if state in self.windows else self.ending[self.link[state]]
+            ending[state] = state if state in windows else ending[self.link[state]]
+        self._flatten(windows, ending)
+
+    def _flatten(self, windows: dict[int, set[tuple[int, int]]], ending: list[int]) -> None:
+        moves = sorted((s * len(self.spell) + w, t) for s, own in enumerate(self.next) for w, t in own.items())
+        self.next = []
+        self.moves, self.targets = array("q", [m for m, _ in moves]), array("i", [t for _, t in moves])
+        self.first, self.sizes, self.owners = array("i", [0]), array("i"), array("i")
+        for state in range(len(ending)):
+            for size, number in sorted(windows.get(state, ())):
+                self.sizes.append(size)
+                self.owners.append(number)
+            self.first.append(len(self.sizes))
+        self.link, self.length, self.ending = array("i", self.link), array("i", self.length), array("i", ending)
+
+    def _move(self, state: int, word: int) -> int:
+        """The state after a word, 0 if there is none: no move leads back to the start."""
+        key = state * len(self.spell) + word
+        place = bisect_left(self.moves, key)
+        return self.targets[place] if place < len(self.moves) and self.moves[place] == key else 0
 
     def _new(self, length: int, moves: dict[int, int], link: int) -> int:
         self.length.append(length)
@@ -111,20 +136,22 @@ class Automaton:
             self.link[made] = target if same else self._split(state, word, target)
         return made
 
-    def _walk(self, numbers: list[int]) -> Iterator[tuple[int, int, set[int]]]:
-        """(last position, length, items) of every window that occurs."""
+    def _walk(self, numbers: list[int]) -> Iterator[tuple[int, int, int]]:
+        """(last position, length, item) of every window that occurs."""
         state = size = 0
         for at, word in enumerate(numbers):
-            while state > 0 and word not in self.next[state]:
+            after = self._move(state, word)
+            while state > 0 and not after:
                 state = self.link[state]
                 size = self.length[state]
-            state = self.next[state].get(word, 0)
+                after = self._move(state, word)
+            state = after
             size = size + 1 if state else 0
             found = self.ending[state] if state else -1
             while found > 0:
-                for length, items in self.windows[found].items():
-                    if length <= size:
-                        yield at, length, items
+                for place in range(self.first[found], self.first[found + 1]):
+                    if self.sizes[place] <= size:
+                        yield at, self.sizes[place], self.owners[place]
                 found = self.ending[self.link[found]] if self.link[found] > 0 else -1
 
     def hits(self, found: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
@@ -154,8 +181,8 @@ class Automaton:
         for a, b in edges.reshape(-1, 2).tolist():
             if b - a < self.least:
                 continue
-            for at, length, owners in self._walk(numbers[a:b].tolist()):
-                items |= owners
+            for at, length, owner in self._walk(numbers[a:b].tolist()):
+                items.add(owner)
                 start, end = a + at + 1 - length, a + at + 1
                 while spans and spans[-1][1] >= start:
                     start = min(start, spans.pop()[0])
@@ -166,14 +193,15 @@ class Automaton:
 FOUND = "n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>"
 
 
-def _scan(held: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scan(held: Broadcast, only_hits: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = held.value
         for batch in (own for whole in batches for own in slices(whole, "text")):
-            rows = []
+            rows, hit = [], []
             for text in strings(batch, "text"):
                 cut = words(text)
                 spans, items = automaton.hits(cut)
+                hit.append(not only_hits or bool(spans))
                 rows.append((len(cut), [a for a, _ in spans], [b for _, b in spans], [automaton.names[i] for i in items]))
             if rows:
                 numbers = pa.list_(pa.int64())
@@ -181,28 +209,54 @@ def _scan(held: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 made = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 own = [batch.column(i) for i in range(batch.num_columns - 1)]
                 names = [*batch.schema.names[:-1], "n_words", "starts", "ends", "items"]
-                yield pa.RecordBatch.from_arrays([*own, *made], names)
+                yield pa.RecordBatch.from_arrays([*own, *made], names).filter(pa.array(hit, pa.bool_()))
 
     return run
 
 
-def blocks(benchmark: DataFrame, window: int, block_words: int, id_column: str, text_column: str) -> Iterator[Automaton]:
-    """Automata of the items, block by block. The driver holds one block at a time.
+def _build(window: int, block_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def block(items: list[tuple[str, list[bytes]]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Automaton(items, window))], pa.binary())], ["automaton"])
 
-    Equal texts count as one sequence each; items without words have no window; NULL ids are named by the empty string.
-    """
-    items = benchmark.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("name"), F.col(text_column))
-    held, size = [], 0
-    for name, text in items.toLocalIterator():
-        cut = words(text or "")
-        if held and size + len(cut) > block_words:
-            yield Automaton(held, window)
-            held, size = [], 0
-        if cut:
-            held.append((name, cut))
-            size += len(cut)
-    if held:
-        yield Automaton(held, window)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in (own for whole in batches for own in slices(whole, "text")):
+            for name, text in zip(strings(batch, "name"), strings(batch, "text"), strict=True):
+                cut = words(text)
+                if held and size + len(cut) > block_words:
+                    yield block(held)
+                    held, size = [], 0
+                if cut:
+                    held.append((name, cut))
+                    size += len(cut)
+        if held:
+            yield block(held)
+
+    return run
+
+
+class Blocks:
+    """The automata of a benchmark, in a table. One is held at a time."""
+
+    def __init__(self, benchmark: DataFrame, window: int, block_words: int, id_column: str, text_column: str):
+        """Tasks cut their items into blocks and build them. Equal texts count as one sequence each; items without words
+        have no window; NULL ids are named by the empty string."""
+        name = F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("name")
+        items = benchmark.select(name, F.col(text_column).alias("text"))
+        size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(1, math.ceil(size / (8 * block_words)))  # about as many as there will be blocks
+        made = items.repartition(parts).mapInArrow(_build(window, block_words), "automaton binary")
+        self.window = window
+        self.table = session.materialise(made.withColumn("block", F.monotonically_increasing_id()), "automata")
+        self.numbers = sorted(row[0] for row in self.table.select("block").collect())
+
+    def send(self, place: int) -> Broadcast:
+        """The automaton at a place in the table, or an empty one where there are no items, sent to the workers."""
+        if self.numbers:
+            found = pickle.loads(self.table.where(F.col("block") == self.numbers[place]).first()["automaton"])
+        else:
+            found = Automaton([], self.window)
+        return self.table.sparkSession.sparkContext.broadcast(found)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -244,18 +298,23 @@ def contamination(
     is. `items` are the ids, as sorted distinct strings, of items with an occurring window. NULL and empty texts have no
     words and no hits; repeated rows and NULL ids stay; an empty benchmark hits nothing; no rows give no rows.
     """
-    spark = docs.sparkSession
+    blocks = Blocks(benchmark, window, block_words, item_column, item_text_column)
+    return _contamination(docs, blocks, coverage, id_column, text_column)
+
+
+def _contamination(docs: DataFrame, blocks: Blocks, coverage: int, id_column: str, text_column: str) -> DataFrame:
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = chosen.schema["id"].dataType.simpleString()  # may be a struct
-    automata = [
-        spark.sparkContext.broadcast(a)
-        for a in blocks(benchmark, window, block_words, item_column, item_text_column)
-    ] or [spark.sparkContext.broadcast(Automaton([], window))]
-    if len(automata) == 1:
-        found = chosen.mapInArrow(_scan(automata[0]), f"id {kind}, {FOUND}")
+    if len(blocks.numbers) <= 1:
+        found = chosen.mapInArrow(_scan(blocks.send(0)), f"id {kind}, {FOUND}")
     else:
         numbered = session.materialise(chosen.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
-        parts = [numbered.mapInArrow(_scan(a), f"row bigint, id {kind}, {FOUND}") for a in automata]
+        parts = []
+        for place in range(len(blocks.numbers)):
+            held = blocks.send(place)
+            scanned = numbered.mapInArrow(_scan(held, only_hits=place > 0), f"row bigint, id {kind}, {FOUND}")
+            parts.append(session.materialise(scanned, "hits"))
+            held.destroy()  # the next one takes its place
         found = _merged(reduce(DataFrame.unionByName, parts)).drop("row")
     n_hit = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("bigint"), lambda s, x: s + x)
     counted = found.withColumns({"n_hit": n_hit, "items": F.array_sort(F.array_distinct("items"))})
@@ -283,7 +342,7 @@ def _kept(held: Broadcast, at: int, coverage: int) -> Callable[[Iterator[pa.Reco
         return n_hit > 0 and coverage * n_hit >= len(cut)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, at)):
             yield batch.filter(pa.array([not contaminated(t) for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return run
@@ -306,14 +365,12 @@ def clean(
     where they are read. Otherwise findings are joined to the rows, which takes a second reading of `docs`; unless it is
     a table read `from_files`, it is written first.
     """
-    if longest is None:
-        automata = list(islice(blocks(benchmark, window, block_words, "item_id", "text"), 2))
-        if len(automata) < 2:
-            held = docs.sparkSession.sparkContext.broadcast((automata or [Automaton([], window)])[0])
-            return docs.mapInArrow(_kept(held, docs.columns.index(text_column), coverage), docs.schema)
+    blocks = Blocks(benchmark, window, block_words, "item_id", "text")
+    if longest is None and len(blocks.numbers) <= 1:
+        return docs.mapInArrow(_kept(blocks.send(0), docs.columns.index(text_column), coverage), docs.schema)
     row = fresh(docs, "row")
     numbered = told_apart(docs, row, from_files)
-    found = contamination(numbered, benchmark, window, coverage, block_words, row, text_column)
+    found = _contamination(numbered, blocks, coverage, row, text_column)
     if longest is None:
         return numbered.join(found.filter("contaminated").select(row), row, "left_anti").drop(row)
     long = F.filter(F.arrays_zip("starts", "ends"), lambda s: s["ends"] - s["starts"] > longest)

@@ -82,3 +82,21 @@ def test_very_long_text(spark):
     docs = spark.createDataFrame([(1, (item + " z ") * 3000)], "doc_id long, text string")
     row = d.contamination(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).first()
     assert (row["n_words"], row["n_hit"]) == (603_000, 600_000)
+
+
+def test_automata_are_flat_and_bounded(spark):
+    """A block holds at most its words, an item that is longer is one of its own, and a built block is small."""
+    rnd = random.Random(5)
+    items = [(n, " ".join(f"w{rnd.randrange(5000)}" for _ in range(rnd.choice([5, 40, 90])))) for n in range(300)]
+    benchmark = spark.createDataFrame([*items, (300, "long " * 700)], "item_id long, text string").repartition(3)
+    blocks = d.Blocks(benchmark, 13, 500, "item_id", "text")
+    sizes, names = [], []
+    for place in range(len(blocks.numbers)):
+        held = blocks.send(place).value
+        names += held.names
+        sizes.append(sum(len(_words(dict(items).get(int(n), "long " * 700))) for n in held.names))
+        assert held.next == [] and not any(isinstance(v, dict) for k, v in vars(held).items() if k != "spell")
+    assert sorted(map(int, names)) == list(range(301))
+    assert sorted(s for s in sizes if s > 500) == [700]
+    words = [w for _, t in items for w in d.words(t)]
+    assert len(d.pickle.dumps(d.Automaton([("x", words)], 13))) < 200 * len(words)
