@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliograph import schemas
+from heliograph import schemas, session
 from heliograph.functions.scalars import round_exact
 
 # Limits of the four rules.
@@ -91,7 +91,7 @@ def timeline(stats: DataFrame, clock: Column | None = None) -> DataFrame:
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     was_broken = F.lag("is_broken").over(by_time)
     breaking = F.struct(F.col("reason"), F.col("as_of").alias("broken_since"))
-    return (
+    marked = (
         classify(stats, clock)
         .withColumn("_was_broken", was_broken)
         .withColumn("_breaks", F.col("is_broken") & ~F.coalesce("_was_broken", F.lit(False)))
@@ -99,23 +99,81 @@ def timeline(stats: DataFrame, clock: Column | None = None) -> DataFrame:
         .withColumn(
             "from_start", F.count(F.when(F.col("is_broken") != F.col("_was_broken"), 1)).over(so_far) == 0
         )
-        .select(
-            "panel_id",
-            "window_start",
-            "window_end",
-            "avg_efficiency",
-            F.col("avg_temp").alias("avg_temperature"),
-            "avg_irradiance",
-            "is_broken",
-            "reason_code",
-            F.when(F.col("is_broken"), F.col("_run.broken_since")).alias("broken_since"),
-            F.when(F.col("is_broken"), F.col("_run.reason")).alias("reason"),
-            F.when(F.col("_breaks"), "broken")
-            .when(~F.col("is_broken") & F.col("_was_broken"), "recovered")
-            .alias("change"),
-            "as_of",
-            "from_start",
-        )
+    )
+    return _statuses(marked)
+
+
+def _statuses(marked: DataFrame) -> DataFrame:
+    """Timeline rows from windows that know the status before them, whether they break it, and the run they are in."""
+    return marked.select(
+        "panel_id",
+        "window_start",
+        "window_end",
+        "avg_efficiency",
+        F.col("avg_temp").alias("avg_temperature"),
+        "avg_irradiance",
+        "is_broken",
+        "reason_code",
+        F.when(F.col("is_broken"), F.col("_run.broken_since")).alias("broken_since"),
+        F.when(F.col("is_broken"), F.col("_run.reason")).alias("reason"),
+        F.when(F.col("_breaks"), "broken").when(~F.col("is_broken") & F.col("_was_broken"), "recovered").alias("change"),
+        "as_of",
+        "from_start",
+    )
+
+
+def timeline_in_pieces(stats: DataFrame, piece: str = "1 day", clock: Column | None = None) -> DataFrame:
+    """The rows of `timeline` for panels with more windows than a task should sort, such as years of seconds.
+
+    A panel's history is cut into pieces of time, and each piece goes to a task of its own. What a piece does to a
+    status is told by four things: its first window, its last status, its last break and whether it turned. These
+    compose, so one row per piece goes through the panel's order (365 a year for days), and every piece is then told
+    what was before it. The windows are written once to the shared folder, as both steps read them. Times need not be
+    without gaps. No windows give no rows.
+    """
+    keys = ["panel_id", "_piece"]
+    in_piece = Window.partitionBy(*keys).orderBy("window_start")
+    so_far = in_piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    breaking = F.struct(F.col("reason"), F.col("as_of").alias("broken_since"))
+    inner_break = F.when(F.col("is_broken") & ~F.col("_before"), breaking)
+    inner_turn = F.when(F.col("is_broken") != F.col("_before"), 1)
+    windows = (
+        classify(stats, clock)
+        .withColumn("_piece", F.window("window_start", piece)["start"])
+        .withColumn("_before", F.lag("is_broken").over(in_piece))
+        .withColumn("_break", F.last(inner_break, ignorenulls=True).over(so_far))
+        .withColumn("_turned", F.count(inner_turn).over(so_far) > 0)
+    )
+    windows = session.materialise(windows, "timeline_pieces")
+    marked = windows.join(_before_pieces(windows, keys, breaking), keys).withColumns(
+        {
+            "_was_broken": F.coalesce("_before", "_broken_earlier"),
+            "_breaks": F.col("is_broken") & ~F.coalesce("_before", "_broken_earlier", F.lit(False)),
+            "_run": F.coalesce("_break", "_opening", "_break_earlier"),
+            "from_start": ~(F.col("_turned") | F.col("_turned_earlier")),
+        }
+    )
+    return _statuses(marked)
+
+
+def _before_pieces(windows: DataFrame, keys: list[str], breaking: Column) -> DataFrame:
+    """What each piece finds: the status before it, the break it opens with or else the last one before it, and whether
+    the panel has turned up to and with its first window."""
+    by_piece = Window.partitionBy("panel_id").orderBy("_piece")
+    earlier = by_piece.rowsBetween(Window.unboundedPreceding, -1)
+    ends = windows.groupBy(*keys).agg(
+        F.min_by(F.struct("is_broken", breaking.alias("breaking")), "window_start").alias("_first"),
+        F.max_by(F.struct("is_broken", "_break", "_turned"), "window_start").alias("_last"),
+    )
+    first_broken, before = F.col("_first.is_broken"), F.col("_broken_earlier")
+    return (
+        ends.withColumn("_broken_earlier", F.lag("_last.is_broken").over(by_piece))
+        .withColumn("_opening", F.when(first_broken & ~F.coalesce(before, F.lit(False)), F.col("_first.breaking")))
+        .withColumn("_opening_turn", F.coalesce(first_broken != before, F.lit(False)))
+        .withColumn("_break_earlier", F.last(F.coalesce("_last._break", "_opening"), ignorenulls=True).over(earlier))
+        .withColumn("_turns", F.max(F.col("_last._turned") | F.col("_opening_turn")).over(earlier))
+        .withColumn("_turned_earlier", F.col("_opening_turn") | F.coalesce("_turns", F.lit(False)))
+        .select(*keys, "_broken_earlier", "_opening", "_break_earlier", "_turned_earlier")
     )
 
 

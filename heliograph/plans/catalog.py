@@ -248,6 +248,14 @@ def panel_timeline(spark, sf_dir):
     return _averages(health.timeline(_stats(spark, sf_dir, MINUTE)).drop("as_of", "from_start"))
 
 
+@_query
+def one_panel_timeline(spark, sf_dir):
+    """Status after each second of a single panel that has all readings, made in pieces of a day."""
+    readings = _enriched(spark, sf_dir).withColumn("panel_id", F.lit("fleet"))
+    rows = health.timeline_in_pieces(stats.window_stats(readings, "1 second"), DAY)
+    return _averages(rows.drop("as_of", "from_start"))
+
+
 @_query
 def status_transitions(spark, sf_dir):
     rows = health.transitions(_stats(spark, sf_dir, MINUTE))

@@ -365,6 +365,10 @@ FROM (SELECT *, epoch_us("timestamp") % 86400000000 / 86400000000.0::DOUBLE AS p
         _health(MINUTE_STATS), "SELECT panel_id, window_start, window_end, reason_code, is_broken, reason FROM health"
     ),
     "panel_timeline": _with(_timeline(MINUTE_STATS), f"SELECT {_TIMELINE_COLUMNS} FROM timeline"),
+    "one_panel_timeline": _with(
+        _timeline(_stats(ENRICHED, "1 second").replace("SELECT panel_id, time_b", "SELECT 'fleet' AS panel_id, time_b")),
+        f"SELECT {_TIMELINE_COLUMNS} FROM timeline",
+    ),
     "status_transitions": _with(
         _timeline(MINUTE_STATS),
         """SELECT panel_id, window_start, change, reason_code, reason, broken_since FROM timeline

@@ -197,3 +197,26 @@ def test_advance_rejects_older_and_resent_windows(spark):
     current = health.latest_status_by_window(stats_frame(spark, first))
     found = health.advance_status(current, stats_frame(spark, again)).drop(health.LAST_WINDOW)
     assert rows(found) == rows(health.latest_status(stats_frame(spark, [*first, again[2]])))
+
+
+@pytest.mark.parametrize("piece", ["2 minutes", "7 minutes", "1 day"])
+def test_pieces_give_the_timeline(spark, piece):
+    chance = random.Random(piece)
+    data = []
+    for panel in range(12):
+        level = chance.random()
+        for minute in range(60):
+            if chance.random() < 0.8:
+                level = chance.random() if chance.random() < 0.3 else level
+                efficiency = None if chance.random() < 0.05 else 3.0 if level < 0.5 else 50.0 + minute
+                data.append((f"p{panel}", minute, efficiency, 20.0 + minute, 500.0))
+    windows = stats_frame(spark, data)
+    expected = health.timeline(windows)
+    found = health.timeline_in_pieces(windows, piece)
+    assert found.columns == expected.columns and rows(found) == rows(expected)
+
+
+def test_pieces_of_nothing_and_of_nameless_panels(spark):
+    assert rows(health.timeline_in_pieces(stats_frame(spark, []))) == []
+    windows = stats_frame(spark, [(None, 0, 3.0, 20.0, 500.0), ("", 1, 3.0, 20.0, 500.0), ("p0", 2, 3.0, 20.0, 500.0)])
+    assert [r[0] for r in rows(health.timeline_in_pieces(windows))] == ["p0"]
