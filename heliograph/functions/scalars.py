@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,3 +106,15 @@ def parse_number(text: Column) -> Column:
 def epoch_id(ts: Column) -> Column:
     """Epoch seconds with a fraction, as a text id."""
     return (F.unix_micros(ts) / F.lit(1e6)).cast("string")
+
+
+def name_uuid(name: Column, namespace: uuid.UUID = uuid.NAMESPACE_URL) -> Column:
+    """UUID made from a name by SHA-1 (version 5): equal names have equal ids, on every machine and in every run."""
+    digest = F.sha1(F.concat(F.lit(namespace.bytes), F.encode(name, "UTF-8")))
+
+    def digits(start: int, number: int) -> Column:
+        return F.substring(digest, start, number)
+
+    variant = F.translate(digits(17, 1), "0123456789abcdef", "89ab" * 4)
+    third, fourth = F.concat(F.lit("5"), digits(14, 3)), F.concat(variant, digits(18, 3))
+    return F.concat_ws("-", digits(1, 8), digits(9, 4), third, fourth, digits(21, 12))

@@ -5,9 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heliograph import schemas
+from heliograph.functions import scalars
+
 MESSAGE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
+def message_id(topic: str) -> Column:
+    """Id of a message, made from its topic, panel and event time: a repeated micro-batch sends the ids it sent before.
+
+    Messages that agree in all three have one id, as they speak of one thing. NULLs count as empty.
+    """
+    time = F.unix_micros(F.col(schemas.EVENT_TIME)).cast("string")
+    parts = [F.lit(topic), F.coalesce(schemas.PANEL, F.lit("")), F.coalesce(time, F.lit(""))]
+    return scalars.name_uuid(F.concat_ws("\n", *parts))
+
+
 def text_value(messages: DataFrame) -> DataFrame:
     """Message values as text, whatever binary type the source gave them."""
     return messages.withColumn("value", F.col("value").cast("string"))

@@ -187,9 +187,10 @@ def fan_out(
 ) -> DataFrame:
     """Five keyed messages per wide reading (or those of some `kinds`): `topic`, `key`, `value`.
 
-    Each message has an id of its own, a random UUID unless `message_id` is given. A Kafka sink routes by `topic`.
+    Each message has an id, that of `wire.message_id` unless `message_id` is given. A Kafka sink routes by `topic`.
     """
-    messages = F.array(*[_message(kind, F.uuid() if message_id is None else message_id) for kind in kinds])
+    ids = [wire.message_id(schemas.TOPICS[kind]) if message_id is None else message_id for kind in kinds]
+    messages = F.array(*[_message(kind, number) for kind, number in zip(kinds, ids)])
     return readings.select(F.explode(messages).alias("message")).select("message.*")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph import schemas
-from heliograph.functions import scalars
+from heliograph.functions import scalars, wire
 
 # Candidate tilts, the azimuth they are tried at, request default, command texts.
 LOWEST_TILT, HIGHEST_TILT, TILT_STEP = 0, 60, 5
@@ -117,11 +117,12 @@ def prediction_response(chosen: DataFrame) -> DataFrame:
 def commands(chosen: DataFrame, message_id: Column | None = None) -> DataFrame:
     """Control command rows for the readings that asked for one (all, without a `send_to_kafka` column).
 
-    A reading that could not be scored has no tilt and gets no command.
+    A reading that could not be scored has no tilt and gets no command. The id is that of `wire.message_id` unless
+    `message_id` is given, so a repeated micro-batch sends its commands under the same ids.
     """
     asked = chosen.where("send_to_kafka") if "send_to_kafka" in chosen.columns else chosen
     return asked.where(F.col("optimal_tilt").isNotNull()).select(
-        (F.uuid() if message_id is None else message_id).alias("message_id"),
+        (wire.message_id(schemas.TOPICS["control"]) if message_id is None else message_id).alias("message_id"),
         "panel_id",
         F.lit(COMMAND_TYPE).alias("command_type"),
         F.col("optimal_tilt").alias("target_tilt"),

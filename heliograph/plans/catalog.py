@@ -378,6 +378,15 @@ def measurement_fanout(spark, sf_dir):
     return rows.select("topic", "key", F.from_json("value", schema).alias("m")).select("topic", "key", "m.*")
 
 
+@_query
+def message_ids(spark, sf_dir):
+    """Ids that the messages of all readings, and commands for them, have in every run."""
+    readings = _readings(spark, sf_dir)
+    sent = telemetry.fan_out(readings).select("topic", "key", F.get_json_object("value", "$.measurement_id").alias("id"))
+    commands = tilt.commands(readings.withColumn("optimal_tilt", F.col("tilt_deg")))
+    return sent.unionAll(commands.select(F.lit(schemas.TOPICS["control"]), "panel_id", "message_id"))
+
+
 @_query
 def json_parse(spark, sf_dir):
     """Readable temperature messages; a quoted number or a bad time is NULL in that field alone."""

@@ -283,6 +283,16 @@ def _fanout() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _message_ids() -> str:
+    """Ids by name: SHA-1 of the name space of URLs and of topic, panel and time, with version and variant put in."""
+    parts = [
+        f"""SELECT '{topic}' AS topic, panel_id AS key, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8')
+  || encode('{topic}' || chr(10) || panel_id || chr(10) || epoch_us("timestamp"))) AS h FROM wide"""
+        for topic in [*_FANOUT, "kafka_solar_control"]
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
 def _with(tables: str, body: str) -> str:
     return f"WITH {tables.strip()}\n{body}"
 
@@ -422,6 +432,11 @@ FROM status WHERE is_broken""",
 FROM (SELECT {_FLEET}, avg(avg_efficiency) AS e, avg(avg_temperature) AS t FROM status)""",
     ),
     "measurement_fanout": _with(WIDE, _fanout()),
+    "message_ids": _with(
+        f"{WIDE},\nhashed AS ({_message_ids()})",
+        """SELECT topic, key, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-'
+  || translate(h[17:17], '0123456789abcdef', '89ab89ab89ab89ab') || h[18:20] || '-' || h[21:32] AS id FROM hashed""",
+    ),
     "json_parse": _with(
         _RAW,
         """SELECT panel_id, CASE WHEN shape <> 'untimed' THEN "timestamp" END AS "timestamp",

@@ -1,5 +1,6 @@
 import random
 import struct
+import uuid
 
 import pytest
 from helpers import at
@@ -97,3 +98,9 @@ def test_numbers_from_text(spark):
 def test_epoch_id(spark):
     df = spark.createDataFrame([(at(0.5),)], "t TIMESTAMP")
     assert float(df.select(scalars.epoch_id(F.col("t"))).first()[0]) == 1704110400.5
+
+
+def test_name_uuid_is_the_standard_one(spark):
+    names = ["", "a", "topic\npanel-1\n17", "Übermaß 太陽", "x" * 5000, *[f"panel-{n}" for n in range(200)]]
+    found = spark.createDataFrame([(n,) for n in names], "name STRING").select("name", scalars.name_uuid(F.col("name")))
+    assert {tuple(r) for r in found.collect()} == {(n, str(uuid.uuid5(uuid.NAMESPACE_URL, n))) for n in names}

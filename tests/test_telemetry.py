@@ -142,6 +142,18 @@ def test_fan_out_and_back(spark):
     messages.unpersist()
 
 
+def test_message_ids_outlive_a_repeat(spark):
+    data = [("p1", 0.25, 800.0, 90.0, 100.0, 20.0), ("p1", 1, 800.0, 90.0, 100.0, 20.0), ("p2", 1, None, 10.0, 2.0, 4.0)]
+    ids = []
+    for order in (data, data[::-1]):
+        wide = readings_frame(spark, order).repartition(2)
+        nobody = wide.limit(1).withColumn("panel_id", F.lit(None).cast("string"))
+        sent = telemetry.fan_out(wide.unionAll(nobody)).collect()
+        ids.append({(r.topic, r.key, json.loads(r.value)["measurement_id"]) for r in sent})
+        assert len({key for _, _, key in ids[-1]}) == 20
+    assert {r for r in ids[0] if r[1]} == {r for r in ids[1] if r[1]}
+
+
 def test_window_stats(spark):
     wide = readings_frame(
         spark,
