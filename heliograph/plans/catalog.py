@@ -13,7 +13,7 @@ from heliograph import schemas, session
 from heliograph.functions import scalars, wire
 from heliograph.operators import faults, fleet, health, stats, telemetry, tilt, training
 from heliograph.plans import feed
-from heliograph.sources import brokers, registry, status_log, tables
+from heliograph.sources import brokers, pages, registry, status_log, tables
 from heliograph.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,6 +336,15 @@ def panel_page_after(spark, sf_dir):
     return fleet.list_panels_after(_status(spark, sf_dir), "panel-3", limit=20)
 
 
+@_query
+def timeline_page(spark, sf_dir):
+    """A page from deep in the timeline of all panels, by a directory of ranges."""
+    found = health.timeline(_stats(spark, sf_dir, MINUTE)).drop("as_of", "from_start")
+    rows, path, order = session.materialise(found, "timeline"), session.run_dir(spark, "pages"), ["panel_id", "window_start"]
+    pages.write_pages(rows, path, order, range_rows=100)
+    return _averages(pages.read_page(spark, path, rows.schema, order, skip=750, limit=120))
+
+
 @_query
 def panel_lookup(spark, sf_dir):
     return fleet.get_panel(_status(spark, sf_dir), "panel-7")

@@ -395,6 +395,10 @@ SELECT {_STATUS_COLUMNS} FROM merged""",
     "panel_page": _with(
         _timeline(DAY_STATS), f"SELECT {_STATUS_COLUMNS} FROM status ORDER BY panel_id LIMIT 20 OFFSET 5"
     ),
+    "timeline_page": _with(
+        _timeline(MINUTE_STATS),
+        f"SELECT {_TIMELINE_COLUMNS} FROM timeline ORDER BY panel_id, window_start LIMIT 120 OFFSET 750",
+    ),
     "panel_page_after": _with(
         _timeline(DAY_STATS),
         f"SELECT {_STATUS_COLUMNS} FROM status WHERE panel_id > 'panel-3' ORDER BY panel_id LIMIT 20",
