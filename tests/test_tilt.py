@@ -1,8 +1,11 @@
 import json
+import math
 import random
 
 import pytest
 from helpers import START, at, rows
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from heliograph import schemas
@@ -136,6 +139,48 @@ def test_compiled_trees_equal_the_model(spark, params):
     assert [r.prediction for r in found] == pytest.approx([r.walked for r in found], rel=1e-12)
 
 
+@pytest.mark.parametrize("params", [training.QUICK, training.FINE, {"maxIter": 3, "minInstancesPerNode": 5}])
+def test_a_fit_by_cells_equals_a_fit_on_all_rows(spark, params):
+    """Light has more values than bins, so it is cut at quantiles; the cuts and trees are Spark's own."""
+    power = (F.col("irradiance_w_m2") / 10 - F.abs(F.col("tilt_deg") - 30) + F.col("n") % 7).alias("power_dc_w")
+    light = (F.col("n") * 37 % 1009 + 0.5).alias("irradiance_w_m2")
+    made = spark.range(4000).select(
+        F.lit("p").alias("panel_id"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("timestamp"),
+        F.col("id").alias("n"),
+        (F.col("id") % 9 + 10.0).alias("temperature_c"),
+        (F.col("id") % 5 * 12.0).alias("tilt_deg"),
+        F.lit(180.0).alias("azimuth_deg"),
+    )
+    records = made.select("*", light).select("*", power).drop("n")
+    known = training.add_hour(records)
+    by_cells = training.score(known, training.fit(records, **params)).withColumnRenamed("prediction", "found")
+    assembler = VectorAssembler(inputCols=training.FEATURES, outputCol="features")
+    own = GBTRegressor(labelCol="power_dc_w", seed=7, **params).fit(assembler.transform(known))
+    both = own.transform(assembler.transform(by_cells)).select("found", "prediction").collect()
+    assert len(both) == 4000
+    assert [r.found for r in both] == pytest.approx([r.prediction for r in both], rel=1e-9)
+
+
+def test_rounds_of_a_fit_cost_what_there_are_cells(spark, monkeypatch):
+    seen, own = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df: seen.append(df.count()) or own(self, df))
+    for copies in (1, 20):
+        training.fit(_facing_records(spark, 200).withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(copies)))), maxIter=2)
+    assert seen[0] == seen[1] <= 200
+
+
+def test_values_at_a_cut_go_where_the_model_sends_them(spark, model):
+    """Compiled trees and the model agree on readings that lie on a threshold and beside it."""
+    edges = [e for e in model.stages[0].getSplitsArray()[0] if math.isfinite(e)]
+    lights = [light for e in edges for light in (math.nextafter(e, -math.inf), e, math.nextafter(e, math.inf))]
+    live = spark.createDataFrame([("p", at(n), x, 0.0, 0.0, 30.0, 12.0, 90.0) for n, x in enumerate(lights)], schemas.TRAINING)
+    walked = training.score(tilt.candidates(live), model).withColumnRenamed("prediction", "walked")
+    found = training.score_trees(walked, model).collect()
+    assert len(found) == 13 * len(lights)
+    assert [r.prediction for r in found] == pytest.approx([r.walked for r in found], rel=1e-12)
+
+
 def test_trees_shrink_to_what_is_left():
     tree = (3, 10.0, (0, 5.0, 1.0, 2.0), (3, 20.0, (0, 5.0, 1.0, 2.0), 7.0))
     assert trees.given(tree, {3: 15.0}) == trees.given(tree, {3: 10.0}) == (0, 5.0, 1.0, 2.0)
