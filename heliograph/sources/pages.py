@@ -12,17 +12,21 @@ from pyspark.sql.types import StructType
 
 RANGE_ROWS = 10_000
 
+# A range is a folder, and folders cost the same whatever is in them. A larger table has larger ranges, not more.
+MOST_RANGES = 1_000
+
 DIRECTORY = "page_range INT, rows BIGINT, before BIGINT"
 
 
 def write_pages(rows: DataFrame, path: str, order: list[str], range_rows: int = RANGE_ROWS) -> None:
-    """Write `rows` in the given order to the new folder `path`, in ranges of about `range_rows` rows.
+    """Write `rows` in the given order to the new folder `path`, in ranges of about `range_rows` rows, or of a
+    thousandth of the table where that is more.
 
     One shuffle deals the rows by range of their order. The bounds come from a sample and decide only how large the
     ranges are. The directory has one row per range and is written last; without it there are no pages. `rows` is read
     three times (to be counted, sampled and written), so it should be a table.
     """
-    number = max(1, -(-rows.count() // range_rows))
+    number = min(max(1, -(-rows.count() // range_rows)), MOST_RANGES)
     ranged = rows.repartitionByRange(number, *order).withColumn("page_range", F.spark_partition_id())
     ranged.sortWithinPartitions("page_range", *order).write.partitionBy("page_range").parquet(f"{path}/ranges")
     spark = rows.sparkSession

@@ -49,6 +49,15 @@ def test_repeated_and_missing_keys(spark):
     assert [tuple(r) for page in found for r in page] == whole
 
 
+def test_folders_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(pages, "MOST_RANGES", 8)
+    table, path = session.materialise(_numbers(spark, 1000), "numbers"), session.run_dir(spark, "pages")
+    pages.write_pages(table, path, ["panel_id"], range_rows=10)
+    assert spark.read.parquet(f"{path}/directory").count() <= 8 and pages.count_rows(spark, path) == 1000
+    whole = sorted(tuple(r) for r in table.collect())
+    assert [tuple(r) for r in pages.read_page(spark, path, table.schema, ["panel_id"], 700, 40).collect()] == whole[700:740]
+
+
 def test_an_empty_table_has_no_pages(spark):
     path, empty = session.run_dir(spark, "pages"), tables.empty_status(spark)
     pages.write_pages(empty, path, ["panel_id"])
