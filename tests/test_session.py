@@ -34,7 +34,9 @@ def test_stores_share_a_bound_of_memory_and_write_without_reading(spark):
     prefix = "spark.sql.streaming.stateStore.rocksdb"
     with session.state_settings(spark):
         assert spark.conf.get(f"{prefix}.boundedMemoryUsage") == "true"
+    with session.uncounted_state(spark):
         assert spark.conf.get(f"{prefix}.trackTotalNumberOfRows") == "false"
+    assert spark.conf.get(f"{prefix}.trackTotalNumberOfRows", None) != "false"  # jobs of their own still count
     assert spark.conf.get(f"{prefix}.boundedMemoryUsage", None) != "true"
 
 
