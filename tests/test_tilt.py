@@ -140,8 +140,10 @@ def test_compiled_trees_equal_the_model(spark, params):
 
 
 @pytest.mark.parametrize("params", [training.QUICK, training.FINE, {"maxIter": 3, "minInstancesPerNode": 5}])
-def test_a_fit_by_cells_equals_a_fit_on_all_rows(spark, params):
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_a_fit_by_cells_equals_a_fit_on_all_rows(spark, monkeypatch, params, few):
     """Light has more values than bins, so it is cut at quantiles; the cuts and trees are Spark's own."""
+    monkeypatch.setattr(training, "FEW_ROWS", few)
     power = (F.col("irradiance_w_m2") / 10 - F.abs(F.col("tilt_deg") - 30) + F.col("n") % 7).alias("power_dc_w")
     light = (F.col("n") * 37 % 1009 + 0.5).alias("irradiance_w_m2")
     made = spark.range(4000).select(
@@ -163,6 +165,7 @@ def test_a_fit_by_cells_equals_a_fit_on_all_rows(spark, params):
 
 
 def test_rounds_of_a_fit_cost_what_there_are_cells(spark, monkeypatch):
+    monkeypatch.setattr(training, "FEW_ROWS", 100)
     seen, own = [], GBTRegressor.fit
     monkeypatch.setattr(GBTRegressor, "fit", lambda self, df: seen.append(df.count()) or own(self, df))
     for copies in (1, 20):
