@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,10 @@ CHANGES = (
     "panel_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_efficiency DOUBLE, avg_temperature DOUBLE, "
     "avg_irradiance DOUBLE, is_broken BOOLEAN, reason_code INT, broken_since TIMESTAMP, reason STRING, change STRING"
 )
+
+# How numpy writes a missing time.
+NO_TIME = np.iinfo("int64").min
+
 _COLUMNS = [field.split()[0] for field in CHANGES.split(", ")]
 
 
@@ -45,41 +50,46 @@ class PanelHealth(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         state = self._last.get() if self._last.exists() else None
-        was_broken, since, reason, seen = state or (False, None, None, None)
-        parts = []
+        broken, since, reason, seen = state or (False, None, None, None)
+        # Plain rows, as a panel has few and pandas would cost more for each step than they do.
+        windows: dict[tuple, None] = {}  # a window sent twice counts once
         for part in rows:
-            new = part if seen is None else part[part["window_start"] > pd.Timestamp(seen, unit="us")]
-            parts.append(new.drop_duplicates())
-        windows = pd.concat(parts).drop_duplicates().sort_values("window_start", ignore_index=True)
-        if windows.empty:
+            times = [_whole_micros(part[name]) for name in ("window_start", "window_end", "as_of")]
+            means = [_plain(part[name]) for name in ("avg_efficiency", "avg_temp", "avg_irradiance")]
+            rules = [part["is_broken"].astype(bool).tolist(), part["reason_code"].tolist(), _plain(part["reason"])]
+            for row in zip(*times, *means, *rules, strict=True):
+                if seen is None or row[0] > seen:
+                    windows[row] = None
+        if not windows:
             return
 
-        broken = windows["is_broken"].astype(bool)
-        before = broken.shift(fill_value=bool(was_broken))
-        breaks = broken & ~before
-        run = breaks.cumsum()  # 0 while the run brought along from the state goes on
-        starts = windows[breaks]
-        starts_since = [pd.NaT if since is None else pd.Timestamp(since, unit="us"), *starts["as_of"]]
-        starts_reason = [reason, *starts["reason"]]
-
-        windows["broken_since"] = pd.to_datetime(pd.Series([starts_since[r] for r in run])).where(broken)
-        windows["reason"] = pd.Series([starts_reason[r] for r in run], dtype=object).where(broken, None)
-        windows["change"] = None
-        windows.loc[breaks, "change"] = "broken"
-        windows.loc[~broken & before, "change"] = "recovered"
-
-        last = windows.iloc[-1]
-        at = last["window_start"].value // 1000
-        if last["is_broken"]:
-            self._last.update((True, last["broken_since"].value // 1000, last["reason"], at))
-        else:
-            self._last.update((False, None, None, at))
-        yield windows.rename(columns={"avg_temp": "avg_temperature"})[_COLUMNS]
+        made = []
+        for start, end, as_of, *means, is_broken, code, why in sorted(windows, key=lambda r: (r[0] == NO_TIME, r[0])):
+            change = None
+            if is_broken and not broken:
+                since, reason, change = as_of, why, "broken"
+            elif not is_broken:
+                change = "recovered" if broken else None
+                since = reason = None
+            broken = is_broken
+            made.append((key[0], start, end, *means, broken, code, NO_TIME if since is None else since, reason, change))
+
+        found = dict(zip(_COLUMNS, zip(*made, strict=True), strict=True))
+        for name in ("window_start", "window_end", "broken_since"):
+            found[name] = np.array(found[name], "int64").view("datetime64[us]").astype("datetime64[ns]")
+        for name in ("avg_efficiency", "avg_temperature", "avg_irradiance"):
+            found[name] = np.array(found[name], "float64")
+        self._last.update((broken, since, reason, made[-1][1]))
+        yield pd.DataFrame(found)
 
     def close(self) -> None:
         pass
 
 
+def _whole_micros(times: pd.Series) -> list[int]:
+    return times.to_numpy().astype("datetime64[us]").astype("int64").tolist()
+
+
 def _micros(times: pd.Series) -> list[int]:
     return [t.value // 1000 for t in times]
 
