@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from heliograph.operators import health
@@ -19,11 +21,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Times are kept in microseconds, which no worker's time zone changes.
 STATE = "is_broken BOOLEAN, broken_since BIGINT, reason STRING, last_window BIGINT"
 
-# A window that waits: start, end, averages, number of its rule, reason, time.
-WAITING = (
-    "window_start BIGINT, window_end BIGINT, avg_efficiency DOUBLE, avg_temp DOUBLE, avg_irradiance DOUBLE, "
-    "reason_code INT, reason STRING, as_of BIGINT"
-)
+# The windows of one micro-batch that wait, each as JSON of what _WINDOW names, in one line of text each.
+WAITING = "windows STRING"
+_WINDOW = ["start", "end", "avg_efficiency", "avg_temp", "avg_irradiance", "reason_code", "reason", "as_of"]
 
 CHANGES = (
     "panel_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_efficiency DOUBLE, avg_temperature DOUBLE, "
@@ -35,6 +35,10 @@ NO_TIME = np.iinfo("int64").min
 
 _COLUMNS = [field.split()[0] for field in CHANGES.split(", ")]
 
+# Changes with times in microseconds, as plain rows.
+_CHANGES_IN_MICROS = CHANGES.replace("TIMESTAMP", "BIGINT")
+_change = Row(*_COLUMNS)
+
 
 class PanelHealth(StatefulProcessor):
     """Emits a panel's status after each of its windows and remembers the last one.
@@ -90,10 +94,6 @@ def _whole_micros(times: pd.Series) -> list[int]:
     return times.to_numpy().astype("datetime64[us]").astype("int64").tolist()
 
 
-def _micros(times: pd.Series) -> list[int]:
-    return [t.value // 1000 for t in times]
-
-
 def _plain(values: pd.Series) -> list:
     return [None if pd.isna(v) else v for v in values]
 
@@ -105,6 +105,10 @@ class OrderedPanelHealth(StatefulProcessor):
     fires when the watermark has passed it. The windows up to the watermark are then put in order and judged one by
     one, and the others wait on. So what a panel holds is what came within the delay, one row per window; its size is
     set by the delay and the width of the windows, however the rows were cut into micro-batches.
+
+    It takes and gives plain rows with times in microseconds, as a panel has few rows at a time and a pandas frame for
+    each panel would cost far more than they do. A micro-batch's windows of a panel are one text in the list, since each
+    value of a list is sent to the state store, and back, by itself.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -113,19 +117,11 @@ class OrderedPanelHealth(StatefulProcessor):
         self._waiting = handle.getListState("waiting", WAITING)
         self._timer = handle.getValueState("timer", "at BIGINT")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
-        for part in rows:
-            if part.empty:
-                continue
-            starts = _micros(part["window_start"])
-            columns = [starts, _micros(part["window_end"])]
-            columns += [_plain(part[name]) for name in ("avg_efficiency", "avg_temp", "avg_irradiance")]
-            columns += [[int(c) for c in part["reason_code"]], _plain(part["reason"]), _micros(part["as_of"])]
-            self._waiting.appendList(list(zip(*columns, strict=True)))
-            earliest = min(starts) if earliest is None else min(earliest, *starts)
-        if earliest is not None:
-            self._wake_at(earliest)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        waiting = [(start, window) for _, _, start, window in rows]
+        if waiting:
+            self._waiting.appendValue(("\n".join(window for _, window in waiting),))
+            self._wake_at(min(start for start, _ in waiting))
         return iter(())
 
     def _wake_at(self, micros: int) -> None:
@@ -139,19 +135,22 @@ class OrderedPanelHealth(StatefulProcessor):
         self._handle.registerTimer(at)
         self._timer.update((at,))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         self._timer.clear()
         due: dict[tuple, tuple] = {}  # a window sent twice counts once
         later = []
-        for row in self._waiting.get():
-            if row[0] <= passed:
-                due.setdefault(tuple(row[:5]), tuple(row))
-            else:
-                later.append(tuple(row))
+        for (lines,) in self._waiting.get():
+            for line in lines.split("\n"):
+                found = json.loads(line)
+                if found["start"] > passed:
+                    later.append((found["start"], line))
+                    continue
+                row = tuple(found.get(name) for name in _WINDOW)
+                due.setdefault(row[:5], row)
         if later:
-            self._waiting.put(later)
-            self._wake_at(min(row[0] for row in later))
+            self._waiting.put([("\n".join(line for _, line in later),)])
+            self._wake_at(min(start for start, _ in later))
         else:
             self._waiting.clear()
 
@@ -159,6 +158,7 @@ class OrderedPanelHealth(StatefulProcessor):
         made = []
         for row in sorted(due.values(), key=lambda r: r[:2]):
             start, end, *means, code, why, as_of = row
+            means = [None if mean is None else float(mean) for mean in means]  # JSON has infinity as text
             breaks = code != health.HEALTHY and not broken
             recovers = code == health.HEALTHY and bool(broken)
             broken = code != health.HEALTHY
@@ -167,15 +167,10 @@ class OrderedPanelHealth(StatefulProcessor):
             elif breaks:
                 since, reason = as_of, why
             change = "broken" if breaks else "recovered" if recovers else None
-            made.append((key[0], start, end, *means, broken, code, since, reason, change))
+            made.append(_change(key[0], start, end, *means, broken, code, since, reason, change))
         if made:
             self._last.update((broken, since, reason))
-            found = pd.DataFrame(made, columns=_COLUMNS)
-            for name in ("window_start", "window_end", "broken_since"):
-                found[name] = pd.to_datetime(found[name].astype("Int64"), unit="us")
-            for name in ("avg_efficiency", "avg_temperature", "avg_irradiance"):
-                found[name] = found[name].astype(float)
-            yield found
+        yield from made
 
     def close(self) -> None:
         pass
@@ -205,10 +200,18 @@ def ordered_changes(stats: DataFrame, lateness: str, clock: Column | None = None
     left out. Needs the RocksDB state store on the session.
     """
     timed = stats.where("window_start IS NOT NULL AND window_end IS NOT NULL").withWatermark("window_start", lateness)
-    return (
-        health.classify(timed, clock)
-        .groupBy("panel_id")
-        .transformWithStateInPandas(
-            statefulProcessor=OrderedPanelHealth(), outputStructType=CHANGES, outputMode="Append", timeMode="EventTime"
-        )
+    # The start stays as a time as well, by which Spark tells late windows.
+    micros = {"start": "window_start", "end": "window_end", "as_of": "as_of"}
+    judged = health.classify(timed, clock).withColumns({name: F.unix_micros(time) for name, time in micros.items()})
+    means = ("avg_efficiency", "avg_temp", "avg_irradiance")
+    told = judged.withColumns({name: F.nanvl(name, F.lit(None)) for name in means}).select(
+        "panel_id", "window_start", "start", F.to_json(F.struct(*_WINDOW)).alias("window")
+    )
+    changes = told.groupBy("panel_id").transformWithState(
+        statefulProcessor=OrderedPanelHealth(),
+        outputStructType=_CHANGES_IN_MICROS,
+        outputMode="Append",
+        timeMode="EventTime",
     )
+    times = ("window_start", "window_end", "broken_since")
+    return changes.withColumns({name: F.timestamp_micros(name) for name in times})
