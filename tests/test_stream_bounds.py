@@ -54,3 +54,11 @@ def test_tasks_of_streams_read_small_splits(spark):
         with session.small_splits(spark):
             assert spark.conf.get(name) == f"{1 << 20}b"
     assert spark.conf.get(name) == before
+
+
+def test_joined_readings_end_with_their_last_rows(spark, tmp_path):
+    """No micro-batch follows that only clears the state."""
+    before = set(glob.glob(f"{session.shared_root(spark)}/stream_enriched_features-*"))
+    assert catalog.QUERIES["stream_enriched_features"](spark, _events(spark, tmp_path)).count()
+    (base,) = set(glob.glob(f"{session.shared_root(spark)}/stream_enriched_features-*")) - before
+    assert len(glob.glob(f"{base}/checkpoint/commits/[0-9]*")) == 1
