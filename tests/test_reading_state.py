@@ -1,0 +1,114 @@
+"""Five streams joined in one keyed state: the rows of Spark's own join, in far less state."""
+
+import random
+from datetime import timedelta
+from functools import reduce
+
+from helpers import at
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from heliograph import schemas, session
+from heliograph.operators import telemetry
+from heliograph.sources import brokers
+from heliograph.streaming import jobs, reading_state
+
+ONCE = {"availableNow": True}
+
+
+def _values(rng):
+    return rng.choice([None, float("nan"), -0.0, 0.0, float("inf"), rng.uniform(-5, 900)])
+
+
+def _drops(seed, drops=3, panels=4):
+    """Measurements of each kind in drops: some late by less or more than the watermark, some sent again, some without
+    panel or time, some whose kinds come in different drops."""
+    rng = random.Random(seed)
+    found = [{kind: [] for kind in schemas.KINDS} for _ in range(drops)]
+    for number in range(drops):
+        for _ in range(40):
+            panel = rng.choice([f"p{n}" for n in range(panels)] * 6 + [None, "größer", ""])
+            second = None if rng.random() < 0.03 else rng.randint(number * 30 - 25, number * 30 + 30)
+            for kind in schemas.KINDS:
+                for _ in range(rng.choice([1, 1, 1, 1, 2, 0])):
+                    place = min(drops - 1, number + (rng.random() < 0.2))
+                    measures = [_values(rng) for _ in schemas.measure_names(kind)]
+                    time = None if second is None else at(1000) + timedelta(seconds=second)
+                    found[place][kind].append((panel, time, *measures))
+    return found
+
+
+def _run(spark, base, name, joined, drops):
+    """All drops, one micro-batch each, with a restart before every one of them."""
+    frames = {}
+    for kind in schemas.KINDS:
+        schema = schemas.measurement_schema(kind)
+        spark.createDataFrame([], schema).write.mode("append").parquet(f"{base}/{name}/{kind}")
+        frames[kind] = telemetry.watermarked(spark.readStream.schema(schema).parquet(f"{base}/{name}/{kind}"))
+    out = telemetry.add_features(joined(frames))
+    for drop in drops:
+        for kind in schemas.KINDS:
+            rows = spark.createDataFrame(drop[kind], schemas.measurement_schema(kind)).coalesce(1)
+            rows.write.mode("append").parquet(f"{base}/{name}/{kind}")
+        with session.state_settings(spark):
+            writer = out.writeStream.format("parquet").option("checkpointLocation", f"{base}/{name}-checkpoint")
+            query = writer.trigger(**ONCE).start(f"{base}/{name}-out")
+        query.awaitTermination()
+    return sorted(map(str, spark.read.parquet(f"{base}/{name}-out").collect())), query
+
+
+def _by_joins(frames):
+    return reduce(lambda left, right: left.join(right, schemas.KEYS), [frames[kind] for kind in schemas.KINDS])
+
+
+def test_rows_of_sparks_join(spark, tmp_path):
+    drops = _drops(0)
+    found, _ = _run(spark, tmp_path, "found", telemetry.join_measurements, drops)
+    wanted, _ = _run(spark, tmp_path, "wanted", _by_joins, drops)
+    assert found == wanted and len(found) > 50
+
+
+def test_windows_follow_joined_readings(spark, tmp_path):
+    """The time of joined readings still bounds what comes after them."""
+    drops = _drops(5, drops=2)
+    windows = "timestamp", "20 seconds"
+
+    def counted(join):
+        return lambda frames: join(frames).groupBy(F.window(*windows)).agg(
+            F.count("*").alias("power_ac_w"), F.sum("power_dc_w").alias("power_dc_w"), F.count("tilt_deg").alias("temperature_c")
+        )
+
+    found, _ = _run(spark, tmp_path, "found", counted(telemetry.join_measurements), drops)
+    wanted, _ = _run(spark, tmp_path, "wanted", counted(_by_joins), drops)
+    assert found == wanted and found
+
+
+def test_state_has_one_row_a_group(spark, tmp_path):
+    """Not two for every measurement and every partial reading."""
+    readings = spark.range(6000).selectExpr(
+        "concat('p', id % 7) AS panel_id",
+        "timestamp_seconds(1704067200 + id div 7) AS timestamp",
+        *[f"id * {n + 1.0} AS {name}" for n, name in enumerate(n for k in schemas.KINDS for n in schemas.measure_names(k))],
+    )
+    source, out = brokers.Folder(f"{tmp_path}/in"), brokers.Folder(f"{tmp_path}/out")
+    source.write(telemetry.fan_out(readings))
+    query = jobs.start_enriched(spark, source, out, f"{tmp_path}/checkpoints", **ONCE)
+    query.awaitTermination()
+    first = next(p for p in query.recentProgress if p["numInputRows"])
+    assert sum(operator["numRowsUpdated"] for operator in first["stateOperators"]) <= reading_state.GROUPS
+    assert out.history(spark, schemas.TOPICS["enriched"]).count() == 6000
+    # Nothing waits when the watermark has passed it.
+    last = query.recentProgress[-1]
+    assert sum(operator["numRowsTotal"] for operator in last["stateOperators"]) < reading_state.GROUPS / 2
+
+
+def test_streams_without_watermark_or_with_more_columns_are_joined_by_spark(spark, tmp_path):
+    frames = {kind: spark.readStream.schema(schemas.measurement_schema(kind)).parquet(str(tmp_path)) for kind in schemas.KINDS}
+    timed = {kind: telemetry.watermarked(frame) for kind, frame in frames.items()}
+    assert reading_state.joinable(timed)
+    assert not reading_state.joinable(frames)
+    assert not reading_state.joinable({**timed, "irradiance": timed["irradiance"].selectExpr("*", "1 AS more")})
+
+
+def test_processor_travels_without_the_package():
+    assert b"heliograph.schemas" not in cloudpickle.dumps(reading_state.JoinedReadings())
