@@ -1,3 +1,5 @@
+import glob
+
 import pytest
 from helpers import at, rows
 
@@ -34,6 +36,23 @@ def test_folder_routes_by_topic(spark, tmp_path):
     assert rows(folder.history(spark, "b"), "topic", "key") == [("b", "k1")]
 
 
+@pytest.mark.parametrize("topic", ["a", None])
+@pytest.mark.parametrize("batch", [None, 3])
+def test_compressed_folder_holds_the_same_messages(spark, tmp_path, monkeypatch, topic, batch):
+    monkeypatch.setattr(brokers, "FILE_MESSAGES", 40)
+    folder = brokers.Folder(str(tmp_path / "topics"), compression="gzip")
+    messages = _messages(spark, ["a"] * 100).coalesce(1)
+    folder.write(messages.drop("topic") if topic else messages, topic, batch)
+    files = glob.glob(f"{tmp_path}/topics/**/part-*", recursive=True)
+    assert len(files) == 3 and all(name.endswith(".json.gz") for name in files)
+    assert rows(folder.history(spark, "a")) == rows(messages, "key", "value", "topic")
+    out = brokers.Folder(str(tmp_path / "out"), compression="gzip")
+    sent = folder.stream(spark, "a")
+    out.start(sent.drop("topic") if topic else sent, topic, f"{tmp_path}/checkpoint", availableNow=True).awaitTermination()
+    assert all(".json.gz" in name for name in glob.glob(f"{tmp_path}/out/topic=a/part-*"))
+    assert rows(out.history(spark, "a")) == rows(messages, "key", "value", "topic")
+
+
 def test_console_shows_messages(spark, capfd):
     brokers.Console(rows=1).write(_messages(spark, ["a", "b"]))
     shown = capfd.readouterr().out

@@ -62,3 +62,16 @@ def test_joined_readings_end_with_their_last_rows(spark, tmp_path):
     assert catalog.QUERIES["stream_enriched_features"](spark, _events(spark, tmp_path)).count()
     (base,) = set(glob.glob(f"{session.shared_root(spark)}/stream_enriched_features-*")) - before
     assert len(glob.glob(f"{base}/checkpoint/commits/[0-9]*")) == 1
+
+
+def _message_files(spark, tmp_path, name):
+    before = set(glob.glob(f"{session.shared_root(spark)}/{name}-*"))
+    assert catalog.QUERIES[name](spark, _events(spark, tmp_path)).count()
+    (base,) = set(glob.glob(f"{session.shared_root(spark)}/{name}-*")) - before
+    return [file for file in glob.glob(f"{base}/topics/**/part-*", recursive=True)]
+
+
+@pytest.mark.parametrize("name", ["stream_job_enriched"])
+def test_large_topics_are_compressed(spark, tmp_path, name):
+    files = _message_files(spark, tmp_path, name)
+    assert files and all(file.endswith(".json.gz") for file in files)
