@@ -5,6 +5,7 @@ import glob
 import pytest
 
 from heliograph import session
+from heliograph.operators import training
 from heliograph.plans import catalog
 
 
@@ -68,10 +69,11 @@ def _message_files(spark, tmp_path, name):
     before = set(glob.glob(f"{session.shared_root(spark)}/{name}-*"))
     assert catalog.QUERIES[name](spark, _events(spark, tmp_path)).count()
     (base,) = set(glob.glob(f"{session.shared_root(spark)}/{name}-*")) - before
-    return [file for file in glob.glob(f"{base}/topics/**/part-*", recursive=True)]
+    return glob.glob(f"{base}/topics/**/part-*", recursive=True)
 
 
-@pytest.mark.parametrize("name", ["stream_job_enriched"])
-def test_large_topics_are_compressed(spark, tmp_path, name):
+@pytest.mark.parametrize("name", ["stream_job_enriched", "stream_refit_control", "refit_predictions"])
+def test_large_topics_are_compressed(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(training, "FINE", {"maxIter": 1, "maxDepth": 2})
     files = _message_files(spark, tmp_path, name)
     assert files and all(file.endswith(".json.gz") for file in files)
