@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from heliograph import schemas
+from heliograph import schemas, session
 from heliograph.functions import wire
 from heliograph.operators import tilt, training, trees
 
@@ -216,6 +216,20 @@ def test_model_is_saved_by_version(spark, model, tmp_path):
     assert rows(again) == rows(training.optimal_tilt(_live(spark), model))
 
 
+def test_retrain_writes_what_the_fit_needs(spark, monkeypatch):
+    records = spark.range(60).selectExpr(
+        "'p' AS panel_id", "timestamp_seconds(id * 4000) AS timestamp", "id * 5D AS irradiance_w_m2", "1D AS power_ac_w",
+        "if(id = 7, NULL, id % 9 * 10D) AS power_dc_w", "20D + id % 4 AS temperature_c", "id % 13 * 5D AS tilt_deg", "180D AS azimuth_deg",
+    )
+    kept, own = {}, session.materialise
+    monkeypatch.setattr(session, "materialise", lambda df, name: kept.update({name: df.columns}) or own(df, name))
+    model, status = training.retrain(records, maxIter=3)
+    assert kept["retrain"] and set(kept["retrain"]) == {*training.FEATURES, training.LABEL}
+    assert rows(status) == [("retrained", 60)]
+    whole = training.fit(records, maxIter=3)
+    assert model.stages[-1].toDebugString.split("\n")[1:] == whole.stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_retrain_statuses(spark):
     records = _facing_records(spark, 60)
     none, status = training.retrain(records.limit(0))
